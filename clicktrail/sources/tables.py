@@ -1,0 +1,49 @@
+"""Writing reports and input tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def report_append(report: DataFrame, target: str, format: str = "parquet", **options) -> None:
+    """Append a report to its table.
+
+    ``target`` is a path for file formats and the ``dbtable`` for ``jdbc``, whose
+    other settings (``url``, ``user``, ``password``, …) are passed as options;
+    ``format="table"`` appends to a catalog table.
+    """
+    if format == "table":
+        report.write.mode("append").options(**options).saveAsTable(target)
+    elif format == "jdbc":
+        report.write.mode("append").format("jdbc").options(dbtable=target, **options).save()
+    else:
+        report.write.mode("append").format(format).options(**options).save(target)
+
+
+def table_overwrite(
+    df: DataFrame,
+    target: str,
+    partition_by: str | None = None,
+    bucket_by: tuple[int, str] | None = None,
+    catalog: bool = False,
+) -> None:
+    """Replace a table: a parquet path, or a catalog table with ``catalog=True``.
+
+    ``partition_by`` stores the log by date, so a date range reads only its
+    folders. Rows are rebalanced first: one date's rows come together in files of
+    advised size, and a date with very many rows is split over tasks.
+    ``bucket_by=(n, "session_id")`` on a catalog table lets later groupings,
+    windows and joins by session skip the shuffle.
+    """
+    if partition_by and not bucket_by:
+        df = df.hint("rebalance", partition_by)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    if bucket_by:
+        buckets, column = bucket_by
+        writer = writer.bucketBy(buckets, column).sortBy(column)
+    if catalog or bucket_by:
+        writer.saveAsTable(target)
+    else:
+        writer.parquet(target)
