@@ -1,46 +1,46 @@
-"""Time expressions over the log's text times."""
+"""Time expressions, as SQL text over a column name.
 
-from __future__ import annotations
+The results go into ``selectExpr`` and ``F.expr``.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 
-def action_timestamp(text: Column) -> Column:
+def action_timestamp(text: str) -> str:
     """Timestamp of ``yyyy-MM-dd H:mm:ss`` text; the hour may be one digit.
 
     Text that is no time gives NULL.
     """
-    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:mm:ss"))
+    return f"try_to_timestamp({text}, 'yyyy-MM-dd H:mm:ss')"
 
 
-def time_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+def time_text(ts: str) -> str:
+    return f"date_format({ts}, 'yyyy-MM-dd HH:mm:ss')"
 
 
-def date_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+def date_text(ts: str) -> str:
+    return f"date_format({ts}, 'yyyy-MM-dd')"
 
 
-def hour_text(ts: Column) -> Column:
-    return F.date_format(ts, "HH")
+def hour_text(ts: str) -> str:
+    return f"date_format({ts}, 'HH')"
 
 
-def date_hour(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd_HH")
+def date_hour(ts: str) -> str:
+    return f"date_format({ts}, 'yyyy-MM-dd_HH')"
 
 
-def date_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd")
+def date_key(ts: str) -> str:
+    return f"date_format({ts}, 'yyyyMMdd')"
 
 
-def minute_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMddHHmm")
+def date_of_key(key: str) -> str:
+    return f"to_date({key}, 'yyyyMMdd')"
 
 
-def date_of_key(key: Column) -> Column:
-    return F.to_date(key, "yyyyMMdd")
+def minute_key(ts: str) -> str:
+    return f"date_format({ts}, 'yyyyMMddHHmm')"
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return F.unix_timestamp(end) - F.unix_timestamp(start)
+def seconds_between(start: str, end: str) -> str:
+    return f"unix_timestamp({end}) - unix_timestamp({start})"

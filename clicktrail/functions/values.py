@@ -1,49 +1,44 @@
-"""Expressions for missing values, id lists, ratios and buckets."""
+"""Missing values, id lists, ratios and buckets, as SQL text over column names.
 
-from __future__ import annotations
+The results go into ``selectExpr`` and ``F.expr``.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+def blank_to_null(text: str) -> str:
+    return f"nullif({text}, '')"
 
 
-def absent_to_null(number: Column) -> Column:
+def absent_to_null(number: str) -> str:
     """-1 marks an absent id."""
-    return F.nullif(number, F.lit(-1).cast("bigint"))
+    return f"nullif({number}, -1L)"
 
 
-def id_list(text: Column) -> Column:
+def id_list(text: str) -> str:
     """Ids of a comma list as ``array<bigint>``; duplicates stay, gaps and non-numbers go."""
-    ids = F.transform(F.split(text, ","), lambda item: item.try_cast("bigint"))
-    return F.filter(ids, lambda item: item.isNotNull())
+    return f"array_compact(transform(split({text}, ','), item -> try_cast(item AS BIGINT)))"
 
 
-def comma_text(items: Column) -> Column:
+def comma_text(items: str) -> str:
     """Array as comma text, NULL when the array is empty."""
-    return blank_to_null(F.array_join(items, ","))
-
-
-def whole_div(a: Column, b: Column) -> Column:
-    """Integer quotient."""
-    return F.call_function("div", a, b)
+    return f"nullif(array_join({items}, ','), '')"
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str) -> str:
     """``part / whole`` to two decimals, half up, in exact integer steps.
 
     NULL when ``whole`` is zero.
     """
-    whole = F.nullif(whole, F.lit(0).cast("bigint"))
-    return whole_div(part * 200 + whole, whole * 2) / F.lit(100.0)
+    return f"((200 * {part} + {whole}) div (2 * nullif({whole}, 0L))) / 100.0D"
 
 
-def bucket_label(value: Column, buckets) -> Column:
+def bucket_label(value: str, buckets) -> str:
     """Label of the bucket holding ``value``; NULL outside all buckets."""
-    label = F.lit(None).cast("string")
-    for name, low, high in reversed(buckets):
-        inside = value >= low if high is None else value.between(low, high)
-        label = F.when(inside, F.lit(name)).otherwise(label)
-    return label
+    cases = " ".join(
+        f"WHEN {value} >= {low} THEN '{name}'"
+        if high is None
+        else f"WHEN {value} BETWEEN {low} AND {high} THEN '{name}'"
+        for name, low, high in buckets
+    )
+    return f"CASE {cases} END"

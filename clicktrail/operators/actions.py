@@ -29,20 +29,18 @@ def normalised_actions(actions: DataFrame) -> DataFrame:
     """
     if "action_seq" not in actions.columns:
         actions = actions.withColumn("action_seq", F.xxhash64(*actions.columns))
-    ts = F.col("action_ts")
-    return actions.withColumn("action_ts", times.action_timestamp(F.col("action_time"))).withColumns(
-        {
-            "date_hour": times.date_hour(ts),
-            "date_key": times.date_key(ts),
-            "minute_key": times.minute_key(ts),
-            "keyword": values.blank_to_null(F.col("search_keyword")),
-            "category_id": values.absent_to_null(F.col("click_category_id")),
-            "product_id": values.absent_to_null(F.col("click_product_id")),
-            "order_categories": values.id_list(F.col("order_category_ids")),
-            "order_products": values.id_list(F.col("order_product_ids")),
-            "pay_categories": values.id_list(F.col("pay_category_ids")),
-            "pay_products": values.id_list(F.col("pay_product_ids")),
-        }
+    return actions.selectExpr("*", f"{times.action_timestamp('action_time')} AS action_ts").selectExpr(
+        "*",
+        f"{times.date_hour('action_ts')} AS date_hour",
+        f"{times.date_key('action_ts')} AS date_key",
+        f"{times.minute_key('action_ts')} AS minute_key",
+        f"{values.blank_to_null('search_keyword')} AS keyword",
+        f"{values.absent_to_null('click_category_id')} AS category_id",
+        f"{values.absent_to_null('click_product_id')} AS product_id",
+        f"{values.id_list('order_category_ids')} AS order_categories",
+        f"{values.id_list('order_product_ids')} AS order_products",
+        f"{values.id_list('pay_category_ids')} AS pay_categories",
+        f"{values.id_list('pay_product_ids')} AS pay_products",
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clicktrail.operators.sessions import detail_report
 
 KINDS = {
-    "click": "CASE WHEN category_id IS NULL THEN array() ELSE array(category_id) END",
+    "click": "array_compact(array(category_id))",
     "order": "order_categories",
     "pay": "pay_categories",
 }
@@ -21,13 +21,10 @@ def category_events(actions: DataFrame, kinds=tuple(KINDS)) -> DataFrame:
 
     A category listed twice in one order counts twice.
     """
-    tagged = [
-        f"transform(coalesce({KINDS[kind]}, array()), x -> named_struct('kind', '{kind}', 'category_id', x))"
-        for kind in kinds
-    ]
-    return actions.select("session_id", F.expr(f"explode(concat({', '.join(tagged)})) AS event")).select(
-        "session_id", "event.kind", "event.category_id"
-    )
+    listed = ", ".join(f"'{kind}', {KINDS[kind]}" for kind in kinds)
+    return actions.selectExpr(
+        "session_id", f"stack({len(kinds)}, {listed}) AS (kind, category_ids)"
+    ).selectExpr("session_id", "kind", "explode(category_ids) AS category_id")
 
 
 def session_category_activity(events: DataFrame, sessions: DataFrame | None = None) -> DataFrame:

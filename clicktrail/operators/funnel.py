@@ -119,7 +119,7 @@ def page_conversion(steps: DataFrame, path: Sequence[int]) -> DataFrame:
             F.lit(f"{a}_{b}").alias("pair"),
             F.col(f"pv_{i}").alias("pv"),
             F.col(f"pv_{i - 1}").alias("previous_pv"),
-            values.ratio(F.col(f"pv_{i}"), F.col(f"pv_{i - 1}")).alias("rate"),
+            F.expr(values.ratio(f"pv_{i}", f"pv_{i - 1}")).alias("rate"),
         )
         for i, (a, b) in enumerate(moves, 1)
     ]

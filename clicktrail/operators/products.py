@@ -35,14 +35,13 @@ def area_product_clicks(city_clicks: DataFrame, cities: DataFrame) -> DataFrame:
     instead of every click, and a list gathers at most the cities of an area.
     """
     city = F.struct("city_id", "city_name")
-    listed = F.transform(
-        F.array_sort(F.collect_set(city)),
-        lambda c: F.concat_ws(":", c["city_id"].cast("string"), c["city_name"]),
-    )
+    labels = "transform(array_sort(cities), c -> concat_ws(':', CAST(c.city_id AS STRING), c.city_name))"
     return (
         city_clicks.join(cities, "city_id")
         .groupBy("area", "product_id")
-        .agg(F.sum("city_clicks").alias("click_count"), values.comma_text(listed).alias("city_infos"))
+        .agg(F.sum("city_clicks").alias("click_count"), F.collect_set(city).alias("cities"))
+        .withColumn("city_infos", F.expr(values.comma_text(labels)))
+        .drop("cities")
     )
 
 

@@ -13,11 +13,10 @@ CELL = ["start_date", "start_hour"]
 
 
 def _with_cell(sessions: DataFrame) -> DataFrame:
-    return sessions.withColumns(
-        {
-            "start_date": times.date_text(F.col("start_ts")),
-            "start_hour": times.hour_text(F.col("start_ts")),
-        }
+    return sessions.selectExpr(
+        "*",
+        f"{times.date_text('start_ts')} AS start_date",
+        f"{times.hour_text('start_ts')} AS start_hour",
     )
 
 
@@ -42,12 +41,10 @@ def session_sample_quota(hourly: DataFrame, params: TaskParams) -> DataFrame:
     The unpartitioned window sees one row per date and hour, nothing else.
     """
     days = F.size(F.collect_set("start_date").over(Window.partitionBy()))
-    count = F.col("session_count")
-    per_day = values.whole_div(F.lit(params.sample_size), F.col("days"))
-    share = values.whole_div(count * per_day, F.col("day_session_count"))
+    share = f"session_count * ({params.sample_size} div days) div day_session_count"
     return (
         hourly.withColumn("days", days)
-        .withColumn("quota", F.least(count, share + params.extra_per_hour))
+        .withColumn("quota", F.expr(f"least(session_count, {share} + {params.extra_per_hour})"))
         .drop("days")
     )
 
@@ -97,8 +94,8 @@ def session_random_extract(sample: DataFrame, actions: DataFrame, task_id: str)
             F.lit(task_id).alias("taskid"),
             F.col("session_id").alias("sessionid"),
             F.col("start_time").alias("startTime"),
-            values.comma_text(F.col("keywords")).alias("searchKeywords"),
-            values.comma_text(F.col("categories")).alias("clickCategoryIds"),
+            F.expr(f"{values.comma_text('keywords')} AS searchKeywords"),
+            F.expr(f"{values.comma_text('categories')} AS clickCategoryIds"),
         )
     )
 

@@ -55,8 +55,11 @@ def session_summary(actions: DataFrame, params: TaskParams | None = None) -> Dat
             F.max("action_ts").alias("end_ts"),
             F.count(F.lit(1)).alias("step_length"),
         )
-        .withColumn("visit_length", times.seconds_between(F.col("start_ts"), F.col("end_ts")))
-        .withColumn("start_time", times.time_text(F.col("start_ts")))
+        .selectExpr(
+            "*",
+            f"{times.seconds_between('start_ts', 'end_ts')} AS visit_length",
+            f"{times.time_text('start_ts')} AS start_time",
+        )
     )
 
 
@@ -97,11 +100,10 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
 
 def session_buckets(sessions: DataFrame) -> DataFrame:
     """Adds ``visit_bucket`` and ``step_bucket``; a visit of zero seconds has no bucket."""
-    return sessions.withColumns(
-        {
-            "visit_bucket": values.bucket_label(F.col("visit_length"), VISIT_BUCKETS),
-            "step_bucket": values.bucket_label(F.col("step_length"), STEP_BUCKETS),
-        }
+    return sessions.selectExpr(
+        "*",
+        f"{values.bucket_label('visit_length', VISIT_BUCKETS)} AS visit_bucket",
+        f"{values.bucket_label('step_length', STEP_BUCKETS)} AS step_bucket",
     )
 
 
@@ -114,12 +116,12 @@ def session_aggr_stat(sessions: DataFrame, task_id: str) -> DataFrame:
     counters |= {f"step_length_{label}": ("step_bucket", label) for label, _, _ in STEP_BUCKETS}
     counted = session_buckets(sessions).agg(
         F.count(F.lit(1)).alias("session_count"),
-        *(F.count_if(F.col(column) == label).alias(name) for name, (column, label) in counters.items()),
+        *(F.expr(f"count_if({column} = '{label}') AS {name}") for name, (column, label) in counters.items()),
     )
     return counted.select(
         F.lit(task_id).alias("taskid"),
         "session_count",
-        *(values.ratio(F.col(name), F.col("session_count")).alias(f"{name}_ratio") for name in counters),
+        *(F.expr(f"{values.ratio(name, 'session_count')} AS {name}_ratio") for name in counters),
     )
 
 
@@ -139,7 +141,7 @@ def detail_report(actions: DataFrame, task_id: str) -> DataFrame:
     """Actions in the shape of the detail report, with the values as stored."""
     return actions.select(
         F.lit(task_id).alias("taskid"),
-        *(F.col(column).alias(name) for name, column in DETAIL_COLUMNS.items()),
+        *(F.expr(f"{column} AS {name}") for name, column in DETAIL_COLUMNS.items()),
     )
 
 

@@ -38,7 +38,7 @@ BY_ATTRIBUTES = replace(
 BY_INTERESTS = replace(
     PARAMS, keywords=("kw1", "kw7", "kw10"), category_ids=tuple(range(0, 100, 3))
 )
-LARGE_SAMPLE = replace(PARAMS, sample_size=2000)
+LARGE_SAMPLE = replace(PARAMS, sample_size=1000)
 ONE_MORE_PER_HOUR = replace(PARAMS, extra_per_hour=1)
 RETURNING_PATH = (3, 4, 3, 4, 12, 5)
 
@@ -85,14 +85,14 @@ def normalised_actions(spark, sf_dir):
         "session_id",
         "page_id",
         "city_id",
-        times.time_text(F.col("action_ts")).alias("action_time"),
+        F.expr(times.time_text("action_ts")).alias("action_time"),
         "date_hour",
         "date_key",
         "minute_key",
         "keyword",
         F.col("category_id").cast("string"),
         F.col("product_id").cast("string"),
-        *(values.comma_text(F.col(name)).alias(name) for name in lists),
+        *(F.expr(f"{values.comma_text(name)} AS {name}") for name in lists),
     )
 
 
@@ -105,7 +105,7 @@ def clicked_products(spark, sf_dir):
 
 def _with_list_text(df: DataFrame) -> DataFrame:
     return df.withColumns(
-        {name: values.comma_text(F.col(name)) for name in ("search_keywords", "click_category_ids")}
+        {name: F.expr(values.comma_text(name)) for name in ("search_keywords", "click_category_ids")}
     ).drop("keyword_match", "category_match", "start_ts", "end_ts")
 
 

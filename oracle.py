@@ -106,7 +106,7 @@ TABLES = {
         FROM (SELECT start_time[1:10] AS start_date, start_time[12:13] AS start_hour, count(*) AS session_count
               FROM filtered GROUP BY ALL)""",
     "quota": """
-        SELECT *, least(session_count, session_count * (2000 // days) // day_session_count) AS quota,
+        SELECT *, least(session_count, session_count * (1000 // days) // day_session_count) AS quota,
                least(session_count, session_count * (100 // days) // day_session_count + 1) AS one_more
         FROM hourly, (SELECT count(DISTINCT start_date) AS days FROM hourly)""",
     "drawn": """
