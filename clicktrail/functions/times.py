@@ -9,9 +9,10 @@ from __future__ import annotations
 def action_timestamp(text: str) -> str:
     """Timestamp of ``yyyy-MM-dd H:mm:ss`` text; the hour may be one digit.
 
-    Text that is no time gives NULL.
+    Text that is no time gives NULL. A cast takes one-digit hours too and is far
+    cheaper than parsing with a pattern.
     """
-    return f"try_to_timestamp({text}, 'yyyy-MM-dd H:mm:ss')"
+    return f"try_cast({text} AS TIMESTAMP)"
 
 
 def time_text(ts: str) -> str:
@@ -19,11 +20,11 @@ def time_text(ts: str) -> str:
 
 
 def date_text(ts: str) -> str:
-    return f"date_format({ts}, 'yyyy-MM-dd')"
+    return f"CAST(CAST({ts} AS DATE) AS STRING)"
 
 
 def hour_text(ts: str) -> str:
-    return f"date_format({ts}, 'HH')"
+    return f"lpad(CAST(hour({ts}) AS STRING), 2, '0')"
 
 
 def date_hour(ts: str) -> str:

@@ -19,8 +19,11 @@ def _pair(page: Column, next_page: Column) -> Column:
 
 def target_page_pairs(spark: SparkSession, path: Sequence[int]) -> DataFrame:
     """``pos, page_id, next_page_id, pair`` for each step of the path; positions from 1."""
-    steps = [(i, a, b, f"{a}_{b}") for i, (a, b) in enumerate(zip(path, path[1:]), 1)]
-    return spark.createDataFrame(steps, "pos INT, page_id BIGINT, next_page_id BIGINT, pair STRING")
+    steps = ", ".join(
+        f"({i}, {int(a)}L, {int(b)}L, '{int(a)}_{int(b)}')"
+        for i, (a, b) in enumerate(zip(path, path[1:]), 1)
+    )
+    return spark.sql(f"SELECT * FROM VALUES {steps} AS path(pos, page_id, next_page_id, pair)")
 
 
 def _steps_of_hot_sessions(actions: DataFrame, slices: int | None) -> DataFrame:

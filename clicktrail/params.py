@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 
 def _items(value) -> tuple[str, ...]:
@@ -40,6 +41,12 @@ class TaskParams:
     extra_per_hour: int = 0
     seed: str = "7"
 
+    @classmethod
+    def of_yesterday(cls, as_of: date, **settings) -> TaskParams:
+        """The day before ``as_of``; the caller names the day, so a rerun repeats it."""
+        day = (as_of - timedelta(days=1)).isoformat()
+        return cls(start_date=day, end_date=day, **settings)
+
     @classmethod
     def from_mapping(cls, task: Mapping) -> TaskParams:
         """Build from the task's JSON names; lists may be comma-separated text."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktrail.schemas import CITIES, CITY_INFO
+from clicktrail.schemas import CITIES
 
 
 def city_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CITIES, CITY_INFO)
+    rows = ", ".join(f"({city_id}L, '{name}', '{area}')" for city_id, name, area in CITIES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS city(city_id, city_name, area)")

@@ -30,7 +30,7 @@ def user_visit_action(
             "*",
             "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
             "CAST(CAST(ts AS DATE) AS STRING) AS d",
-            "CAST(FLOOR((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / 30.0) AS INT) AS off",
+            "(hour(ts) * 3600 + minute(ts) * 60 + second(ts)) div 30 AS off",
         )
         .selectExpr(
             "d AS date",
@@ -38,7 +38,7 @@ def user_visit_action(
             "concat(CAST(user_id AS STRING), '_', d) AS session_id",
             "CAST(k % 10 AS BIGINT) AS page_id",
             """concat(d, ' ', CAST(user_id % 24 AS STRING), ':',
-                      lpad(CAST(CAST(FLOOR(off / 60.0) AS INT) AS STRING), 2, '0'), ':',
+                      lpad(CAST(off div 60 AS STRING), 2, '0'), ':',
                       lpad(CAST(off % 60 AS STRING), 2, '0')) AS action_time""",
             "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 12 AS STRING)) END AS search_keyword",
             "CAST(CASE WHEN event_type = 'click' THEN k ELSE -1 END AS BIGINT) AS click_category_id",

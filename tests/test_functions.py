@@ -1,0 +1,88 @@
+from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from clicktrail import TaskParams
+from clicktrail.functions import times, values
+from clicktrail.schemas import STEP_BUCKETS, VISIT_BUCKETS
+
+counts = st.tuples(st.integers(0, 10**9), st.integers(1, 10**9))
+
+
+def one(spark, expression, **columns):
+    literals = [F.lit(value).alias(name) for name, value in columns.items()]
+    return spark.range(1).select(*literals).select(F.expr(expression)).first()[0]
+
+
+def test_ratio_rounds_half_up(spark):
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(counts, min_size=50, max_size=200))
+    def check(pairs):
+        pairs = [*pairs, (57, 200), (1, 200), (0, 7), (7, 7)]
+        df = spark.createDataFrame(pairs, "n BIGINT, d BIGINT")
+        for row in df.withColumn("r", F.expr(values.ratio("n", "d"))).collect():
+            exact = Decimal(row.n) / Decimal(row.d)
+            # Decimal keeps 28 digits, so ties of counts below 1e9 are exact.
+            assert row.r == float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+    check()
+
+
+def test_ratio_of_tie_and_of_nothing(spark):
+    assert one(spark, values.ratio("57L", "200L")) == 0.29
+    assert one(spark, values.ratio("3L", "0L")) is None
+
+
+def test_times(spark):
+    ts = times.action_timestamp("t")
+    assert one(spark, times.time_text(ts), t="2019-02-01 9:05:07") == "2019-02-01 09:05:07"
+    assert one(spark, times.date_hour(ts), t="2019-02-01 9:05:07") == "2019-02-01_09"
+    assert one(spark, times.hour_text(ts), t="2019-02-01 9:05:07") == "09"
+    assert one(spark, times.date_text(ts), t="2019-02-01 9:05:07") == "2019-02-01"
+    assert one(spark, times.minute_key(ts), t="2019-02-01 19:05:07") == "201902011905"
+    assert one(spark, times.date_key(ts), t="2019-02-01 19:05:07") == "20190201"
+    assert one(spark, times.date_of_key("'20190201'")) == date(2019, 2, 1)
+    assert one(spark, ts, t="yesterday") is None
+    b = times.action_timestamp("b")
+    assert one(spark, times.seconds_between(ts, b), t="2019-02-01 9:59:58", b="2019-02-01 10:00:05") == 7
+
+
+def test_values(spark):
+    assert one(spark, values.id_list("t"), t="7,7,3,") == [7, 7, 3]
+    assert one(spark, values.id_list("t"), t="") == []
+    assert one(spark, values.id_list("t"), t="7,x,9") == [7, 9]
+    assert one(spark, values.id_list("t"), t=None) is None
+    assert one(spark, values.comma_text("array(3, 10)")) == "3,10"
+    assert one(spark, values.comma_text("array()")) is None
+    assert one(spark, values.blank_to_null("''")) is None
+    assert one(spark, values.absent_to_null("-1L")) is None
+
+
+def test_bucket_edges(spark):
+    visits = {
+        0: None, 1: "1s_3s", 3: "1s_3s", 4: "4s_6s", 6: "4s_6s", 7: "7s_9s", 9: "7s_9s", 10: "10s_30s",
+        30: "10s_30s", 31: "30s_60s", 60: "30s_60s", 61: "1m_3m", 180: "1m_3m", 181: "3m_10m",
+        600: "3m_10m", 601: "10m_30m", 1800: "10m_30m", 1801: "30m", 10**6: "30m",
+    }
+    steps = {1: "1_3", 3: "1_3", 4: "4_6", 7: "7_9", 10: "10_30", 30: "10_30", 31: "30_60", 60: "30_60", 61: "60"}
+    for expected, buckets in ((visits, VISIT_BUCKETS), (steps, STEP_BUCKETS)):
+        df = spark.createDataFrame([(n,) for n in expected], "n BIGINT")
+        found = df.select("n", F.expr(values.bucket_label("n", buckets)).alias("label")).collect()
+        assert {row.n: row.label for row in found} == expected
+
+
+def test_params_from_mapping():
+    task = {
+        "startDate": "2019-02-01", "endDate": "2019-02-28", "startAge": 20, "endAge": "50",
+        "professionals": "", "cities": "rome, oslo", "sex": "", "keywords": "",
+        "categoryIds": "3,11", "targetPageFlow": "1,2,3",
+    }
+    assert TaskParams.from_mapping(task) == TaskParams(
+        "2019-02-01", "2019-02-28", 20, 50, cities=("rome", "oslo"), category_ids=(3, 11),
+        target_page_flow=(1, 2, 3),
+    )
+    assert TaskParams.from_mapping({"startDate": "a", "endDate": "b"}) == TaskParams("a", "b")
+    assert TaskParams.of_yesterday(date(2024, 3, 1)).start_date == "2024-02-29"

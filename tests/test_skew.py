@@ -1,0 +1,81 @@
+import random
+from collections import Counter
+
+from clicktrail.operators import sessions, skew
+from tests.rows import PARAMS, action, actions_of, edge_users, run_plan_of, users_of
+
+
+def hot_rows(n=600, seed=1):
+    rng = random.Random(seed)
+    return [action("hot" if rng.random() < 1 / 3 else f"s{rng.randint(0, 40)}", 1, i) for i in range(n)]
+
+
+def test_hot_keys_are_the_largest_and_bounded(spark):
+    counts = spark.createDataFrame([(f"k{i:02d}", 10 * i) for i in range(50)], "k STRING, n BIGINT")
+    found = skew.hot_keys(counts, "k", "n", rows_per_split=100, max_keys=5)
+    assert [tuple(r) for r in found.collect()] == [
+        ("k49", 5), ("k48", 5), ("k47", 5), ("k46", 5), ("k45", 5),
+    ]
+    assert skew.hot_keys(counts, "k", "n", rows_per_split=490).count() == 0
+
+
+def test_hot_session_is_split_and_whole(spark):
+    rows = hot_rows()
+    actions = actions_of(spark, rows)
+    kept = spark.createDataFrame([("hot",), ("s1",), ("s2",), ("nobody",)], "session_id STRING")
+    hot = sessions.hot_sessions(sessions.session_summary(actions), rows_per_split=20)
+    found = sessions.session_actions(actions, kept, hot)
+    assert found.columns == actions.columns
+    expected = Counter(row[13] for row in rows if row[2] in ("hot", "s1", "s2"))
+    assert Counter(r.action_seq for r in found.collect()) == expected
+
+
+def test_hot_session_that_is_not_kept_goes_away(spark):
+    actions = actions_of(spark, hot_rows())
+    kept = spark.createDataFrame([("s1",)], "session_id STRING")
+    hot = sessions.hot_sessions(sessions.session_summary(actions), rows_per_split=20)
+    assert {r.session_id for r in sessions.session_actions(actions, kept, hot).collect()} == {"s1"}
+
+
+def test_split_spreads_the_hot_session_over_tasks(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="8")
+    actions = actions_of(spark, hot_rows(3000))
+    hot = sessions.hot_sessions(sessions.session_summary(actions), rows_per_split=20)
+    kept = spark.createDataFrame([("hot",)], "session_id STRING")
+    sizes = sessions.session_actions(actions, kept, hot).rdd.glom().map(len).collect()
+    assert sum(sizes) > 800 and max(sizes) < sum(sizes) / 3
+
+
+def test_user_with_very_many_sessions_is_split_by_adaptive_execution(spark, settings):
+    """Where users do not fit a broadcast, the join by user must not hang on one task."""
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="4KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        adaptive__advisoryPartitionSizeInBytes="4KB",
+        adaptive__coalescePartitions__enabled="false",
+        shuffle__partitions="16",
+    )
+    rows = [action(f"s{i}", 1 if i % 3 == 0 else 2 + i % 40, i) for i in range(9000)]
+    users = users_of(spark, *((i, 30) for i in range(1, 40)))
+    enriched = sessions.session_enriched(sessions.session_summary(actions_of(spark, rows)), users)
+    plan = run_plan_of(enriched.select("session_id", "user_id", "age"))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert enriched.count() == sum(1 for row in rows if row[1] < 40)
+
+
+def test_no_hot_session_costs_no_second_branch(spark):
+    from clicktrail.operators import funnel
+
+    steps = funnel.session_steps(actions_of(spark, hot_rows(200)))
+    plan = run_plan_of(steps)
+    assert "rangepartitioning" not in plan
+
+
+def test_detail_of_a_filtered_hot_session(spark):
+    rows = hot_rows()
+    actions = actions_of(spark, rows)
+    kept = sessions.filtered_sessions(actions, edge_users(spark), PARAMS)
+    hot = sessions.hot_sessions(kept, rows_per_split=25)
+    assert sessions.session_detail(actions, kept, "t", hot).count() == len(rows)
