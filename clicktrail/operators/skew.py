@@ -3,8 +3,9 @@
 Per-key counts are cheap: a narrow scan, combined before the shuffle. Their
 ``max_keys`` largest entries are the hot keys. At most ``max_keys`` rows can
 come out, so they may be broadcast at any data size, and a key left out holds
-less than one part in ``max_keys`` of all rows, so it may stay whole. Counts
-are exact and ties are broken by key: a recomputed task sees the same list.
+less than one part in ``max_keys`` of all rows, so it may stay whole: the limit
+bounds the list, it leaves no key untreated. Counts are exact and ties are
+broken by key, so a recomputed task sees the same list.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000
+MAX_HOT_KEYS = 100_000
 ROWS_PER_SPLIT = 1_000_000
 
 
@@ -39,14 +40,17 @@ def hot_keys(
 def split_semi_join(facts: DataFrame, kept: DataFrame, key: str, spread: str, hot: DataFrame) -> DataFrame:
     """``facts`` rows whose ``key`` is in ``kept``, with hot keys spread over tasks.
 
-    Rows of a hot key get a part number from a hash of ``spread``; its entry in
-    ``kept`` is repeated once per part. Other keys have the single part 0. The
-    facts are scanned and shuffled once.
+    Rows of a hot key get a part number from a hash of ``spread`` and the input
+    partition, so even copies of one row part ways; the partition number of a
+    row is the same when its task is repeated. The key's entry in ``kept`` is
+    repeated once per part. Other keys have the single part 0. The facts are
+    scanned and shuffled once.
     """
     hot = F.broadcast(hot)
     parts = F.coalesce(F.col("splits"), F.lit(1))
+    spread_hash = F.xxhash64(F.spark_partition_id(), F.col(spread))
     spread_facts = facts.join(hot, key, "left").withColumn(
-        "part", F.pmod(F.xxhash64(F.col(spread)), parts.cast("bigint")).cast("int")
+        "part", F.pmod(spread_hash, parts.cast("bigint")).cast("int")
     )
     spread_kept = (
         kept.select(key)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from clicktrail.schemas import AD_CLICK, AREA_LEVELS
 from clicktrail.sources import sample_tables as tables
 from clicktrail.sources.dimensions import city_dimension
 from clicktrail.sources.shared import shared_folder
-from clicktrail.sources.tables import report_append, table_overwrite
+from clicktrail.sources import reports
 from clicktrail.streaming import ad_clicks
 
 TASK = "t-0001"
@@ -44,42 +45,86 @@ RETURNING_PATH = (3, 4, 3, 4, 12, 5)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+QUERIES: dict[str, Query] = {}
 
-# Inputs
 
+class Inputs:
+    """The test tables and the steps several queries start from."""
 
-def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = tables.user_visit_action(spark, sf_dir, PARAMS.start_date, PARAMS.end_date)
-    return log.actions_in_range(source, PARAMS)
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
 
+    @cached_property
+    def log(self) -> DataFrame:
+        source = tables.user_visit_action(self.spark, self.sf_dir, PARAMS.start_date, PARAMS.end_date)
+        return log.actions_in_range(source, PARAMS)
 
-def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log.normalised_actions(_log(spark, sf_dir))
+    @cached_property
+    def actions(self) -> DataFrame:
+        return log.normalised_actions(self.log)
 
+    @cached_property
+    def users(self) -> DataFrame:
+        return tables.user_info(self.spark, self.sf_dir)
 
-def _sessions(spark: SparkSession, sf_dir: str, params: TaskParams = PARAMS) -> DataFrame:
-    return sessions.filtered_sessions(_actions(spark, sf_dir), tables.user_info(spark, sf_dir), params)
+    @cached_property
+    def cities(self) -> DataFrame:
+        return tables.city_info(self.spark, self.sf_dir)
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return tables.product_info(self.spark, self.sf_dir)
 
-def _activity(spark: SparkSession, sf_dir: str, kinds=tuple(categories.KINDS)) -> DataFrame:
-    events = categories.category_events(_actions(spark, sf_dir), kinds)
-    return categories.session_category_activity(events, _sessions(spark, sf_dir))
+    @cached_property
+    def events(self) -> DataFrame:
+        return tables.read_table(self.spark, self.sf_dir, "events")
 
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return self.sessions_for(PARAMS)
 
-def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log.clicked_products(_log(spark, sf_dir), PARAMS)
+    def sessions_for(self, params: TaskParams) -> DataFrame:
+        return sessions.filtered_sessions(self.actions, self.users, params)
+
+    def sample(self, params: TaskParams = LARGE_SAMPLE) -> DataFrame:
+        return sampling.session_sample(self.sessions, params)
+
+    def activity(self, *kinds: str) -> DataFrame:
+        events = categories.category_events(self.actions, kinds or tuple(categories.KINDS))
+        return categories.session_category_activity(events, self.sessions)
+
+    @cached_property
+    def steps(self) -> DataFrame:
+        return funnel.session_steps(self.actions)
+
+    @cached_property
+    def clicks(self) -> DataFrame:
+        return log.clicked_products(self.log, PARAMS)
+
+    def area_products(self, cities: DataFrame) -> DataFrame:
+        per_area = products.area_product_clicks(products.city_product_clicks(self.clicks), cities)
+        return products.area_product_full(per_area, self.products)
+
+
+def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    """Register a query under its function's name."""
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
+    return build
 
 
 # Action log
 
 
-def actions_in_range(spark, sf_dir):
-    return _log(spark, sf_dir)
+@query
+def actions_in_range(t):
+    return t.log
 
 
-def normalised_actions(spark, sf_dir):
+@query
+def normalised_actions(t):
     lists = ("order_categories", "order_products", "pay_categories", "pay_products")
-    return _actions(spark, sf_dir).select(
+    return t.actions.select(
         "action_seq",
         "user_id",
         "session_id",
@@ -96,8 +141,9 @@ def normalised_actions(spark, sf_dir):
     )
 
 
-def clicked_products(spark, sf_dir):
-    return _clicks(spark, sf_dir)
+@query
+def clicked_products(t):
+    return t.clicks
 
 
 # Sessions
@@ -109,156 +155,174 @@ def _with_list_text(df: DataFrame) -> DataFrame:
     ).drop("keyword_match", "category_match", "start_ts", "end_ts")
 
 
-def session_summary(spark, sf_dir):
-    return _with_list_text(sessions.session_summary(_actions(spark, sf_dir)))
+@query
+def session_summary(t):
+    return _with_list_text(sessions.session_summary(t.actions))
 
 
-def session_enriched(spark, sf_dir):
-    summary = sessions.session_summary(_actions(spark, sf_dir))
-    return _with_list_text(sessions.session_enriched(summary, tables.user_info(spark, sf_dir)))
+@query
+def session_enriched(t):
+    return _with_list_text(sessions.session_enriched(sessions.session_summary(t.actions), t.users))
 
 
-def session_filtered(spark, sf_dir):
-    return _with_list_text(_sessions(spark, sf_dir))
+@query
+def session_filtered(t):
+    return _with_list_text(t.sessions)
 
 
-def session_filtered_by_attributes(spark, sf_dir):
-    return _with_list_text(_sessions(spark, sf_dir, BY_ATTRIBUTES))
+@query
+def session_filtered_by_attributes(t):
+    return _with_list_text(t.sessions_for(BY_ATTRIBUTES))
 
 
-def session_filtered_by_interests(spark, sf_dir):
-    return _with_list_text(_sessions(spark, sf_dir, BY_INTERESTS))
+@query
+def session_filtered_by_interests(t):
+    return _with_list_text(t.sessions_for(BY_INTERESTS))
 
 
-def session_buckets(spark, sf_dir):
-    return sessions.session_buckets(_sessions(spark, sf_dir)).select(
+@query
+def session_buckets(t):
+    return sessions.session_buckets(t.sessions).select(
         "session_id", "visit_length", "step_length", "visit_bucket", "step_bucket"
     )
 
 
-def session_aggr_stat(spark, sf_dir):
-    return sessions.session_aggr_stat(_sessions(spark, sf_dir), TASK)
+@query
+def session_aggr_stat(t):
+    return sessions.session_aggr_stat(t.sessions, TASK)
 
 
-def session_aggr_stat_by_interests(spark, sf_dir):
-    return sessions.session_aggr_stat(_sessions(spark, sf_dir, BY_INTERESTS), TASK)
+@query
+def session_aggr_stat_by_interests(t):
+    return sessions.session_aggr_stat(t.sessions_for(BY_INTERESTS), TASK)
 
 
-def session_detail(spark, sf_dir):
-    return sessions.session_detail(_actions(spark, sf_dir), _sessions(spark, sf_dir), TASK)
+@query
+def session_detail(t):
+    return sessions.session_detail(t.actions, t.sessions, TASK)
 
 
 # Sampling
 
 
-def session_hourly_counts(spark, sf_dir):
-    return sampling.session_hourly_counts(_sessions(spark, sf_dir))
-
+@query
+def session_hourly_counts(t):
+    return sampling.session_hourly_counts(t.sessions)
 
-def session_sample_quota(spark, sf_dir):
-    return sampling.session_sample_quota(session_hourly_counts(spark, sf_dir), LARGE_SAMPLE)
 
+@query
+def session_sample_quota(t):
+    return sampling.session_sample_quota(sampling.session_hourly_counts(t.sessions), LARGE_SAMPLE)
 
-def _sample(spark, sf_dir, params=LARGE_SAMPLE):
-    return sampling.session_sample(_sessions(spark, sf_dir), params)
 
+@query
+def session_random_extract(t):
+    return sampling.session_random_extract(t.sample(), t.actions, TASK)
 
-def session_random_extract(spark, sf_dir):
-    return sampling.session_random_extract(_sample(spark, sf_dir), _actions(spark, sf_dir), TASK)
 
+@query
+def session_random_extract_one_more(t):
+    return sampling.session_random_extract(t.sample(ONE_MORE_PER_HOUR), t.actions, TASK)
 
-def session_random_extract_one_more(spark, sf_dir):
-    sample = _sample(spark, sf_dir, ONE_MORE_PER_HOUR)
-    return sampling.session_random_extract(sample, _actions(spark, sf_dir), TASK)
 
-
-def session_random_detail(spark, sf_dir):
-    return sampling.session_random_detail(_sample(spark, sf_dir), _actions(spark, sf_dir), TASK)
+@query
+def session_random_detail(t):
+    return sampling.session_random_detail(t.sample(), t.actions, TASK)
 
 
 # Categories
 
 
-def category_universe(spark, sf_dir):
-    return categories.category_universe(_activity(spark, sf_dir))
+@query
+def category_universe(t):
+    return categories.category_universe(t.activity())
 
 
-def category_click_counts(spark, sf_dir):
-    return categories.category_click_counts(_activity(spark, sf_dir, ["click"]))
+@query
+def category_click_counts(t):
+    return categories.category_click_counts(t.activity("click"))
 
 
-def category_order_counts(spark, sf_dir):
-    return categories.category_order_counts(_activity(spark, sf_dir, ["order"]))
+@query
+def category_order_counts(t):
+    return categories.category_order_counts(t.activity("order"))
 
 
-def category_pay_counts(spark, sf_dir):
-    return categories.category_pay_counts(_activity(spark, sf_dir, ["pay"]))
+@query
+def category_pay_counts(t):
+    return categories.category_pay_counts(t.activity("pay"))
 
 
-def category_activity(spark, sf_dir):
-    return categories.category_activity(_activity(spark, sf_dir))
+@query
+def category_activity(t):
+    return categories.category_activity(t.activity())
 
 
-def top10_category(spark, sf_dir):
-    return categories.top10_category(category_activity(spark, sf_dir), TASK)
+@query
+def top10_category(t):
+    return categories.top10_category(category_activity(t), TASK)
 
 
-def category_session_clicks(spark, sf_dir):
-    return categories.category_session_clicks(_activity(spark, sf_dir, ["click"]))
+@query
+def category_session_clicks(t):
+    return categories.category_session_clicks(t.activity("click"))
 
 
-def top10_session(spark, sf_dir):
-    clicks = categories.clicks_in_top_categories(
-        _actions(spark, sf_dir), _sessions(spark, sf_dir), top10_category(spark, sf_dir)
-    )
+@query
+def top10_session(t):
+    clicks = categories.clicks_in_top_categories(t.actions, t.sessions, top10_category(t))
     return categories.top10_session(clicks, TASK)
 
 
-def top10_session_detail(spark, sf_dir):
-    return categories.top10_session_detail(top10_session(spark, sf_dir), _actions(spark, sf_dir), TASK)
+@query
+def top10_session_detail(t):
+    return categories.top10_session_detail(top10_session(t), t.actions, TASK)
 
 
 # Page funnel
 
 
-def _steps(spark, sf_dir):
-    return funnel.session_steps(_actions(spark, sf_dir))
-
-
-def target_page_pairs(spark, sf_dir):
+@query
+def target_page_pairs(t):
     """The pairs of the path, with how many actions are on a pair's first page."""
-    pairs = funnel.target_page_pairs(spark, PARAMS.target_page_flow)
-    views = _actions(spark, sf_dir).groupBy("page_id").agg(F.count(F.lit(1)).alias("page_pv"))
+    pairs = funnel.target_page_pairs(t.spark, PARAMS.target_page_flow)
+    views = t.actions.groupBy("page_id").agg(F.count(F.lit(1)).alias("page_pv"))
     return views.join(F.broadcast(pairs), "page_id")
 
 
-def session_page_pairs(spark, sf_dir):
-    return funnel.session_page_pairs(_steps(spark, sf_dir))
+@query
+def session_page_pairs(t):
+    return funnel.session_page_pairs(t.steps)
 
 
-def page_pair_pv(spark, sf_dir):
-    return funnel.page_pair_pv(session_page_pairs(spark, sf_dir), PARAMS.target_page_flow)
+@query
+def page_pair_pv(t):
+    return funnel.page_pair_pv(session_page_pairs(t), PARAMS.target_page_flow)
 
 
-def start_page_pv(spark, sf_dir):
-    return funnel.start_page_pv(_actions(spark, sf_dir), PARAMS.target_page_flow)
+@query
+def start_page_pv(t):
+    return funnel.start_page_pv(t.actions, PARAMS.target_page_flow)
 
 
-def page_conversion(spark, sf_dir):
-    return funnel.page_conversion(_steps(spark, sf_dir), PARAMS.target_page_flow)
+@query
+def page_conversion(t):
+    return funnel.page_conversion(t.steps, PARAMS.target_page_flow)
 
 
-def page_conversion_returning_path(spark, sf_dir):
-    return funnel.page_conversion(_steps(spark, sf_dir), RETURNING_PATH)
+@query
+def page_conversion_returning_path(t):
+    return funnel.page_conversion(t.steps, RETURNING_PATH)
 
 
-def page_split_convert_rate(spark, sf_dir):
-    return funnel.page_split_convert_rate(page_conversion(spark, sf_dir), TASK)
+@query
+def page_split_convert_rate(t):
+    return funnel.page_split_convert_rate(page_conversion(t), TASK)
 
 
-def kv_report_decode(spark, sf_dir):
-    conversion = page_conversion_returning_path(spark, sf_dir)
-    report = funnel.page_split_convert_rate(conversion, TASK)
+@query
+def kv_report_decode(t):
+    report = funnel.page_split_convert_rate(page_conversion_returning_path(t), TASK)
     report = report.withColumn("convertRate", packed.kv_replaced(F.col("convertRate"), "4_3", "9.9"))
     return packed.kv_report_decode(report, "convertRate")
 
@@ -266,53 +330,52 @@ def kv_report_decode(spark, sf_dir):
 # Products per area
 
 
-def click_product_basic(spark, sf_dir):
-    return products.click_product_basic(_clicks(spark, sf_dir), tables.city_info(spark, sf_dir))
+@query
+def click_product_basic(t):
+    return products.click_product_basic(t.clicks, t.cities)
 
 
-def _area_clicks(spark, sf_dir, cities):
-    return products.area_product_clicks(products.city_product_clicks(_clicks(spark, sf_dir)), cities)
+@query
+def area_product_clicks(t):
+    return products.area_product_clicks(products.city_product_clicks(t.clicks), t.cities)
 
 
-def area_product_clicks(spark, sf_dir):
-    return _area_clicks(spark, sf_dir, tables.city_info(spark, sf_dir))
+@query
+def area_product_full(t):
+    return t.area_products(t.cities)
 
 
-def area_product_full(spark, sf_dir):
-    return products.area_product_full(
-        area_product_clicks(spark, sf_dir), tables.product_info(spark, sf_dir)
-    )
-
+@query
+def area_top3_product(t):
+    return products.area_top3_product(t.area_products(t.cities), tables.LEVELS, TASK)
 
-def area_top3_product(spark, sf_dir):
-    return products.area_top3_product(area_product_full(spark, sf_dir), tables.LEVELS, TASK)
 
-
-def area_top3_product_city_dimension(spark, sf_dir):
-    clicks = _area_clicks(spark, sf_dir, city_dimension(spark))
-    full = products.area_product_full(clicks, tables.product_info(spark, sf_dir))
-    return products.area_top3_product(full, AREA_LEVELS, TASK)
+@query
+def area_top3_product_city_dimension(t):
+    return products.area_top3_product(t.area_products(city_dimension(t.spark)), AREA_LEVELS, TASK)
 
 
 # Sinks and stream
 
 
-def report_append_twice(spark, sf_dir):
+@query
+def report_append(t):
     """Two tasks' category reports appended to one table, read back."""
-    target = shared_folder(spark, "top10_category")
-    totals = category_activity(spark, sf_dir)
+    target = shared_folder(t.spark, "top10_category")
+    totals = category_activity(t)
     for task in (TASK, "t-0002"):
-        report_append(categories.top10_category(totals, task), target)
-    return spark.read.parquet(target)
+        reports.report_append(categories.top10_category(totals, task), target)
+    return t.spark.read.parquet(target)
 
 
-def table_overwrite_by_date(spark, sf_dir):
+@query
+def table_overwrite(t):
     """The log replaced by its date range, stored by date; actions per date read back."""
-    target = shared_folder(spark, "user_visit_action")
-    source = tables.user_visit_action(spark, sf_dir)
-    table_overwrite(source.where(F.col("date") < PARAMS.start_date), target, "date")
-    table_overwrite(log.actions_in_range(source, PARAMS), target, "date")
-    stored = spark.read.schema(source.schema).parquet(target)
+    target = shared_folder(t.spark, "user_visit_action")
+    source = tables.user_visit_action(t.spark, t.sf_dir)
+    reports.table_overwrite(source.where(F.col("date") < PARAMS.start_date), target, "date")
+    reports.table_overwrite(log.actions_in_range(source, PARAMS), target, "date")
+    stored = t.spark.read.schema(source.schema).parquet(target)
     return (
         log.actions_in_range(stored, replace(PARAMS, end_date="2024-01-12"))
         .groupBy("date")
@@ -327,67 +390,18 @@ def _ad_click_text(events: DataFrame) -> DataFrame:
     )
 
 
-def ad_click_events(spark, sf_dir):
-    lines = tables.ad_click_lines(tables.read_table(spark, sf_dir, "events"))
-    return _ad_click_text(ad_clicks.ad_click_events(lines))
+@query
+def ad_click_events(t):
+    return _ad_click_text(ad_clicks.ad_click_events(tables.ad_click_lines(t.events)))
 
 
-def ad_click_stream(spark, sf_dir):
+@query
+def ad_click_stream(t):
     """The same lines through a stream into a table, read back when it is done."""
-    schema = tables.read_table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    target = shared_folder(spark, "ad_clicks")
-    query = ad_clicks.ad_click_stream(
-        tables.ad_click_lines(events), target, shared_folder(spark, "ad_clicks_state")
+    stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet")
+    target = shared_folder(t.spark, "ad_clicks")
+    running = ad_clicks.ad_click_stream(
+        tables.ad_click_lines(stream.parquet(t.sf_dir)), target, shared_folder(t.spark, "ad_clicks_state")
     )
-    query.awaitTermination()
-    return _ad_click_text(spark.read.schema(AD_CLICK).parquet(target))
-
-
-QUERIES: dict[str, Query] = {
-    "actions_in_range": actions_in_range,
-    "normalised_actions": normalised_actions,
-    "clicked_products": clicked_products,
-    "session_summary": session_summary,
-    "session_enriched": session_enriched,
-    "session_filtered": session_filtered,
-    "session_filtered_by_attributes": session_filtered_by_attributes,
-    "session_filtered_by_interests": session_filtered_by_interests,
-    "session_buckets": session_buckets,
-    "session_aggr_stat": session_aggr_stat,
-    "session_aggr_stat_by_interests": session_aggr_stat_by_interests,
-    "session_detail": session_detail,
-    "session_hourly_counts": session_hourly_counts,
-    "session_sample_quota": session_sample_quota,
-    "session_random_extract": session_random_extract,
-    "session_random_extract_one_more": session_random_extract_one_more,
-    "session_random_detail": session_random_detail,
-    "category_universe": category_universe,
-    "category_click_counts": category_click_counts,
-    "category_order_counts": category_order_counts,
-    "category_pay_counts": category_pay_counts,
-    "category_activity": category_activity,
-    "top10_category": top10_category,
-    "category_session_clicks": category_session_clicks,
-    "top10_session": top10_session,
-    "top10_session_detail": top10_session_detail,
-    "target_page_pairs": target_page_pairs,
-    "session_page_pairs": session_page_pairs,
-    "page_pair_pv": page_pair_pv,
-    "start_page_pv": start_page_pv,
-    "page_conversion": page_conversion,
-    "page_conversion_returning_path": page_conversion_returning_path,
-    "page_split_convert_rate": page_split_convert_rate,
-    "kv_report_decode": kv_report_decode,
-    "click_product_basic": click_product_basic,
-    "area_product_clicks": area_product_clicks,
-    "area_product_full": area_product_full,
-    "area_top3_product": area_top3_product,
-    "area_top3_product_city_dimension": area_top3_product_city_dimension,
-    "report_append": report_append_twice,
-    "table_overwrite": table_overwrite_by_date,
-    "ad_click_events": ad_click_events,
-    "ad_click_stream": ad_click_stream,
-}
+    running.awaitTermination()
+    return _ad_click_text(t.spark.read.schema(AD_CLICK).parquet(target))

@@ -61,10 +61,19 @@ def test_hot_session_in_slices_matches_brute_force(spark, slices, same_time):
     assert found == expected_steps(rows)
 
 
+def test_hot_session_of_copies_of_one_row(spark):
+    copies = [action("hot", 1, 5, 3)] * 300 + [action("hot", 1, 4, 1), action("hot", 1, 6, 2)]
+    actions = actions_of(spark, copies).repartition(6)
+    hot = hot_sessions(session_summary(actions), rows_per_split=50)
+    steps = funnel.session_steps(actions, hot, 5)
+    found = Counter((r.page_id, r.next_page_id) for r in steps.collect())
+    assert found == {(1, 3): 1, (3, 3): 299, (3, 2): 1, (2, None): 1}
+
+
 def test_every_session_hot(spark):
     rows = random_rows(300, 9)
     actions = actions_of(spark, rows)
-    hot = hot_sessions(session_summary(actions), rows_per_split=0 + 1)
+    hot = hot_sessions(session_summary(actions), rows_per_split=1)
     steps = funnel.session_steps(actions, hot)
     found = Counter((r.session_id, r.page_id, r.next_page_id) for r in steps.collect())
     assert found == expected_steps(rows)

@@ -28,7 +28,8 @@ def test_log_without_sequence_gets_a_repeatable_one(spark):
     first = log.normalised_actions(plain).select("session_id", "action_seq").collect()
     again = log.normalised_actions(plain.repartition(3)).select("session_id", "action_seq").collect()
     assert sorted(first) == sorted(again)
-    assert len({row.action_seq for row in first}) == len(EDGE)
+    same_second = [row.action_seq for row in first if row.session_id == "A"]
+    assert len(set(same_second)) == 3  # page 2 twice, at different times
 
 
 def test_clicked_products(spark):

@@ -46,6 +46,15 @@ def test_split_spreads_the_hot_session_over_tasks(spark, settings):
     assert sum(sizes) > 800 and max(sizes) < sum(sizes) / 3
 
 
+def test_copies_of_one_row_are_spread_too(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="8")
+    actions = actions_of(spark, [action("hot", 1, 1)] * 800).repartition(16)
+    hot = sessions.hot_sessions(sessions.session_summary(actions), rows_per_split=10)
+    kept = spark.createDataFrame([("hot",)], "session_id STRING")
+    sizes = sessions.session_actions(actions, kept, hot).rdd.glom().map(len).collect()
+    assert sum(sizes) == 800 and max(sizes) <= 400
+
+
 def test_user_with_very_many_sessions_is_split_by_adaptive_execution(spark, settings):
     """Where users do not fit a broadcast, the join by user must not hang on one task."""
     settings(

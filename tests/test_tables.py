@@ -7,7 +7,7 @@ from clicktrail.plans import jobs
 from clicktrail.schemas import AREA_LEVELS, PRODUCT_INFO
 from clicktrail.sources import shared
 from clicktrail.sources.dimensions import city_dimension
-from clicktrail.sources.tables import report_append, table_overwrite
+from clicktrail.sources.reports import report_append, table_overwrite
 from tests.rows import EDGE, PARAMS, action, edge_users, log_of, plan_of
 
 
