@@ -13,16 +13,19 @@ from clicktrail.operators.sessions import hot_sessions, session_summary
 ORDER = ["action_ts", "action_seq"]
 
 
+def _moves(path: Sequence[int]) -> list[tuple[int, int]]:
+    if len(path) < 2:
+        raise ValueError("a path needs at least two pages")
+    return [(int(a), int(b)) for a, b in zip(path, path[1:])]
+
+
 def _pair(page: Column, next_page: Column) -> Column:
     return F.concat_ws("_", page.cast("string"), next_page.cast("string"))
 
 
 def target_page_pairs(spark: SparkSession, path: Sequence[int]) -> DataFrame:
     """``pos, page_id, next_page_id, pair`` for each step of the path; positions from 1."""
-    steps = ", ".join(
-        f"({i}, {int(a)}L, {int(b)}L, '{int(a)}_{int(b)}')"
-        for i, (a, b) in enumerate(zip(path, path[1:]), 1)
-    )
+    steps = ", ".join(f"({i}, {a}L, {b}L, '{a}_{b}')" for i, (a, b) in enumerate(_moves(path), 1))
     return spark.sql(f"SELECT * FROM VALUES {steps} AS path(pos, page_id, next_page_id, pair)")
 
 
@@ -94,7 +97,7 @@ def session_page_pairs(steps: DataFrame) -> DataFrame:
 
 def page_pair_pv(pairs: DataFrame, path: Sequence[int]) -> DataFrame:
     """How often each pair of the path occurs; pairs that never do are absent."""
-    wanted = sorted({f"{a}_{b}" for a, b in zip(path, path[1:])})
+    wanted = sorted({f"{a}_{b}" for a, b in _moves(path)})
     return pairs.where(F.col("pair").isin(*wanted)).groupBy("pair").agg(F.count(F.lit(1)).alias("pv"))
 
 
@@ -112,7 +115,7 @@ def page_conversion(steps: DataFrame, path: Sequence[int]) -> DataFrame:
     it has no rate.
     """
     page, following = F.col("page_id"), F.col("next_page_id")
-    moves = list(zip(path, path[1:]))
+    moves = _moves(path)
     counted = steps.agg(
         F.count_if(page == path[0]).alias("pv_0"),
         *(

@@ -14,10 +14,10 @@ from clicktrail.operators import actions as log
 from clicktrail.operators import categories, funnel, packed, products, sampling, sessions
 from clicktrail.params import TaskParams
 from clicktrail.schemas import AD_CLICK, AREA_LEVELS
+from clicktrail.sources import reports
 from clicktrail.sources import sample_tables as tables
 from clicktrail.sources.dimensions import city_dimension
-from clicktrail.sources.shared import shared_folder
-from clicktrail.sources import reports
+from clicktrail.sources.shared import shared_folder, staged
 from clicktrail.streaming import ad_clicks
 
 TASK = "t-0001"
@@ -362,7 +362,7 @@ def area_top3_product_city_dimension(t):
 def report_append(t):
     """Two tasks' category reports appended to one table, read back."""
     target = shared_folder(t.spark, "top10_category")
-    totals = category_activity(t)
+    totals = staged(category_activity(t), "category_activity")
     for task in (TASK, "t-0002"):
         reports.report_append(categories.top10_category(totals, task), target)
     return t.spark.read.parquet(target)
