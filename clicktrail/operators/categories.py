@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from clicktrail.operators.sessions import detail_report
 
+# What the log must hold for an action to be of a kind, and the categories it then has.
 KINDS = {
-    "click": "array_compact(array(category_id))",
-    "order": "order_categories",
-    "pay": "pay_categories",
+    "click": ("click_category_id <> -1", "array_compact(array(category_id))"),
+    "order": ("order_category_ids IS NOT NULL", "order_categories"),
+    "pay": ("pay_category_ids IS NOT NULL", "pay_categories"),
 }
 TOP_CATEGORIES = 10
 TOP_SESSIONS = 10
@@ -19,12 +20,16 @@ TOP_SESSIONS = 10
 def category_events(actions: DataFrame, kinds=tuple(KINDS)) -> DataFrame:
     """``session_id, kind, category_id``: one row per category clicked, ordered or paid.
 
-    A category listed twice in one order counts twice.
+    A category listed twice in one order counts twice. Actions of other kinds are
+    left out on the stored columns, so the scan can skip them.
     """
-    listed = ", ".join(f"'{kind}', {KINDS[kind]}" for kind in kinds)
-    return actions.selectExpr(
-        "session_id", f"stack({len(kinds)}, {listed}) AS (kind, category_ids)"
-    ).selectExpr("session_id", "kind", "explode(category_ids) AS category_id")
+    wanted = " OR ".join(KINDS[kind][0] for kind in kinds)
+    listed = ", ".join(f"'{kind}', {KINDS[kind][1]}" for kind in kinds)
+    return (
+        actions.where(wanted)
+        .selectExpr("session_id", f"stack({len(kinds)}, {listed}) AS (kind, category_ids)")
+        .selectExpr("session_id", "kind", "explode(category_ids) AS category_id")
+    )
 
 
 def session_category_activity(events: DataFrame, sessions: DataFrame | None = None) -> DataFrame:

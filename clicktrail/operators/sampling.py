@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from clicktrail.functions import times, values
 from clicktrail.operators.sessions import detail_report
+from clicktrail.operators.skew import broadcast_up_to
 from clicktrail.params import TaskParams
 
 CELL = ["start_date", "start_hour"]
+RANK_BOUND = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def _with_cell(sessions: DataFrame) -> DataFrame:
@@ -56,9 +58,12 @@ def session_sample(sessions: DataFrame, params: TaskParams) -> DataFrame:
     not depend on partitioning or retries. No quota exceeds the sample size plus
     ``extra_per_hour``; cutting the rank at that fixed number first lets Spark
     keep only that many rows per hour and task before the shuffle, however many
-    sessions an hour has. The quota table has one row per date and hour.
+    sessions an hour has. Spark does so up to a configured bound; a larger sample
+    is refused until that is raised. The quota table has one row per date and hour.
     """
     most = params.sample_size + params.extra_per_hour
+    if most > int(sessions.sparkSession.conf.get(RANK_BOUND)):
+        raise ValueError(f"a sample of {most} needs {RANK_BOUND} of at least {most}")
     draw = F.row_number().over(
         Window.partitionBy(*CELL).orderBy(
             F.md5(F.concat(F.lit(params.seed), F.col("session_id"))), "session_id"
@@ -76,15 +81,16 @@ def session_sample(sessions: DataFrame, params: TaskParams) -> DataFrame:
     )
 
 
-def session_random_extract(sample: DataFrame, actions: DataFrame, task_id: str) -> DataFrame:
+def session_random_extract(
+    sample: DataFrame, actions: DataFrame, params: TaskParams, task_id: str
+) -> DataFrame:
     """Report of the drawn sessions with their keywords and clicked categories.
 
-    The lists are gathered for the drawn sessions only. The sample has at most
-    ``sample_size`` rows plus ``extra_per_hour`` per hour, so it is broadcast.
+    The lists are gathered for the drawn sessions only.
     """
     return (
         actions.select("session_id", "keyword", "category_id")
-        .join(F.broadcast(sample), "session_id")
+        .join(broadcast_up_to(sample, params.largest_sample), "session_id")
         .groupBy("session_id", "start_time")
         .agg(
             F.array_sort(F.collect_set("keyword")).alias("keywords"),
@@ -100,7 +106,9 @@ def session_random_extract(sample: DataFrame, actions: DataFrame, task_id: str)
     )
 
 
-def session_random_detail(sample: DataFrame, actions: DataFrame, task_id: str) -> DataFrame:
+def session_random_detail(
+    sample: DataFrame, actions: DataFrame, params: TaskParams, task_id: str
+) -> DataFrame:
     """Detail rows of the drawn sessions."""
-    drawn = F.broadcast(sample.select("session_id"))
+    drawn = broadcast_up_to(sample.select("session_id"), params.largest_sample)
     return detail_report(actions.join(drawn, "session_id", "left_semi"), task_id)

@@ -41,6 +41,12 @@ class TaskParams:
     extra_per_hour: int = 0
     seed: str = "7"
 
+    @property
+    def largest_sample(self) -> int:
+        """No sample of these settings has more sessions."""
+        days = (date.fromisoformat(self.end_date) - date.fromisoformat(self.start_date)).days + 1
+        return self.sample_size + self.extra_per_hour * 24 * days
+
     @classmethod
     def of_yesterday(cls, as_of: date, **settings) -> TaskParams:
         """The day before ``as_of``; the caller names the day, so a rerun repeats it."""

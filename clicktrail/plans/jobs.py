@@ -30,7 +30,7 @@ def session_job(
     save("session_aggr_stat", sessions.session_aggr_stat(kept, task_id))
 
     sample = staged(sampling.session_sample(kept, params), "session_sample")
-    save("session_random_extract", sampling.session_random_extract(sample, selected, task_id))
+    save("session_random_extract", sampling.session_random_extract(sample, selected, params, task_id))
 
     activity = categories.session_category_activity(categories.category_events(selected), kept)
     activity = staged(activity, "category_activity")
@@ -44,7 +44,7 @@ def session_job(
     leaders = staged(categories.top10_session(clicks, task_id), "top10_session")
     save("top10_session", leaders)
 
-    save("session_detail", sampling.session_random_detail(sample, selected, task_id))
+    save("session_detail", sampling.session_random_detail(sample, selected, params, task_id))
     save("session_detail", categories.top10_session_detail(leaders, selected, task_id))
 
 

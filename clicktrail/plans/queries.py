@@ -217,17 +217,18 @@ def session_sample_quota(t):
 
 @query
 def session_random_extract(t):
-    return sampling.session_random_extract(t.sample(), t.actions, TASK)
+    return sampling.session_random_extract(t.sample(), t.actions, LARGE_SAMPLE, TASK)
 
 
 @query
 def session_random_extract_one_more(t):
-    return sampling.session_random_extract(t.sample(ONE_MORE_PER_HOUR), t.actions, TASK)
+    sample = t.sample(ONE_MORE_PER_HOUR)
+    return sampling.session_random_extract(sample, t.actions, ONE_MORE_PER_HOUR, TASK)
 
 
 @query
 def session_random_detail(t):
-    return sampling.session_random_detail(t.sample(), t.actions, TASK)
+    return sampling.session_random_detail(t.sample(), t.actions, LARGE_SAMPLE, TASK)
 
 
 # Categories
@@ -398,10 +399,10 @@ def ad_click_events(t):
 @query
 def ad_click_stream(t):
     """The same lines through a stream into a table, read back when it is done."""
-    stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet")
+    events = t.spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events.parquet*")
     target = shared_folder(t.spark, "ad_clicks")
     running = ad_clicks.ad_click_stream(
-        tables.ad_click_lines(stream.parquet(t.sf_dir)), target, shared_folder(t.spark, "ad_clicks_state")
+        tables.ad_click_lines(events), target, shared_folder(t.spark, "ad_clicks_state")
     )
     running.awaitTermination()
     return _ad_click_text(t.spark.read.schema(AD_CLICK).parquet(target))

@@ -33,9 +33,12 @@ def table_overwrite(
     folders. Rows are rebalanced first: one date's rows come together in files of
     advised size, and a date with very many rows is split over tasks.
     ``bucket_by=(n, "session_id")`` on a catalog table lets later groupings,
-    windows and joins by session skip the shuffle.
+    windows and joins by session skip the shuffle; there the rows of a bucket are
+    brought together, and a very large bucket is written as several files.
     """
-    if partition_by and not bucket_by:
+    if bucket_by:
+        df = df.hint("rebalance", *bucket_by)
+    elif partition_by:
         df = df.hint("rebalance", partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:

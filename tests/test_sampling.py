@@ -1,6 +1,8 @@
 import random
 from dataclasses import replace
 
+import pytest
+
 from clicktrail.operators import sampling, sessions
 from tests.rows import EDGE, PARAMS, action, actions_of, edge_users
 
@@ -73,15 +75,39 @@ def test_extract_and_detail(spark):
     actions = actions_of(spark, EDGE)
     kept = sessions.filtered_sessions(actions, edge_users(spark), PARAMS)
     sample = sampling.session_sample(kept, PARAMS)
-    found = {tuple(r) for r in sampling.session_random_extract(sample, actions, "t").collect()}
+    found = {tuple(r) for r in sampling.session_random_extract(sample, actions, PARAMS, "t").collect()}
     assert found == {
         ("t", "A", "2019-02-01 09:59:58", "hotpot,new hotpot", "1,11"),
         ("t", "B", "2019-02-01 09:00:00", None, None),
     }
-    detail = sampling.session_random_detail(sample, actions, "t")
+    detail = sampling.session_random_detail(sample, actions, PARAMS, "t")
     assert sorted(r.sessionid for r in detail.collect()) == ["A"] * 4 + ["B"]
 
 
+def test_sample_too_large_for_the_rank_bound_is_refused(spark, settings):
+    kept = kept_of(spark, EDGE)
+    large = replace(PARAMS, sample_size=2000)
+    with pytest.raises(ValueError, match="windowGroupLimitThreshold"):
+        sampling.session_sample(kept, large)
+    settings(optimizer__windowGroupLimitThreshold="2000")
+    assert sampling.session_sample(kept, large).count() == 2
+
+
+def test_large_sample_is_joined_without_broadcast(spark):
+    actions = actions_of(spark, EDGE)
+    sample = sampling.session_sample(kept_of(spark, EDGE), PARAMS)
+    wide = replace(PARAMS, start_date="1990-01-01", extra_per_hour=1)
+    assert wide.largest_sample == 100 + 24 * 10651
+
+    def hints(params):
+        report = sampling.session_random_detail(sample, actions, params, "t")
+        return report._jdf.queryExecution().analyzed().toString().count("ResolvedHint")
+
+    assert hints(PARAMS) == hints(wide) + 1
+    found = sampling.session_random_detail(sample, actions, wide, "t")
+    assert sorted(r.sessionid for r in found.collect()) == ["A"] * 4 + ["B"]
+
+
 def test_hour_is_cut_before_the_shuffle(spark):
     kept = kept_of(spark, many_sessions(50))
     plan = sampling.session_sample(kept, PARAMS)._jdf.queryExecution().executedPlan().toString()

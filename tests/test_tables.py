@@ -68,9 +68,23 @@ def test_log_bucketed_by_session_is_grouped_without_shuffle(spark):
     plan = plan_of(sessions.session_summary(log.normalised_actions(stored)))
     assert "Exchange" not in plan
     assert sessions.session_summary(log.normalised_actions(stored)).count() == 50
+    assert len(stored.inputFiles()) == 4
     spark.sql("DROP TABLE bucketed_log")
 
 
+def test_large_bucket_is_written_by_several_tasks(spark, settings):
+    settings(adaptive__advisoryPartitionSizeInBytes="20KB", adaptive__coalescePartitions__enabled="false")
+    rows = [action("hot" if i % 3 == 0 else f"s{i % 50}", 1, i, keyword=f"k{i}") for i in range(6000)]
+    source = log_of(spark, rows).repartition(8)
+    table_overwrite(source, "bucketed_hot", bucket_by=(4, "session_id"))
+    stored = spark.table("bucketed_hot")
+    assert len(stored.inputFiles()) > 4
+    summary = sessions.session_summary(log.normalised_actions(stored))
+    assert "Exchange" not in plan_of(summary)
+    assert {r.session_id: r.step_length for r in summary.collect()}["hot"] == 2000
+    spark.sql("DROP TABLE bucketed_hot")
+
+
 def test_staged_table_lies_in_the_shared_folder(spark):
     staged = shared.staged(spark.range(5).withColumn("date", F.lit("2019-02-01")), "five")
     assert staged.count() == 5 and dict(staged.dtypes)["date"] == "string"
