@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.functions import values
 from clicktrail.operators.sessions import hot_sessions, session_summary
+from clicktrail.operators.skew import by_hotness
 
 ORDER = ["action_ts", "action_seq"]
 
@@ -76,13 +77,10 @@ def session_steps(
     """
     if hot is None:
         hot = hot_sessions(session_summary(actions))
-    hot = F.broadcast(hot.select("session_id"))
-    rows = actions.select("session_id", "page_id", *ORDER)
+    long, short = by_hotness(actions.select("session_id", "page_id", *ORDER), "session_id", hot)
     in_session = Window.partitionBy("session_id").orderBy(*ORDER)
-    whole = rows.join(hot, "session_id", "left_anti").withColumn(
-        "next_page_id", F.lead("page_id").over(in_session)
-    )
-    return whole.unionByName(_steps_of_hot_sessions(rows.join(hot, "session_id", "left_semi"), slices))
+    whole = short.withColumn("next_page_id", F.lead("page_id").over(in_session))
+    return whole.unionByName(_steps_of_hot_sessions(long, slices))
 
 
 def session_page_pairs(steps: DataFrame) -> DataFrame:

@@ -46,6 +46,13 @@ def hot_keys(
     )
 
 
+def by_hotness(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of hot keys and all other rows. NULL is a key like any other."""
+    listed = F.broadcast(hot.select(F.col(key).alias("hot_key")))
+    is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
+    return df.join(listed, is_hot, "left_semi"), df.join(listed, is_hot, "left_anti")
+
+
 def split_semi_join(facts: DataFrame, kept: DataFrame, key: str, spread: str, hot: DataFrame) -> DataFrame:
     """``facts`` rows whose ``key`` is in ``kept``, with hot keys spread over tasks.
 

@@ -378,7 +378,7 @@ def table_overwrite(t):
     reports.table_overwrite(log.actions_in_range(source, PARAMS), target, "date")
     stored = t.spark.read.schema(source.schema).parquet(target)
     return (
-        log.actions_in_range(stored, replace(PARAMS, end_date="2024-01-12"))
+        log.actions_in_range(stored, PARAMS)
         .groupBy("date")
         .agg(F.count(F.lit(1)).alias("actions"), F.count("order_category_ids").alias("orders"))
     )

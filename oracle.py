@@ -303,7 +303,7 @@ _SELECTS = {
     "report_append": f"{_top_category()} UNION ALL {_top_category(chr(39) + 't-0002' + chr(39))}",
     "table_overwrite": """
         SELECT date, count(*) AS actions, count(order_category_ids) AS orders
-        FROM in_range WHERE date <= '2024-01-12' GROUP BY date""",
+        FROM in_range GROUP BY date""",
     "ad_click_events": _AD_CLICKS,
     "ad_click_stream": _AD_CLICKS,
 }

@@ -13,12 +13,12 @@ def conversion_of(spark, rows, path):
     return [tuple(r) for r in funnel.page_conversion(steps, path).orderBy("pos").collect()]
 
 
-def random_rows(n, seed, same_time=False):
+def random_rows(n, seed, same_time=False, hot="hot"):
     """One session holds a third of the rows; times repeat, rows come in no order."""
     rng = random.Random(seed)
     rows = []
     for i in range(n):
-        session = "hot" if rng.random() < 1 / 3 else f"s{rng.randint(0, 30)}"
+        session = hot if rng.random() < 1 / 3 else f"s{rng.randint(0, 30)}"
         time = "2019-02-01 9:00:00" if same_time else f"2019-02-01 {rng.randint(0, 23)}:{rng.randint(10, 12)}:30"
         rows.append(action(session, 1, i, rng.randint(0, 4), time))
     rng.shuffle(rows)
@@ -61,6 +61,16 @@ def test_hot_session_in_slices_matches_brute_force(spark, slices, same_time):
     assert found == expected_steps(rows)
 
 
+def test_rows_without_session_are_split_too(spark):
+    rows = random_rows(400, 12, hot=None)
+    actions = actions_of(spark, rows)
+    hot = hot_sessions(session_summary(actions), rows_per_split=50)
+    assert [r.session_id for r in hot.collect()] == [None]
+    steps = funnel.session_steps(actions, hot, 6)
+    found = Counter((r.session_id, r.page_id, r.next_page_id) for r in steps.collect())
+    assert found == expected_steps(rows)
+
+
 def test_hot_session_of_copies_of_one_row(spark):
     copies = [action("hot", 1, 5, 3)] * 300 + [action("hot", 1, 4, 1), action("hot", 1, 6, 2)]
     actions = actions_of(spark, copies).repartition(6)

@@ -113,6 +113,18 @@ def test_aggr_stat(spark):
     assert row == {name: 0.5 if name in halves else 0.0 for name in row}
 
 
+def test_shares_cover_all_sessions(spark):
+    """Every session has a step bucket, and a visit bucket unless it took no time."""
+    rows = [action(f"s{i % 97}", 1, i, time=f"2019-02-01 10:{i * 7 % 60:02d}:{i * 13 % 60:02d}") for i in range(300)]
+    rows += [action(f"short{i}", 1, i) for i in range(20)]
+    found = sessions.session_buckets(
+        sessions.filtered_sessions(actions_of(spark, rows), edge_users(spark), PARAMS)
+    ).collect()
+    assert len(found) == 117 and all(r.step_bucket for r in found)
+    assert all((r.visit_bucket is None) == (r.visit_length == 0) for r in found)
+    assert sum(r.visit_length == 0 for r in found) >= 20
+
+
 def test_aggr_stat_without_sessions(spark):
     params = replace(PARAMS, start_age=51, end_age=59)
     kept = sessions.filtered_sessions(actions_of(spark, EDGE), edge_users(spark), params)
