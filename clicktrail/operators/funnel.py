@@ -112,26 +112,19 @@ def page_conversion(steps: DataFrame, path: Sequence[int]) -> DataFrame:
     so the log is read once. A step that never happens has rate 0; a step after
     it has no rate.
     """
-    page, following = F.col("page_id"), F.col("next_page_id")
     moves = _moves(path)
     counted = steps.agg(
-        F.count_if(page == path[0]).alias("pv_0"),
+        F.expr(f"count_if(page_id = {moves[0][0]}) AS pv_0"),
         *(
-            F.count_if((page == a) & (following == b)).alias(f"pv_{i}")
+            F.expr(f"count_if(page_id = {a} AND next_page_id = {b}) AS pv_{i}")
             for i, (a, b) in enumerate(moves, 1)
         ),
     )
-    rows = [
-        F.struct(
-            F.lit(i).alias("pos"),
-            F.lit(f"{a}_{b}").alias("pair"),
-            F.col(f"pv_{i}").alias("pv"),
-            F.col(f"pv_{i - 1}").alias("previous_pv"),
-            F.expr(values.ratio(f"pv_{i}", f"pv_{i - 1}")).alias("rate"),
-        )
+    rows = ", ".join(
+        f"{i}, '{a}_{b}', pv_{i}, pv_{i - 1}, {values.ratio(f'pv_{i}', f'pv_{i - 1}')}"
         for i, (a, b) in enumerate(moves, 1)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+    )
+    return counted.selectExpr(f"stack({len(moves)}, {rows}) AS (pos, pair, pv, previous_pv, rate)")
 
 
 def page_split_convert_rate(conversion: DataFrame, task_id: str) -> DataFrame:

@@ -8,8 +8,18 @@ from pyspark.sql import functions as F
 LEVELS = {"AFRICA": "A Level", "AMERICA": "A Level", "ASIA": "B Level", "EUROPE": "C Level"}
 
 
+# The columns used here, declared so that opening a table starts no job.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_size INT",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def user_visit_action(
