@@ -1,0 +1,124 @@
+"""Whole-log properties on random logs, against plain Python."""
+
+from collections import defaultdict
+from datetime import datetime
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from clicktrail.operators import categories, funnel, sessions
+from tests.rows import PARAMS, action, actions_of, users_of
+
+ids = st.lists(st.integers(0, 12), min_size=1, max_size=3).map(lambda items: ",".join(map(str, items)))
+rows_strategy = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", "c", "d", "hot", "hot", "hot"]),
+        st.integers(0, 3),
+        st.tuples(st.integers(0, 23), st.integers(0, 59), st.integers(0, 59)),
+        st.sampled_from([None, "", "tea", "green tea", "kw1", "kw10"]),
+        st.sampled_from([None, -1, -1, 1, 11]),
+        st.one_of(st.none(), st.just(""), ids),
+        st.one_of(st.none(), ids),
+    ),
+    min_size=1,
+    max_size=120,
+)
+users_of_sessions = {"a": 1, "b": 2, "c": 3, "d": 99, "hot": 1}
+relaxed = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+
+
+def log_rows(drawn):
+    return [
+        action(session, users_of_sessions[session], i, page, "2019-02-01 {}:{:02d}:{:02d}".format(*time),
+               keyword, click, order=order, pay=pay)
+        for i, (session, page, time, keyword, click, order, pay) in enumerate(drawn)
+    ]
+
+
+def grouped(rows):
+    by_session = defaultdict(list)
+    for row in rows:
+        by_session[row[2]].append(row)
+    return by_session
+
+
+def time_of(row):
+    return datetime.strptime(row[4], "%Y-%m-%d %H:%M:%S")
+
+
+def test_summary_and_filter(spark):
+    users = users_of(spark, (1, 30), (2, 40), (3, 60))
+
+    @relaxed
+    @given(rows_strategy)
+    def check(drawn):
+        rows = log_rows(drawn)
+        found = {r.session_id: r for r in sessions.session_summary(actions_of(spark, rows)).collect()}
+        assert set(found) == set(grouped(rows))
+        for session, actions in grouped(rows).items():
+            times = [time_of(row) for row in actions]
+            got = found[session]
+            assert got.step_length == len(actions)
+            assert got.visit_length == (max(times) - min(times)).total_seconds()
+            assert got.start_time == str(min(times))
+            assert got.search_keywords == sorted({row[5] for row in actions} - {None, ""})
+            assert got.click_category_ids == sorted({row[6] for row in actions} - {None, -1})
+        kept = sessions.filtered_sessions(actions_of(spark, rows), users, PARAMS)
+        assert {r.session_id for r in kept.collect()} == set(grouped(rows)) & {"a", "b", "hot"}
+
+    check()
+
+
+def test_categories(spark):
+    @relaxed
+    @given(rows_strategy)
+    def check(drawn):
+        rows = log_rows(drawn)
+        expected = defaultdict(lambda: [0, 0, 0])
+        for row in rows:
+            if row[6] not in (None, -1):
+                expected[row[6]][0] += 1
+            for position, text in ((1, row[8]), (2, row[10])):
+                for item in filter(None, (text or "").split(",")):
+                    expected[int(item)][position] += 1
+        events = categories.category_events(actions_of(spark, rows))
+        totals = categories.category_activity(categories.session_category_activity(events)).collect()
+        assert {r.category_id: [r.click_count, r.order_count, r.pay_count] for r in totals} == expected
+
+    check()
+
+
+def test_page_order(spark):
+    @relaxed
+    @given(rows_strategy, st.integers(2, 9))
+    def check(drawn, slices):
+        rows = log_rows(drawn)
+        actions = actions_of(spark, rows)
+        hot = sessions.hot_sessions(sessions.session_summary(actions), rows_per_split=3)
+        expected = []
+        for session, group in grouped(rows).items():
+            ordered = sorted(group, key=lambda row: (time_of(row), row[13]))
+            pages = [row[3] for row in ordered] + [None]
+            expected += [(session, row[13], following) for row, following in zip(ordered, pages[1:])]
+        found = funnel.session_steps(actions, hot, slices).collect()
+        assert sorted((r.session_id, r.action_seq, r.next_page_id or -1) for r in found) == sorted(
+            (session, seq, following or -1) for session, seq, following in expected
+        )
+
+    check()
+
+
+def test_unreadable_values(spark):
+    rows = [
+        action("s", 1, 1, time="2019-02-01 9:00:00", order="4,x,,5"),
+        action("s", 1, 2, time="not a time", click=None),
+        action("s", 1, 3, time=None, pay=","),
+        action("s", 1, 4, time="2019-02-01 9:00:10", keyword=""),
+        action("t", 2, 5, time="not a time"),
+    ]
+    found = {r.session_id: r for r in sessions.session_summary(actions_of(spark, rows)).collect()}
+    assert (found["s"].step_length, found["s"].visit_length) == (4, 10)
+    assert (found["s"].search_keywords, found["s"].click_category_ids) == ([], [])
+    assert (found["t"].step_length, found["t"].visit_length, found["t"].start_time) == (1, None, None)
+    events = categories.category_events(actions_of(spark, rows)).collect()
+    assert sorted((r.kind, r.category_id) for r in events) == [("order", 4), ("order", 5)]
