@@ -51,7 +51,8 @@ def session_job(
 def page_job(actions: DataFrame, params: TaskParams, task_id: str, save: Save) -> None:
     """Conversion rates along the task's page path, over all sessions of the date range."""
     selected = log.normalised_actions(log.actions_in_range(actions, params))
-    conversion = funnel.page_conversion(funnel.session_steps(selected), params.target_page_flow)
+    hot = staged(sessions.hot_sessions(sessions.session_summary(selected)), "hot_sessions")
+    conversion = funnel.page_conversion(funnel.session_steps(selected, hot), params.target_page_flow)
     save("page_split_convert_rate", funnel.page_split_convert_rate(conversion, task_id))
 
 
