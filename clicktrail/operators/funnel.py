@@ -35,9 +35,9 @@ def _steps_of_hot_sessions(actions: DataFrame, slices: int | None) -> DataFrame:
 
     Range partitioning on session and time cuts a session into slices in time
     order. Within a slice ``lead`` finds the next page, except for its last row.
-    The first and last rows of all slices, two per slice, are few; ordered among
-    themselves, a slice's last row is followed by the first row of the next.
-    Other rows keep to their slice in that second window. The number of the
+    The first and last rows of all slices, two per slice, are few; ordered by
+    slice, a slice's last row is followed by the first row of the next. Other
+    rows keep to their slice in that second window. The number of the
     input partition comes last in the order: it cuts up even a session of many
     copies of one row, whose order among each other makes no difference.
     """
@@ -46,7 +46,7 @@ def _steps_of_hot_sessions(actions: DataFrame, slices: int | None) -> DataFrame:
     rows = actions.withColumn("source", F.spark_partition_id())
     cut = rows.repartitionByRange(slices, *keys) if slices else rows.repartitionByRange(*keys)
     in_slice = Window.partitionBy("session_id", "slice").orderBy(*order)
-    at_edge = Window.partitionBy("session_id", "inner_slice").orderBy(*order)
+    at_edge = Window.partitionBy("session_id", "inner_slice").orderBy("slice", "is_last")
     return (
         cut.withColumn("slice", F.spark_partition_id())
         .withColumns(

@@ -61,6 +61,17 @@ def test_hot_session_in_slices_matches_brute_force(spark, slices, same_time):
     assert found == expected_steps(rows)
 
 
+@pytest.mark.parametrize("rows_per_split", [50, 10**6])
+def test_without_adaptive_execution(spark, settings, rows_per_split):
+    settings(adaptive__enabled="false")
+    rows = random_rows(300, 21)
+    actions = actions_of(spark, rows)
+    hot = hot_sessions(session_summary(actions), rows_per_split)
+    steps = funnel.session_steps(actions, hot)
+    found = Counter((r.session_id, r.page_id, r.next_page_id) for r in steps.collect())
+    assert found == expected_steps(rows)
+
+
 def test_rows_without_session_are_split_too(spark):
     rows = random_rows(400, 12, hot=None)
     actions = actions_of(spark, rows)
