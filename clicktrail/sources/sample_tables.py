@@ -69,6 +69,7 @@ def user_visit_action(
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as users; some are missing on purpose, so that sessions of unknown users exist."""
     nation = read_table(spark, sf_dir, "nation")
     return (
         read_table(spark, sf_dir, "customer")

@@ -12,6 +12,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A path, not yet existing, below the cluster's ``spark.checkpoint.dir``.
 
     Only a local session without that setting falls back to a temporary folder.
+    What is written there stays until the folder is cleared.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:

@@ -1,8 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from clicktrail.operators import actions as log
-from clicktrail.operators import sessions
+from clicktrail.operators import funnel, sessions
 from clicktrail.plans import jobs
 from clicktrail.schemas import AREA_LEVELS, PRODUCT_INFO
 from clicktrail.sources import shared
@@ -69,6 +71,10 @@ def test_log_bucketed_by_session_is_grouped_without_shuffle(spark):
     assert "Exchange" not in plan
     assert sessions.session_summary(log.normalised_actions(stored)).count() == 50
     assert len(stored.inputFiles()) == 4
+    steps = funnel.session_steps(log.normalised_actions(stored))
+    plan = steps._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(session_id#\d+, \d+\)", plan)
+    assert steps.count() == 900
     spark.sql("DROP TABLE bucketed_log")
 
 
