@@ -36,9 +36,10 @@ def session_summary(actions: DataFrame, params: TaskParams | None = None) -> Dat
     """One row per session of normalised actions.
 
     Keyword and category lists are exact distinct values, sorted; each task
-    reduces a session's rows to them before the shuffle. Whether a session meets the task's keyword and category filters is kept as two flags
-    of constant size, so filtering never needs the lists: a plan that does not
-    ask for them drops them and stays a plain hash aggregate.
+    reduces a session's rows to them before the shuffle. Whether a session meets
+    the task's keyword and category filters is kept as two flags of constant
+    size, so filtering never needs the lists: a plan that does not ask for them
+    drops them and stays a plain hash aggregate.
     A session's user is its smallest user id.
     """
     keywords = params.keywords if params else ()

@@ -224,8 +224,10 @@ _PACKED_VALUE = "coalesce(CAST(CAST(rate AS DOUBLE) AS VARCHAR), '')"
 
 _AD_CLICKS = """
     SELECT CASE WHEN ok THEN strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S.%g') END AS ts,
-           CASE WHEN ok THEN CAST(province AS VARCHAR) END AS province, CASE WHEN ok THEN CAST(city AS VARCHAR) END AS city,
-           CASE WHEN ok THEN CAST(user_id AS VARCHAR) END AS user_id, CASE WHEN ok THEN CAST(ad_id AS VARCHAR) END AS ad_id,
+           CASE WHEN ok THEN CAST(province AS VARCHAR) END AS province,
+           CASE WHEN ok THEN CAST(city AS VARCHAR) END AS city,
+           CASE WHEN ok THEN CAST(user_id AS VARCHAR) END AS user_id,
+           CASE WHEN ok THEN CAST(ad_id AS VARCHAR) END AS ad_id,
            CASE WHEN NOT ok THEN line END AS _corrupt
     FROM (SELECT *, len(w) = 5 AND ms IS NOT NULL AND province IS NOT NULL AND city IS NOT NULL
                     AND user_id IS NOT NULL AND ad_id IS NOT NULL AS ok

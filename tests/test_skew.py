@@ -1,7 +1,7 @@
 import random
 from collections import Counter
 
-from clicktrail.operators import sessions, skew
+from clicktrail.operators import funnel, sessions, skew
 from tests.rows import PARAMS, action, actions_of, edge_users, run_plan_of, users_of
 
 
@@ -37,6 +37,20 @@ def test_hot_session_that_is_not_kept_goes_away(spark):
     assert {r.session_id for r in sessions.session_actions(actions, kept, hot).collect()} == {"s1"}
 
 
+def test_large_keys_outside_the_list_stay_whole(spark):
+    rng = random.Random(8)
+    rows = [action(rng.choice(["x", "x", "y", "y", "z"]), 1, i, rng.randint(0, 3)) for i in range(400)]
+    actions = actions_of(spark, rows)
+    counts = sessions.session_summary(actions)
+    hot = skew.hot_keys(counts, "session_id", "step_length", rows_per_split=20, max_keys=1)
+    assert hot.count() == 1
+    found = sessions.session_actions(actions, counts, hot).collect()
+    assert sorted(r.action_seq for r in found) == list(range(400))
+    steps = funnel.session_steps(actions, hot, 4).collect()
+    whole = funnel.session_steps(actions, hot.limit(0)).collect()
+    assert Counter(steps) == Counter(whole) and len(steps) == 400
+
+
 def test_split_spreads_the_hot_session_over_tasks(spark, settings):
     settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="8")
     actions = actions_of(spark, hot_rows(3000))
@@ -75,8 +89,6 @@ def test_user_with_very_many_sessions_is_split_by_adaptive_execution(spark, sett
 
 
 def test_no_hot_session_costs_no_second_branch(spark):
-    from clicktrail.operators import funnel
-
     steps = funnel.session_steps(actions_of(spark, hot_rows(200)))
     plan = run_plan_of(steps)
     assert "rangepartitioning" not in plan
