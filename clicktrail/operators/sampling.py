@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktrail.functions import times, values
-from clicktrail.operators.sessions import detail_report
-from clicktrail.operators.skew import broadcast_up_to
+from clicktrail.operators.sessions import detail_report, session_actions, session_summary
+from clicktrail.operators.skew import MAX_BROADCAST_ROWS
 from clicktrail.params import TaskParams
 
 CELL = ["start_date", "start_hour"]
@@ -51,34 +51,71 @@ def session_sample_quota(hourly: DataFrame, params: TaskParams) -> DataFrame:
     )
 
 
+def _ranked(sessions: DataFrame, *group: str) -> DataFrame:
+    order = Window.partitionBy(*group).orderBy("draw_key", "session_id")
+    return sessions.withColumn("draw", F.row_number().over(order))
+
+
+def _take_lowest(sessions: DataFrame, quota: DataFrame, most: int) -> DataFrame:
+    """Rank whole hours, for quotas of at most ``most``.
+
+    Cutting the rank at that fixed number first lets Spark keep only so many rows
+    per hour and task before the shuffle, however many sessions an hour has.
+    """
+    ranked = _ranked(sessions, *CELL).where(F.col("draw") <= most)
+    return ranked.join(F.broadcast(quota), CELL).where(F.col("draw") <= F.col("quota"))
+
+
+def _take_lowest_by_bins(sessions: DataFrame, quota: DataFrame) -> DataFrame:
+    """The same choice for quotas of any size, without ranking a whole hour in one task.
+
+    The first three hex digits of the hash cut an hour into 4096 bins in the
+    order of the draw. Counts per bin tell how many sessions come before a bin,
+    so how many it has to give; only bins with something to give are ranked.
+    """
+    binned = sessions.withColumn("bin", F.substring("draw_key", 1, 3))
+    earlier = Window.partitionBy(*CELL).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = (
+        binned.groupBy(*CELL, "bin")
+        .agg(F.count(F.lit(1)).alias("in_bin"))
+        .withColumn("before", F.coalesce(F.sum("in_bin").over(earlier), F.lit(0)))
+        .join(F.broadcast(quota), CELL)
+        .where(F.col("before") < F.col("quota"))
+        .select(*CELL, "bin", (F.col("quota") - F.col("before")).alias("take"))
+    )
+    giving = _ranked(binned.join(bins, [*CELL, "bin"]), *CELL, "bin")
+    return giving.where(F.col("draw") <= F.col("take"))
+
+
 def session_sample(sessions: DataFrame, params: TaskParams) -> DataFrame:
     """``session_id, start_time`` of the drawn sessions.
 
-    Sessions of an hour are ordered by a hash of seed and id, so the draw does
-    not depend on partitioning or retries. No quota exceeds the sample size plus
-    ``extra_per_hour``; cutting the rank at that fixed number first lets Spark
-    keep only that many rows per hour and task before the shuffle, however many
-    sessions an hour has. Spark does so up to a configured bound; a larger sample
-    is refused until that is raised. The quota table has one row per date and hour.
+    Sessions of an hour are drawn in the order of a hash of seed and id, so the
+    draw does not depend on partitioning or retries. No quota exceeds the sample
+    size plus ``extra_per_hour``; up to the bound Spark applies to ranks before a
+    shuffle, whole hours are ranked, beyond it bins of them. The quota table has
+    one row per date and hour.
     """
-    most = params.sample_size + params.extra_per_hour
-    if most > int(sessions.sparkSession.conf.get(RANK_BOUND)):
-        raise ValueError(f"a sample of {most} needs {RANK_BOUND} of at least {most}")
-    draw = F.row_number().over(
-        Window.partitionBy(*CELL).orderBy(
-            F.md5(F.concat(F.lit(params.seed), F.col("session_id"))), "session_id"
-        )
-    )
-    quota = session_sample_quota(session_hourly_counts(sessions), params)
-    return (
-        _with_cell(sessions)
-        .select("session_id", "start_time", *CELL)
-        .withColumn("draw", draw)
-        .where(F.col("draw") <= most)
-        .join(F.broadcast(quota), CELL)
-        .where(F.col("draw") <= F.col("quota"))
-        .select("session_id", "start_time")
+    quota = session_sample_quota(session_hourly_counts(sessions), params).select(*CELL, "quota")
+    keyed = _with_cell(sessions).select(
+        "session_id",
+        "start_time",
+        *CELL,
+        F.md5(F.concat(F.lit(params.seed), F.col("session_id"))).alias("draw_key"),
     )
+    most = params.sample_size + params.extra_per_hour
+    if most <= int(sessions.sparkSession.conf.get(RANK_BOUND)):
+        drawn = _take_lowest(keyed, quota, most)
+    else:
+        drawn = _take_lowest_by_bins(keyed, quota)
+    return drawn.select("session_id", "start_time")
+
+
+def _drawn_actions(sample: DataFrame, actions: DataFrame, params: TaskParams) -> DataFrame:
+    """Actions of the drawn sessions; a sample of bounded size is broadcast."""
+    if params.largest_sample <= MAX_BROADCAST_ROWS:
+        return actions.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi")
+    return session_actions(actions, sample)
 
 
 def session_random_extract(
@@ -88,21 +125,12 @@ def session_random_extract(
 
     The lists are gathered for the drawn sessions only.
     """
-    return (
-        actions.select("session_id", "keyword", "category_id")
-        .join(broadcast_up_to(sample, params.largest_sample), "session_id")
-        .groupBy("session_id", "start_time")
-        .agg(
-            F.array_sort(F.collect_set("keyword")).alias("keywords"),
-            F.array_sort(F.collect_set("category_id")).alias("categories"),
-        )
-        .select(
-            F.lit(task_id).alias("taskid"),
-            F.col("session_id").alias("sessionid"),
-            F.col("start_time").alias("startTime"),
-            F.expr(f"{values.comma_text('keywords')} AS searchKeywords"),
-            F.expr(f"{values.comma_text('categories')} AS clickCategoryIds"),
-        )
+    return session_summary(_drawn_actions(sample, actions, params)).select(
+        F.lit(task_id).alias("taskid"),
+        F.col("session_id").alias("sessionid"),
+        F.col("start_time").alias("startTime"),
+        F.expr(f"{values.comma_text('search_keywords')} AS searchKeywords"),
+        F.expr(f"{values.comma_text('click_category_ids')} AS clickCategoryIds"),
     )
 
 
@@ -110,5 +138,4 @@ def session_random_detail(
     sample: DataFrame, actions: DataFrame, params: TaskParams, task_id: str
 ) -> DataFrame:
     """Detail rows of the drawn sessions."""
-    drawn = broadcast_up_to(sample.select("session_id"), params.largest_sample)
-    return detail_report(actions.join(drawn, "session_id", "left_semi"), task_id)
+    return detail_report(_drawn_actions(sample, actions, params), task_id)

@@ -18,14 +18,6 @@ MAX_BROADCAST_ROWS = 100_000
 ROWS_PER_SPLIT = 1_000_000
 
 
-def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
-    """``df``, known to have at most ``rows`` rows, hinted for broadcast if they are few.
-
-    Beyond that the join is left to Spark.
-    """
-    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
-
-
 def hot_keys(
     counts: DataFrame,
     key: str,

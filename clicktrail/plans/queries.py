@@ -40,6 +40,7 @@ BY_INTERESTS = replace(
     PARAMS, keywords=("kw1", "kw7", "kw10"), category_ids=tuple(range(0, 100, 3))
 )
 LARGE_SAMPLE = replace(PARAMS, sample_size=1000)
+BINNED_SAMPLE = replace(PARAMS, sample_size=1200)
 ONE_MORE_PER_HOUR = replace(PARAMS, extra_per_hour=1)
 RETURNING_PATH = (3, 4, 3, 4, 12, 5)
 
@@ -226,6 +227,11 @@ def session_random_extract_one_more(t):
     return sampling.session_random_extract(sample, t.actions, ONE_MORE_PER_HOUR, TASK)
 
 
+@query
+def session_random_extract_by_bins(t):
+    return sampling.session_random_extract(t.sample(BINNED_SAMPLE), t.actions, BINNED_SAMPLE, TASK)
+
+
 @query
 def session_random_detail(t):
     return sampling.session_random_detail(t.sample(), t.actions, LARGE_SAMPLE, TASK)

@@ -107,10 +107,11 @@ TABLES = {
               FROM filtered GROUP BY ALL)""",
     "quota": """
         SELECT *, least(session_count, session_count * (1000 // days) // day_session_count) AS quota,
-               least(session_count, session_count * (100 // days) // day_session_count + 1) AS one_more
+               least(session_count, session_count * (100 // days) // day_session_count + 1) AS one_more,
+               least(session_count, session_count * (1200 // days) // day_session_count) AS larger
         FROM hourly, (SELECT count(DISTINCT start_date) AS days FROM hourly)""",
     "drawn": """
-        SELECT f.*, quota, one_more,
+        SELECT f.*, quota, one_more, larger,
                row_number() OVER (PARTITION BY start_date, start_hour
                                   ORDER BY md5(concat('7', session_id)), session_id) AS draw
         FROM filtered f JOIN quota ON start_date = start_time[1:10] AND start_hour = start_time[12:13]""",
@@ -267,6 +268,7 @@ _SELECTS = {
     "session_sample_quota": "SELECT start_date, start_hour, session_count, day_session_count, quota FROM quota",
     "session_random_extract": _extract("draw <= quota"),
     "session_random_extract_one_more": _extract("draw <= one_more"),
+    "session_random_extract_by_bins": _extract("draw <= larger"),
     "session_random_detail": _detail("drawn WHERE draw <= quota"),
     "category_universe": "SELECT DISTINCT category_id FROM category_kinds",
     "category_click_counts": "SELECT category_id, click_count FROM totals WHERE click_count > 0",

@@ -1,10 +1,8 @@
 import random
 from dataclasses import replace
 
-import pytest
-
 from clicktrail.operators import sampling, sessions
-from tests.rows import EDGE, PARAMS, action, actions_of, edge_users
+from tests.rows import EDGE, PARAMS, action, actions_of, edge_users, plan_of
 
 
 def kept_of(spark, rows, params=PARAMS):
@@ -83,13 +81,15 @@ def test_extract_and_detail(spark):
     assert sorted(r.sessionid for r in detail.collect()) == ["A"] * 4 + ["B"]
 
 
-def test_sample_too_large_for_the_rank_bound_is_refused(spark, settings):
-    kept = kept_of(spark, EDGE)
-    large = replace(PARAMS, sample_size=2000)
-    with pytest.raises(ValueError, match="windowGroupLimitThreshold"):
-        sampling.session_sample(kept, large)
-    settings(optimizer__windowGroupLimitThreshold="2000")
-    assert sampling.session_sample(kept, large).count() == 2
+def test_large_sample_by_bins_draws_the_same(spark, settings):
+    rows = many_sessions(900, seed=2)
+    for params in (replace(PARAMS, sample_size=300), replace(PARAMS, sample_size=60, extra_per_hour=2)):
+        settings(optimizer__windowGroupLimitThreshold="1000")
+        ranked = sampling.session_sample(kept_of(spark, rows), params).collect()
+        settings(optimizer__windowGroupLimitThreshold="10")
+        binned = sampling.session_sample(kept_of(spark, rows), params)
+        assert "bin" in plan_of(binned)
+        assert sorted(binned.collect()) == sorted(ranked) and ranked
 
 
 def test_large_sample_is_joined_without_broadcast(spark):
@@ -97,14 +97,12 @@ def test_large_sample_is_joined_without_broadcast(spark):
     sample = sampling.session_sample(kept_of(spark, EDGE), PARAMS)
     wide = replace(PARAMS, start_date="1990-01-01", extra_per_hour=1)
     assert wide.largest_sample == 100 + 24 * 10651
-
-    def hints(params):
-        report = sampling.session_random_detail(sample, actions, params, "t")
-        return report._jdf.queryExecution().analyzed().toString().count("ResolvedHint")
-
-    assert hints(PARAMS) == hints(wide) + 1
-    found = sampling.session_random_detail(sample, actions, wide, "t")
-    assert sorted(r.sessionid for r in found.collect()) == ["A"] * 4 + ["B"]
+    detail, report = (
+        [sorted(map(str, build(sample, actions, params, "t").collect())) for params in (PARAMS, wide)]
+        for build in (sampling.session_random_detail, sampling.session_random_extract)
+    )
+    assert detail[0] == detail[1] and len(detail[0]) == 5
+    assert report[0] == report[1] and len(report[0]) == 2
 
 
 def test_hour_is_cut_before_the_shuffle(spark):
