@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A path, not yet existing, below the cluster's ``spark.checkpoint.dir``.
+    """A path, not yet existing, below the folder all executors share.
 
-    Only a local session without that setting falls back to a temporary folder.
-    What is written there stays until the folder is cleared.
+    That is the cluster's ``spark.checkpoint.dir`` or, where the setting is
+    absent, the checkpoint folder of the Spark context.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="clicktrail-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -32,3 +28,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
