@@ -37,7 +37,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "archives")
     warc.write_archives(_table(spark, sf_dir, "pages"), folder)
-    captures = warc.transactions(warc.read_archives(spark, folder).drop("payload")).where("main IS NOT NULL AND part = 0")
+    records = staged(warc.read_archives(spark, folder).drop("payload"), "records")
+    captures = warc.transactions(records).where("main IS NOT NULL AND part = 0")
     of_main = ("record_id", "type", "refers_to", "payload_bytes", "payload_digest")
     page_id = F.array_max(F.transform("metadata", lambda m: m["page_id"])).alias("page_id")
     page = staged(captures.select(page_id, *(f"main.{name}" for name in of_main)), "captures")
