@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.sources.shared import discard, staged
 
+LOCAL_LINKS = 500_000  # up to so many links, 8 MB, are joined up in one task
+
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
     """``links`` (a, b long) to (node, component): the smallest node that links reach.
 
-    Alternates two steps until no link changes: every node connects its larger
-    neighbours to its smallest one, then its smaller neighbours. The number of
-    links never grows, and rounds grow with the logarithm of the nodes. Each
+    Up to ``local_links`` links one bounded task follows them all. More are never
+    gathered: two steps alternate until no link changes, every node connects its
+    larger neighbours to its smallest one, then its smaller neighbours. The number
+    of links never grows, and rounds grow with the logarithm of the nodes. Each
     step's smallest neighbours are written first, so the join that hands them
     out is a plain join whose hot keys adaptive execution splits, and a lost
     executor repeats one step only. Only two totals per round reach the driver.
@@ -28,6 +35,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         "links",
     )
     before = None
+    if edges.count() <= local_links:
+        return edges.repartition(1).mapInArrow(_joined_up, "node long, component long")
     while (now := _fingerprint(edges)) != before:
         before = now
         edges = _replaced(edges, _large_star)
@@ -36,6 +45,24 @@ def connected_components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)
 
 
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All nodes with the smallest node they reach."""
+    pairs = [np.stack([c.to_numpy() for c in batch.columns], axis=1) for batch in batches]
+    if not pairs:
+        return
+    nodes, place = np.unique(np.concatenate(pairs), return_inverse=True)
+    a, b = place.reshape(-1, 2).T
+    lowest = np.arange(len(nodes))
+    while True:  # hook each root to a smaller one across a link, then follow to the roots
+        x, y = lowest[a], lowest[b]
+        if (x == y).all():
+            break
+        np.minimum.at(lowest, np.maximum(x, y), np.minimum(x, y))
+        while (lowest != lowest[lowest]).any():
+            lowest = lowest[lowest]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[lowest])], names=["node", "component"])
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
