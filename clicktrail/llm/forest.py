@@ -272,7 +272,7 @@ def _links_between_classes(docs: DataFrame, classes: DataFrame, forest: Forest)
     texts = staged(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .where("doc_id IS NOT NULL AND text IS NOT NULL")
-        .join(wanted, "doc_id", "left_semi"),
+        .join(wanted.hint("merge"), "doc_id", "left_semi"),
         "candidate_texts",
     )
     first = staged(_confirmed(pairs.where("chain").select("a", "b"), texts, forest), "confirmed")
