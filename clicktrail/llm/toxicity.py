@@ -163,7 +163,8 @@ def trained(docs: DataFrame, labels: DataFrame, usable, learning: Learning = Lea
         found = fitted(
             np.repeat(np.arange(len(lists)), lengths), np.asarray(lists.flatten()), rows.column("positive").to_numpy(), prior, learning
         )
-        return pa.table({"features": [found.features.tolist()], "weights": [found.weights.tolist()], "bias": [found.bias]})
+        lists = (pa.array([found.features], pa.list_(pa.int64())), pa.array([found.weights], pa.list_(pa.float64())))
+        return pa.table({"features": lists[0], "weights": lists[1], "bias": [found.bias]})
 
     models = (
         texts.select("doc_id", "text", "classifier", "positive")
