@@ -9,10 +9,10 @@ from __future__ import annotations
 def action_timestamp(text: str) -> str:
     """Timestamp of ``yyyy-MM-dd H:mm:ss`` text; the hour may be one digit.
 
-    Text that is no time gives NULL. A cast takes one-digit hours too and is far
-    cheaper than parsing with a pattern.
+    Any other text gives NULL, also what a cast would take: a time without date,
+    a year, an offset.
     """
-    return f"try_cast({text} AS TIMESTAMP)"
+    return f"try_to_timestamp({text}, 'yyyy-MM-dd H:mm:ss')"
 
 
 def time_text(ts: str) -> str:

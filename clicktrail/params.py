@@ -41,12 +41,6 @@ class TaskParams:
     extra_per_hour: int = 0
     seed: str = "7"
 
-    @property
-    def largest_sample(self) -> int:
-        """No sample of these settings has more sessions."""
-        days = (date.fromisoformat(self.end_date) - date.fromisoformat(self.start_date)).days + 1
-        return self.sample_size + self.extra_per_hour * 24 * days
-
     @classmethod
     def of_yesterday(cls, as_of: date, **settings) -> TaskParams:
         """The day before ``as_of``; the caller names the day, so a rerun repeats it."""
@@ -55,7 +49,15 @@ class TaskParams:
 
     @classmethod
     def from_mapping(cls, task: Mapping) -> TaskParams:
-        """Build from the task's JSON names; lists may be comma-separated text."""
+        """Build from the task's JSON names; lists may be comma-separated text.
+
+        ``sampleSize``, ``extraPerHour`` and ``seed`` set the random sample.
+        """
+        sampling = {
+            "sample_size": _number(task.get("sampleSize")),
+            "extra_per_hour": _number(task.get("extraPerHour")),
+            "seed": None if task.get("seed") is None else str(task["seed"]),
+        }
         return cls(
             start_date=task["startDate"],
             end_date=task["endDate"],
@@ -67,4 +69,5 @@ class TaskParams:
             keywords=_items(task.get("keywords")),
             category_ids=tuple(int(i) for i in _items(task.get("categoryIds"))),
             target_page_flow=tuple(int(i) for i in _items(task.get("targetPageFlow"))),
+            **{name: value for name, value in sampling.items() if value is not None},
         )

@@ -45,7 +45,8 @@ def test_times(spark):
     assert one(spark, times.minute_key(ts), t="2019-02-01 19:05:07") == "201902011905"
     assert one(spark, times.date_key(ts), t="2019-02-01 19:05:07") == "20190201"
     assert one(spark, times.date_of_key("'20190201'")) == date(2019, 2, 1)
-    assert one(spark, ts, t="yesterday") is None
+    for text in ("yesterday", "not a time", "10:00:01", "2019", "2019-02-01", "2019-02-01 9:05:07+02:00", "2019-02-01 9:05:07 x", ""):
+        assert one(spark, ts, t=text) is None
     b = times.action_timestamp("b")
     assert one(spark, times.seconds_between(ts, b), t="2019-02-01 9:59:58", b="2019-02-01 10:00:05") == 7
 
@@ -85,4 +86,6 @@ def test_params_from_mapping():
         target_page_flow=(1, 2, 3),
     )
     assert TaskParams.from_mapping({"startDate": "a", "endDate": "b"}) == TaskParams("a", "b")
+    drawn = TaskParams.from_mapping({"startDate": "a", "endDate": "b", "sampleSize": "9", "extraPerHour": 1, "seed": 3})
+    assert drawn == TaskParams("a", "b", sample_size=9, extra_per_hour=1, seed="3")
     assert TaskParams.of_yesterday(date(2024, 3, 1)).start_date == "2024-02-29"
