@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktrail.functions import times, values
-from clicktrail.operators.sessions import detail_report, session_actions, session_summary
-from clicktrail.operators.skew import MAX_BROADCAST_ROWS
+from clicktrail.operators.sessions import detail_report, session_summary
 from clicktrail.params import TaskParams
 
 CELL = ["start_date", "start_hour"]
-RANK_BOUND = "spark.sql.optimizer.windowGroupLimitThreshold"
+BIN_ROWS = 1000  # sessions ranked together, about
 
 
 def _with_cell(sessions: DataFrame) -> DataFrame:
@@ -39,83 +40,61 @@ def session_sample_quota(hourly: DataFrame, params: TaskParams) -> DataFrame:
 
     The sample size is split evenly over the days, then over a day's hours in
     proportion to their sessions, in whole numbers. ``extra_per_hour`` adds that
-    many to each hour; a quota never exceeds the hour's sessions.
+    many to each hour; a quota never exceeds the hour's sessions. Sessions
+    without a readable time have quota 0.
     The unpartitioned window sees one row per date and hour, nothing else.
     """
     days = F.size(F.collect_set("start_date").over(Window.partitionBy()))
-    share = f"session_count * ({params.sample_size} div days) div day_session_count"
+    share = f"session_count * ({params.sample_size} div nullif(days, 0)) div day_session_count"
+    quota = f"least(session_count, {share} + {params.extra_per_hour})"
     return (
         hourly.withColumn("days", days)
-        .withColumn("quota", F.expr(f"least(session_count, {share} + {params.extra_per_hour})"))
+        .withColumn("quota", F.expr(f"if(start_date IS NULL, 0L, {quota})"))
         .drop("days")
     )
 
 
-def _ranked(sessions: DataFrame, *group: str) -> DataFrame:
-    order = Window.partitionBy(*group).orderBy("draw_key", "session_id")
-    return sessions.withColumn("draw", F.row_number().over(order))
-
-
-def _take_lowest(sessions: DataFrame, quota: DataFrame, most: int) -> DataFrame:
-    """Rank whole hours, for quotas of at most ``most``.
-
-    Cutting the rank at that fixed number first lets Spark keep only so many rows
-    per hour and task before the shuffle, however many sessions an hour has.
-    """
-    ranked = _ranked(sessions, *CELL).where(F.col("draw") <= most)
-    return ranked.join(F.broadcast(quota), CELL).where(F.col("draw") <= F.col("quota"))
-
-
-def _take_lowest_by_bins(sessions: DataFrame, quota: DataFrame) -> DataFrame:
-    """The same choice for quotas of any size, without ranking a whole hour in one task.
+def session_sample(sessions: DataFrame, params: TaskParams) -> DataFrame:
+    """``session_id, start_time`` of the drawn sessions.
 
-    The first three hex digits of the hash cut an hour into 4096 bins in the
-    order of the draw. Counts per bin tell how many sessions come before a bin,
-    so how many it has to give; only bins with something to give are ranked.
+    Sessions of an hour are drawn in the order of a hash of seed and id, so the
+    draw does not depend on partitioning or retries. An hour is cut into bins by
+    the first digits of that hash, as many digits as leave about ``BIN_ROWS``
+    sessions in a bin. Counts per bin tell how many sessions come before a bin,
+    so how many it has to give; only bins with something to give are ranked,
+    and no task ranks a whole hour. Sessions without a readable time are never
+    drawn.
     """
-    binned = sessions.withColumn("bin", F.substring("draw_key", 1, 3))
+    quota = session_sample_quota(session_hourly_counts(sessions), params)
+    digits = F.ceil(F.log(F.greatest(F.col("session_count") / BIN_ROWS, F.lit(1.0))) / math.log(16)).cast("int")
+    binned = (
+        _with_cell(sessions)
+        .join(quota.select(*CELL, "quota", digits.alias("digits")), CELL)
+        .where("quota > 0")
+        .withColumn("draw_key", F.md5(F.concat(F.lit(params.seed), F.col("session_id"))))
+        .withColumn("bin", F.expr("substring(draw_key, 1, digits)"))
+        .select("session_id", "start_time", *CELL, "quota", "draw_key", "bin")
+    )
     earlier = Window.partitionBy(*CELL).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
         binned.groupBy(*CELL, "bin")
-        .agg(F.count(F.lit(1)).alias("in_bin"))
+        .agg(F.count(F.lit(1)).alias("in_bin"), F.first("quota").alias("quota"))
         .withColumn("before", F.coalesce(F.sum("in_bin").over(earlier), F.lit(0)))
-        .join(F.broadcast(quota), CELL)
         .where(F.col("before") < F.col("quota"))
         .select(*CELL, "bin", (F.col("quota") - F.col("before")).alias("take"))
     )
-    giving = _ranked(binned.join(bins, [*CELL, "bin"]), *CELL, "bin")
-    return giving.where(F.col("draw") <= F.col("take"))
+    order = Window.partitionBy(*CELL, "bin").orderBy("draw_key", "session_id")
+    giving = binned.join(bins, [*CELL, "bin"]).withColumn("draw", F.row_number().over(order))
+    return giving.where(F.col("draw") <= F.col("take")).select("session_id", "start_time")
 
 
-def session_sample(sessions: DataFrame, params: TaskParams) -> DataFrame:
-    """``session_id, start_time`` of the drawn sessions.
+def _drawn_actions(sample: DataFrame, actions: DataFrame) -> DataFrame:
+    """Actions of the drawn sessions.
 
-    Sessions of an hour are drawn in the order of a hash of seed and id, so the
-    draw does not depend on partitioning or retries. No quota exceeds the sample
-    size plus ``extra_per_hour``; up to the bound Spark applies to ranks before a
-    shuffle, whole hours are ranked, beyond it bins of them. The quota table has
-    one row per date and hour.
+    No hint: a small sample is broadcast by Spark, otherwise both sides are
+    shuffled right before the join and adaptive execution splits a long session.
     """
-    quota = session_sample_quota(session_hourly_counts(sessions), params).select(*CELL, "quota")
-    keyed = _with_cell(sessions).select(
-        "session_id",
-        "start_time",
-        *CELL,
-        F.md5(F.concat(F.lit(params.seed), F.col("session_id"))).alias("draw_key"),
-    )
-    most = params.sample_size + params.extra_per_hour
-    if most <= int(sessions.sparkSession.conf.get(RANK_BOUND)):
-        drawn = _take_lowest(keyed, quota, most)
-    else:
-        drawn = _take_lowest_by_bins(keyed, quota)
-    return drawn.select("session_id", "start_time")
-
-
-def _drawn_actions(sample: DataFrame, actions: DataFrame, params: TaskParams) -> DataFrame:
-    """Actions of the drawn sessions; a sample of bounded size is broadcast."""
-    if params.largest_sample <= MAX_BROADCAST_ROWS:
-        return actions.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi")
-    return session_actions(actions, sample)
+    return actions.join(sample.select("session_id"), "session_id", "left_semi")
 
 
 def session_random_extract(
@@ -125,7 +104,7 @@ def session_random_extract(
 
     The lists are gathered for the drawn sessions only.
     """
-    return session_summary(_drawn_actions(sample, actions, params)).select(
+    return session_summary(_drawn_actions(sample, actions)).select(
         F.lit(task_id).alias("taskid"),
         F.col("session_id").alias("sessionid"),
         F.col("start_time").alias("startTime"),
@@ -138,4 +117,4 @@ def session_random_detail(
     sample: DataFrame, actions: DataFrame, params: TaskParams, task_id: str
 ) -> DataFrame:
     """Detail rows of the drawn sessions."""
-    return detail_report(_drawn_actions(sample, actions, params), task_id)
+    return detail_report(_drawn_actions(sample, actions), task_id)

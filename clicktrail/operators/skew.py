@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 100_000
-MAX_BROADCAST_ROWS = 100_000
 ROWS_PER_SPLIT = 1_000_000
 
 

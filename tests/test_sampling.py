@@ -1,3 +1,4 @@
+import hashlib
 import random
 from dataclasses import replace
 
@@ -81,31 +82,36 @@ def test_extract_and_detail(spark):
     assert sorted(r.sessionid for r in detail.collect()) == ["A"] * 4 + ["B"]
 
 
-def test_large_sample_by_bins_draws_the_same(spark, settings):
+def lowest_keys(kept, quota, seed):
+    """The sessions an hour gives, ranked whole."""
+    cells = {}
+    for r in kept.collect():
+        if r.start_time:
+            key = hashlib.md5((seed + r.session_id).encode()).hexdigest()
+            cells.setdefault((r.start_time[:10], r.start_time[11:13]), []).append((key, r.session_id))
+    return sorted(s for cell, found in cells.items() for _, s in sorted(found)[: quota[cell]])
+
+
+def test_bins_draw_the_lowest_keys(spark, monkeypatch):
     rows = many_sessions(900, seed=2)
-    for params in (replace(PARAMS, sample_size=300), replace(PARAMS, sample_size=60, extra_per_hour=2)):
-        settings(optimizer__windowGroupLimitThreshold="1000")
-        ranked = sampling.session_sample(kept_of(spark, rows), params).collect()
-        settings(optimizer__windowGroupLimitThreshold="10")
-        binned = sampling.session_sample(kept_of(spark, rows), params)
-        assert "bin" in plan_of(binned)
-        assert sorted(binned.collect()) == sorted(ranked) and ranked
+    for bin_rows in (1000, 20, 1):
+        monkeypatch.setattr(sampling, "BIN_ROWS", bin_rows)
+        for params in (replace(PARAMS, sample_size=300), replace(PARAMS, sample_size=60, extra_per_hour=2)):
+            kept = kept_of(spark, rows)
+            found = sorted(r.session_id for r in sampling.session_sample(kept, params).collect())
+            assert found == lowest_keys(kept, quota_of(spark, rows, params), params.seed) and found
 
 
-def test_large_sample_is_joined_without_broadcast(spark):
-    actions = actions_of(spark, EDGE)
+def test_sessions_without_readable_time_are_never_drawn(spark):
+    rows = [action(f"s{i}", 1, i, time=t) for i, t in enumerate(["10:00:01", "2019", "no time", "2019-02-01 10:00:01+02:00"])]
+    params = replace(PARAMS, extra_per_hour=3)
+    assert quota_of(spark, rows, params) == {(None, None): 0}
+    assert sampling.session_sample(kept_of(spark, rows), params).count() == 0
+    mixed = rows + [action("ok", 1, 9, time="2019-02-01 9:05:07")]
+    assert [r.session_id for r in sampling.session_sample(kept_of(spark, mixed), params).collect()] == ["ok"]
+
+
+def test_plan_has_no_forced_broadcast(spark):
     sample = sampling.session_sample(kept_of(spark, EDGE), PARAMS)
-    wide = replace(PARAMS, start_date="1990-01-01", extra_per_hour=1)
-    assert wide.largest_sample == 100 + 24 * 10651
-    detail, report = (
-        [sorted(map(str, build(sample, actions, params, "t").collect())) for params in (PARAMS, wide)]
-        for build in (sampling.session_random_detail, sampling.session_random_extract)
-    )
-    assert detail[0] == detail[1] and len(detail[0]) == 5
-    assert report[0] == report[1] and len(report[0]) == 2
-
-
-def test_hour_is_cut_before_the_shuffle(spark):
-    kept = kept_of(spark, many_sessions(50))
-    plan = sampling.session_sample(kept, PARAMS)._jdf.queryExecution().executedPlan().toString()
-    assert "row_number(), 100, Partial" in plan
+    detail = sampling.session_random_detail(sample, actions_of(spark, EDGE), PARAMS, "t")
+    assert "strategy=broadcast" not in detail._jdf.queryExecution().optimizedPlan().toString()
