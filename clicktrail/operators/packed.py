@@ -22,10 +22,12 @@ def _value(field: Column) -> Column:
 def kv_report_decode(reports: DataFrame, column: str) -> DataFrame:
     """One row per field: ``pos, field, value`` next to the report's other columns.
 
-    Positions count from 1. A field that occurs twice keeps both rows.
+    Positions count from 1. A field that occurs twice keeps both rows; a NULL or
+    empty report keeps one row with NULL position, field and value.
     """
     others = [name for name in reports.columns if name != column]
-    return reports.select(*others, F.posexplode(_fields(F.col(column))).alias("at", "item")).select(
+    fields = _fields(F.nullif(F.col(column), F.lit("")))
+    return reports.select(*others, F.posexplode_outer(fields).alias("at", "item")).select(
         *others,
         (F.col("at") + 1).alias("pos"),
         _name(F.col("item")).alias("field"),

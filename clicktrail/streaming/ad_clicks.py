@@ -6,21 +6,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Milliseconds of the last second of the year 9999, the largest time taken as valid.
-LAST_MILLIS = 253402300799999
+# The milliseconds whose microseconds a timestamp can hold.
+LARGEST_MILLIS = (2**63 - 1) // 1000
 
 
 def ad_click_events(lines: DataFrame, column: str = "value") -> DataFrame:
     """Typed columns of ``millis province city userid adid`` lines.
 
-    A line that does not have exactly these five numbers keeps its text in
-    ``_corrupt`` and NULL elsewhere. Works on batch and streaming frames.
+    A line that does not have exactly these five numbers, or whose time no
+    timestamp can hold, keeps its text in ``_corrupt`` and NULL elsewhere. Times
+    before 1970 are negative. Works on batch and streaming frames.
     """
     words = F.split(F.col(column), " ")
     numbers = [F.get(words, F.lit(i)).try_cast("bigint") for i in range(5)]
     millis, province, city, user_id, ad_id = numbers
 
-    valid = (F.size(words) == 5) & millis.between(0, LAST_MILLIS)
+    valid = (F.size(words) == 5) & millis.between(-LARGEST_MILLIS, LARGEST_MILLIS)
     for number in numbers[1:]:
         valid = valid & number.isNotNull()
     valid = F.coalesce(valid, F.lit(False))

@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 
@@ -149,3 +150,17 @@ def test_packed_fields(spark):
         packed.kv_replaced(df.r, "b", "5"), packed.kv_replaced(df.r, "z", "5"),
     ).first()
     assert tuple(row) == ("1", None, None, "a=1|b=5|c=x=y|a=2", "a=1|b=|c=x=y|a=2")
+
+
+def test_missing_report_keeps_its_row(spark):
+    df = spark.createDataFrame([("a", None), ("b", ""), ("c", "1_2=0.5")], "taskid STRING, r STRING")
+    found = sorted(map(tuple, packed.kv_report_decode(df, "r").collect()))
+    assert found == [("a", None, None, None), ("b", None, None, None), ("c", 1, "1_2", "0.5")]
+
+
+def test_pages_without_views_keep_their_pair(spark, monkeypatch):
+    from clicktrail.plans import queries
+
+    monkeypatch.setattr(queries, "PARAMS", replace(queries.PARAMS, target_page_flow=(1, 2, 12, 3)))
+    found = queries.QUERIES["target_page_pairs"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.pair: r.page_pv > 0 for r in found} == {"1_2": True, "2_12": True, "12_3": False}

@@ -26,6 +26,13 @@ def test_decode(spark):
     assert all(value is None for value in text[1])
 
 
+def test_times_before_1970_and_far_ahead(spark):
+    df = spark.createDataFrame([("-1000 3 3 42 7",), ("253402300800000 1 1 1 1",), (f"{2**63 - 1} 1 1 1 1",)], "value STRING")
+    found = ad_clicks.ad_click_events(df).selectExpr("unix_millis(ts) AS ms", "_corrupt").collect()
+    assert [r.ms for r in found] == [-1000, 253402300800000, None]
+    assert [r._corrupt is None for r in found] == [True, True, False]
+
+
 def test_stream_equals_batch_and_survives_a_restart(spark, tmp_path):
     incoming, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     write_lines(incoming, "one.txt", LINES)
