@@ -10,6 +10,7 @@ from clicktrail.operators.skew import ROWS_PER_SPLIT, hot_keys, split_semi_join
 from clicktrail.params import TaskParams
 from clicktrail.schemas import STEP_BUCKETS, VISIT_BUCKETS
 
+# Columns of the detail report and the log columns they show.
 DETAIL_COLUMNS = {
     "userid": "user_id",
     "sessionid": "session_id",
@@ -27,8 +28,6 @@ DETAIL_COLUMNS = {
 
 def _any_in(column: str, wanted) -> Column:
     """Aggregate: does any row of the group hold one of the wanted values?"""
-    if not wanted:
-        return F.lit(True)
     return F.coalesce(F.bool_or(F.col(column).isin(*wanted)), F.lit(False))
 
 
@@ -37,21 +36,23 @@ def session_summary(actions: DataFrame, params: TaskParams | None = None) -> Dat
 
     Keyword and category lists are exact distinct values, sorted; each task
     reduces a session's rows to them before the shuffle. Whether a session meets
-    the task's keyword and category filters is kept as two flags of constant
-    size, so filtering never needs the lists: a plan that does not ask for them
+    the task's keyword and category filters is kept as flags of constant size,
+    present only for the filters ``params`` has, so filtering never needs the lists: a plan that does not ask for them
     drops them and stays a plain hash aggregate.
     A session's user is its smallest user id.
     """
-    keywords = params.keywords if params else ()
-    category_ids = params.category_ids if params else ()
+    flags = []
+    if params and params.keywords:
+        flags.append(_any_in("keyword", params.keywords).alias("keyword_match"))
+    if params and params.category_ids:
+        flags.append(_any_in("category_id", params.category_ids).alias("category_match"))
     return (
         actions.groupBy("session_id")
         .agg(
             F.min("user_id").alias("user_id"),
             F.array_sort(F.collect_set("keyword")).alias("search_keywords"),
             F.array_sort(F.collect_set("category_id")).alias("click_category_ids"),
-            _any_in("keyword", keywords).alias("keyword_match"),
-            _any_in("category_id", category_ids).alias("category_match"),
+            *flags,
             F.min("action_ts").alias("start_ts"),
             F.max("action_ts").alias("end_ts"),
             F.count(F.lit(1)).alias("step_length"),
@@ -77,7 +78,8 @@ def session_enriched(sessions: DataFrame, users: DataFrame) -> DataFrame:
 def session_filtered(enriched: DataFrame, params: TaskParams) -> DataFrame:
     """Sessions meeting every condition of the task; a NULL attribute meets none.
 
-    ``enriched`` must come from a summary made with the same ``params``.
+    ``enriched`` must come from a summary made with the same ``params``: one made
+    without a filter lacks its flag, and Spark then refuses the query.
     """
     if params.start_age is not None and params.end_age is not None:
         enriched = enriched.where(F.col("age").between(params.start_age, params.end_age))

@@ -1,6 +1,7 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from clicktrail.functions import values
@@ -152,3 +153,10 @@ def test_detail(spark):
         ("B", 1, "2019-02-01 09:00:00", -1),
     }
     assert found.where("sessionid = 'B'").first().orderCategoryIds == "7,7,3,"
+
+
+def test_filter_on_a_summary_without_it_is_refused(spark):
+    actions = actions_of(spark, EDGE)
+    enriched = sessions.session_enriched(sessions.session_summary(actions), edge_users(spark))
+    with pytest.raises(AnalysisException, match="keyword_match"):
+        sessions.session_filtered(enriched, replace(PARAMS, keywords=("nobody asks",)))
