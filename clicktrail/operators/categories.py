@@ -118,11 +118,10 @@ def top10_session(clicks: DataFrame, task_id: str) -> DataFrame:
     )
 
 
-def clicks_in_top_categories(actions: DataFrame, sessions: DataFrame, top: DataFrame) -> DataFrame:
-    """Clicks per category and session within the ten categories of ``top``."""
+def clicks_in_top_categories(activity: DataFrame, top: DataFrame) -> DataFrame:
+    """Clicks per category and session within the ten categories of ``top``, which are few enough to broadcast."""
     wanted = F.broadcast(top.select(F.col("categoryid").alias("category_id")))
-    events = category_events(actions, ["click"]).join(wanted, "category_id", "left_semi")
-    return category_session_clicks(session_category_activity(events, sessions))
+    return category_session_clicks(activity).join(wanted, "category_id", "left_semi")
 
 
 def top10_session_detail(top_sessions: DataFrame, actions: DataFrame, task_id: str) -> DataFrame:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clicktrail.operators import actions as log
 from clicktrail.operators import categories, funnel, products, sampling, sessions
 from clicktrail.params import TaskParams
-from clicktrail.sources.shared import staged
+from clicktrail.sources.shared import discard, staged
 
 Save = Callable[[str, DataFrame], None]
 
@@ -22,7 +21,8 @@ def session_job(
 
     The filtered sessions, without their lists, are written once and every report
     starts from them, so the log is grouped by session only once. The small
-    results other reports depend on are written once as well.
+    results other reports depend on are written once as well. These tables are
+    removed when the last report is saved.
     """
     selected = log.normalised_actions(log.actions_in_range(actions, params))
     kept = sessions.filtered_sessions(selected, users, params)
@@ -39,13 +39,14 @@ def session_job(
     )
     save("top10_category", top)
 
-    wanted = F.broadcast(top.select(F.col("categoryid").alias("category_id")))
-    clicks = categories.category_session_clicks(activity).join(wanted, "category_id", "left_semi")
+    clicks = categories.clicks_in_top_categories(activity, top)
     leaders = staged(categories.top10_session(clicks, task_id), "top10_session")
     save("top10_session", leaders)
 
     save("session_detail", sampling.session_random_detail(sample, selected, params, task_id))
     save("session_detail", categories.top10_session_detail(leaders, selected, task_id))
+    for made in (kept, sample, activity, top, leaders):
+        discard(made)
 
 
 def page_job(actions: DataFrame, params: TaskParams, task_id: str, save: Save) -> None:
@@ -54,6 +55,7 @@ def page_job(actions: DataFrame, params: TaskParams, task_id: str, save: Save) -
     hot = staged(sessions.hot_sessions(sessions.session_summary(selected)), "hot_sessions")
     conversion = funnel.page_conversion(funnel.session_steps(selected, hot), params.target_page_flow)
     save("page_split_convert_rate", funnel.page_split_convert_rate(conversion, task_id))
+    discard(hot)
 
 
 def product_job(

@@ -58,8 +58,7 @@ class Inputs:
 
     @cached_property
     def log(self) -> DataFrame:
-        source = tables.user_visit_action(self.spark, self.sf_dir, PARAMS.start_date, PARAMS.end_date)
-        return log.actions_in_range(source, PARAMS)
+        return log.actions_in_range(tables.user_visit_action(self.spark, self.sf_dir), PARAMS)
 
     @cached_property
     def actions(self) -> DataFrame:
@@ -101,7 +100,7 @@ class Inputs:
 
     @cached_property
     def clicks(self) -> DataFrame:
-        return log.clicked_products(self.log, PARAMS)
+        return log.clicked_products(tables.user_visit_action(self.spark, self.sf_dir), PARAMS)
 
     def area_products(self, cities: DataFrame) -> DataFrame:
         per_area = products.area_product_clicks(products.city_product_clicks(self.clicks), cities)
@@ -277,8 +276,9 @@ def category_session_clicks(t):
 
 @query
 def top10_session(t):
-    clicks = categories.clicks_in_top_categories(t.actions, t.sessions, top10_category(t))
-    return categories.top10_session(clicks, TASK)
+    activity = t.activity()
+    top = categories.top10_category(categories.category_activity(activity), TASK)
+    return categories.top10_session(categories.clicks_in_top_categories(activity, top), TASK)
 
 
 @query
@@ -291,10 +291,10 @@ def top10_session_detail(t):
 
 @query
 def target_page_pairs(t):
-    """The pairs of the path, with how many actions are on a pair's first page."""
+    """The pairs of the path, with how many actions are on a pair's first page, 0 where none is."""
     pairs = funnel.target_page_pairs(t.spark, PARAMS.target_page_flow)
     views = t.actions.groupBy("page_id").agg(F.count(F.lit(1)).alias("page_pv"))
-    return views.join(F.broadcast(pairs), "page_id")
+    return pairs.join(views, "page_id", "left").withColumn("page_pv", F.coalesce("page_pv", F.lit(0).cast("long")))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Columns of the four input tables and of the decoded ad clicks.
 USER_VISIT_ACTION = """
     date STRING, user_id BIGINT, session_id STRING, page_id BIGINT, action_time STRING,
     search_keyword STRING, click_category_id BIGINT, click_product_id BIGINT,

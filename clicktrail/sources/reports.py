@@ -24,7 +24,6 @@ def table_overwrite(
     df: DataFrame,
     target: str,
     partition_by: str | None = None,
-    bucket_by: tuple[int, str] | None = None,
     catalog: bool = False,
 ) -> None:
     """Replace a table: a parquet path, or a catalog table with ``catalog=True``.
@@ -32,21 +31,15 @@ def table_overwrite(
     ``partition_by`` stores the log by date, so a date range reads only its
     folders. Rows are rebalanced first: one date's rows come together in files of
     advised size, and a date with very many rows is split over tasks.
-    ``bucket_by=(n, "session_id")`` on a catalog table lets later groupings,
-    windows and joins by session skip the shuffle; there the rows of a bucket are
-    brought together, and a very large bucket is written as several files.
+    There is no layout by session: a reader takes such a bucket whole, so one
+    session with very many rows would always land in one task.
     """
-    if bucket_by:
-        df = df.hint("rebalance", *bucket_by)
-    elif partition_by:
+    if partition_by:
         df = df.hint("rebalance", partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    if bucket_by:
-        buckets, column = bucket_by
-        writer = writer.bucketBy(buckets, column).sortBy(column)
-    if catalog or bucket_by:
+    if catalog:
         writer.saveAsTable(target)
     else:
         writer.parquet(target)

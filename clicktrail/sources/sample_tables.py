@@ -22,21 +22,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def user_visit_action(
-    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
-) -> DataFrame:
-    """The action log from ``events``: one session per user and day.
-
-    ``start``/``end`` bound the days read, on the stored time so that the scan
-    can skip row groups.
-    """
-    events = read_table(spark, sf_dir, "events")
-    if start:
-        events = events.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
-    if end:
-        events = events.where(F.col("ts") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
+def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole action log from ``events``: one session per user and day."""
     return (
-        events.selectExpr(
+        read_table(spark, sf_dir, "events")
+        .selectExpr(
             "*",
             "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
             "CAST(CAST(ts AS DATE) AS STRING) AS d",

@@ -283,8 +283,8 @@ _SELECTS = {
     "top10_session_detail": _detail("top_sessions"),
     "target_page_pairs": f"""
         SELECT pos, CAST(a AS BIGINT) AS page_id, CAST(b AS BIGINT) AS next_page_id,
-               concat(a, '_', b) AS pair, page_pv
-        FROM {_path(_PATH)} JOIN (SELECT page_id, count(*) AS page_pv FROM actions GROUP BY ALL) ON page_id = a""",
+               concat(a, '_', b) AS pair, coalesce(page_pv, 0) AS page_pv
+        FROM {_path(_PATH)} LEFT JOIN (SELECT page_id, count(*) AS page_pv FROM actions GROUP BY ALL) ON page_id = a""",
     "session_page_pairs": "SELECT * FROM pairs",
     "page_pair_pv": f"""
         SELECT pair, count(*) AS pv FROM pairs

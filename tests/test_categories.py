@@ -17,9 +17,7 @@ def top_of(spark, rows):
 
 
 def top_sessions_of(spark, rows):
-    actions = actions_of(spark, rows)
-    kept = sessions.filtered_sessions(actions, edge_users(spark), PARAMS)
-    clicks = categories.clicks_in_top_categories(actions, kept, top_of(spark, rows))
+    clicks = categories.clicks_in_top_categories(activity_of(spark, rows), top_of(spark, rows))
     return categories.top10_session(clicks, "t")
 
 

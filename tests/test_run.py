@@ -50,3 +50,29 @@ def test_product_job_into_files(catalog, tmp_path):
     run(catalog, ["product", "--params", PARAMS, "--format", "parquet", "--target", str(tmp_path)])
     found = catalog.read.parquet(str(tmp_path / "area_top3_product")).drop("taskid").first()
     assert tuple(found) == ("华东", "A Level", 4, "2:南京", 1, "p4", "Self")
+
+
+def test_levels_of_an_own_city_table(catalog, tmp_path):
+    table_overwrite(catalog.createDataFrame([(2, "Rome", "South")], "city_id BIGINT, city_name STRING, area STRING"), "city_info", catalog=True)
+    arguments = ["product", "--params", PARAMS, "--format", "parquet", "--target", str(tmp_path), "--levels", '{"South": "A Level"}']
+    run(catalog, arguments)
+    found = catalog.read.parquet(str(tmp_path / "area_top3_product")).first()
+    assert tuple(found)[1:4] == ("South", "A Level", 4)
+    catalog.sql("DROP TABLE city_info")
+
+
+def test_times_are_utc(catalog, tmp_path, settings):
+    settings(session__timeZone="America/New_York")
+    run(catalog, ["page", "--params", PARAMS, "--format", "json", "--target", str(tmp_path)])
+    assert catalog.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_stream_job(catalog, tmp_path):
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    (incoming / "lines.txt").write_text("1546300800000 3 3 42 7\nbad\n")
+    target = str(tmp_path / "out")
+    run(catalog, ["stream", "--source", "text", "--option", f"path={incoming}", "--target", target, "--checkpoint", str(tmp_path / "state")])
+    assert sorted(r.user_id or 0 for r in catalog.read.parquet(target).collect()) == [0, 42]
+    with pytest.raises(SystemExit):
+        run(catalog, ["stream"])

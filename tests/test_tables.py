@@ -1,10 +1,10 @@
-import re
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from clicktrail.operators import actions as log
-from clicktrail.operators import funnel, sessions
+from clicktrail.operators import sessions
 from clicktrail.plans import jobs
 from clicktrail.schemas import AREA_LEVELS, PRODUCT_INFO
 from clicktrail.sources import shared
@@ -64,31 +64,22 @@ def test_date_filter_is_pushed_into_an_unpartitioned_log(spark, tmp_path):
     assert "ReadSchema: struct<date:string,session_id:string>" in plan
 
 
-def test_log_bucketed_by_session_is_grouped_without_shuffle(spark):
-    table_overwrite(days_log(spark), "bucketed_log", bucket_by=(4, "session_id"))
-    stored = spark.table("bucketed_log")
-    plan = plan_of(sessions.session_summary(log.normalised_actions(stored)))
-    assert "Exchange" not in plan
-    assert sessions.session_summary(log.normalised_actions(stored)).count() == 50
-    assert len(stored.inputFiles()) == 4
-    steps = funnel.session_steps(log.normalised_actions(stored))
-    plan = steps._jdf.queryExecution().executedPlan().toString()
-    assert not re.search(r"hashpartitioning\(session_id#\d+, \d+\)", plan)
-    assert steps.count() == 900
-    spark.sql("DROP TABLE bucketed_log")
+def test_hot_session_in_the_stored_log_is_read_by_many_tasks(spark, settings):
+    settings(adaptive__advisoryPartitionSizeInBytes="20KB", adaptive__coalescePartitions__enabled="false",
+             files__maxPartitionBytes="20KB", files__openCostInBytes="1KB")
+    rows = [action("hot" if i % 3 == 0 else f"s{i % 50}", 1, i, keyword=f"k{i}") for i in range(6000)]
+    target = shared.shared_folder(spark, "stored_hot")
+    table_overwrite(log_of(spark, rows).repartition(8), target, "date")
+    stored = spark.read.parquet(target).where("session_id = 'hot'")
+    sizes = [n for n in stored.rdd.glom().map(len).collect() if n]
+    assert sum(sizes) == 2000 and max(sizes) <= 1000
 
 
-def test_large_bucket_is_written_by_several_tasks(spark, settings):
-    settings(adaptive__advisoryPartitionSizeInBytes="20KB", adaptive__coalescePartitions__enabled="false")
-    rows = [action("hot" if i % 3 == 0 else f"s{i % 50}", 1, i, keyword=f"k{i}") for i in range(6000)]
-    source = log_of(spark, rows).repartition(8)
-    table_overwrite(source, "bucketed_hot", bucket_by=(4, "session_id"))
-    stored = spark.table("bucketed_hot")
-    assert len(stored.inputFiles()) > 4
-    summary = sessions.session_summary(log.normalised_actions(stored))
-    assert "Exchange" not in plan_of(summary)
-    assert {r.session_id: r.step_length for r in summary.collect()}["hot"] == 2000
-    spark.sql("DROP TABLE bucketed_hot")
+def test_staged_table_can_be_discarded(spark):
+    made = shared.staged(spark.range(5), "five")
+    files = [name.removeprefix("file://") for name in made.inputFiles()]
+    shared.discard(made)
+    assert files and not any(os.path.exists(name) for name in files)
 
 
 def test_staged_table_lies_in_the_shared_folder(spark):
@@ -100,7 +91,9 @@ def test_staged_table_lies_in_the_shared_folder(spark):
 
 def test_cluster_without_shared_folder_is_refused(spark):
     class Context:
-        master = "yarn"
+        @staticmethod
+        def getCheckpointDir():
+            return None
 
     class Conf:
         @staticmethod
