@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from clicktrail.operators import actions as log
 from clicktrail.operators import categories, funnel, products, sampling, sessions
+from clicktrail.operators.skew import ROWS_PER_SPLIT
 from clicktrail.params import TaskParams
 from clicktrail.sources.shared import discard, staged
 
@@ -49,10 +50,20 @@ def session_job(
         discard(made)
 
 
-def page_job(actions: DataFrame, params: TaskParams, task_id: str, save: Save) -> None:
-    """Conversion rates along the task's page path, over all sessions of the date range."""
+def page_job(
+    actions: DataFrame,
+    params: TaskParams,
+    task_id: str,
+    save: Save,
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> None:
+    """Conversion rates along the task's page path, over all sessions of the date range.
+
+    A session of more than ``rows_per_split`` actions is ordered in slices of about
+    that many: as many as one task sorts well in the cluster's memory.
+    """
     selected = log.normalised_actions(log.actions_in_range(actions, params))
-    hot = staged(sessions.hot_sessions(sessions.session_summary(selected)), "hot_sessions")
+    hot = staged(sessions.hot_sessions(sessions.session_summary(selected), rows_per_split), "hot_sessions")
     conversion = funnel.page_conversion(funnel.session_steps(selected, hot), params.target_page_flow)
     save("page_split_convert_rate", funnel.page_split_convert_rate(conversion, task_id))
     discard(hot)

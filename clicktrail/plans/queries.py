@@ -199,7 +199,10 @@ def session_aggr_stat_by_interests(t):
 
 @query
 def session_detail(t):
-    return sessions.session_detail(t.actions, t.sessions, TASK)
+    summary = sessions.session_summary(t.actions, PARAMS).drop("search_keywords", "click_category_ids")
+    summary = staged(summary, "session_summary")  # for the filter and for the list of hot sessions
+    kept = sessions.session_filtered(sessions.session_enriched(summary, t.users), PARAMS)
+    return sessions.session_detail(t.actions, kept, TASK, sessions.hot_sessions(summary))
 
 
 # Sampling
@@ -276,7 +279,7 @@ def category_session_clicks(t):
 
 @query
 def top10_session(t):
-    activity = t.activity()
+    activity = staged(t.activity(), "category_activity")  # for the ranking and for the sessions
     top = categories.top10_category(categories.category_activity(activity), TASK)
     return categories.top10_session(categories.clicks_in_top_categories(activity, top), TASK)
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 if __name__ == "__main__":
     sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
+from clicktrail.operators.skew import ROWS_PER_SPLIT  # noqa: E402
 from clicktrail.params import TaskParams  # noqa: E402
 from clicktrail.plans import jobs  # noqa: E402
 from clicktrail.schemas import AREA_LEVELS  # noqa: E402
@@ -43,6 +44,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> str:
     parser.add_argument("job", choices=["session", "page", "product", "stream"])
     parser.add_argument("--params", default="{}", help="task parameters as JSON")
     parser.add_argument("--levels", help="level of each area as JSON, for a city table of its own")
+    parser.add_argument("--rows-per-split", type=int, default=ROWS_PER_SPLIT, help="actions of a session one task sorts")
     parser.add_argument("--source", default="kafka", help="source format of the stream; its settings are --option")
     parser.add_argument("--checkpoint", help="folder of the stream's progress")
     parser.add_argument("--every", help="how often the running stream starts a batch, as in '5 seconds'")
@@ -67,7 +69,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> str:
     if chosen.job == "session":
         jobs.session_job(actions, spark.table("user_info"), params, chosen.task_id, save)
     elif chosen.job == "page":
-        jobs.page_job(actions, params, chosen.task_id, save)
+        jobs.page_job(actions, params, chosen.task_id, save, chosen.rows_per_split)
     else:
         known = spark.catalog.tableExists("city_info")
         cities = spark.table("city_info") if known else city_dimension(spark)
