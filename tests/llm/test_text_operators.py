@@ -78,8 +78,8 @@ def test_near_duplicate_edges(spark):
     assert forest.near_duplicates(documents(spark, [])).collect() == []
 
 
-@pytest.mark.parametrize("local", [0, 500_000])
-def test_components_by_rounds_and_in_one_task(spark, local):
+@pytest.mark.parametrize("links_per_task", [2, 30, 500_000])
+def test_components_in_many_tasks_and_in_one(spark, links_per_task):
     rng = random.Random(4)
     links = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)]
     links += [(i, i + 1) for i in range(200, 260)] + [(400, i) for i in range(401, 440)] + [(7, 7), (None, 3)]
@@ -88,9 +88,9 @@ def test_components_by_rounds_and_in_one_task(spark, local):
         for a, b in links:
             if a in lowest and b in lowest:
                 lowest[a] = lowest[b] = min(lowest[a], lowest[b])
-    found = components.connected_components(spark.createDataFrame(links, "a long, b long"), local).collect()
+    found = components.connected_components(spark.createDataFrame(links, "a long, b long"), links_per_task).collect()
     assert sorted((r["node"], r["component"]) for r in found) == sorted(lowest.items())
-    assert components.connected_components(spark.createDataFrame([], "a long, b long"), local).collect() == []
+    assert components.connected_components(spark.createDataFrame([], "a long, b long"), links_per_task).collect() == []
 
 
 # Private data
