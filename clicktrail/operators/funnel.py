@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from clicktrail.functions import values
 from clicktrail.operators.sessions import hot_sessions, session_summary
 from clicktrail.operators.skew import by_hotness
+from clicktrail.sources.shared import staged
 
 ORDER = ["action_ts", "action_seq"]
 
@@ -30,57 +34,82 @@ def target_page_pairs(spark: SparkSession, path: Sequence[int]) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {steps} AS path(pos, page_id, next_page_id, pair)")
 
 
-def _steps_of_hot_sessions(actions: DataFrame, slices: int | None) -> DataFrame:
-    """Following pages within sessions too long to sort in one task.
+def hot_session_slices(actions: DataFrame, hot: DataFrame, slices: int | None = None) -> DataFrame:
+    """``_sliced`` rows, written to the shared folder: the ends of slices are read apart from the rest."""
+    return staged(_sliced(actions, hot, slices), "hot_session_slices")
 
-    Range partitioning on session and time cuts a session into slices in time
-    order. Within a slice ``lead`` finds the next page, except for its last row.
-    The first and last rows of all slices, two per slice, are few; ordered by
-    slice, a slice's last row is followed by the first row of the next. Other
-    rows keep to their slice in that second window. The number of the
+
+def _sliced(actions: DataFrame, hot: DataFrame, slices: int | None) -> DataFrame:
+    """Rows of the hot sessions with the page that follows.
+
+    One shuffle: range partitioning on session and time cuts the sessions into
+    slices in time order, one per task, which reads its rows in that order. Only
+    the last row of a slice lacks its next page. It has ``edge`` 1, and a copy of
+    the slice's first row has ``edge`` 0; other rows have none. The number of the
     input partition comes last in the order: it cuts up even a session of many
     copies of one row, whose order among each other makes no difference.
     """
-    order = [*ORDER, "source"]
-    keys = ["session_id", *order]
-    rows = actions.withColumn("source", F.spark_partition_id())
+    rows, _ = by_hotness(actions.select("session_id", "page_id", *ORDER), "session_id", hot)
+    rows = rows.withColumn("source", F.spark_partition_id())
+    keys = ["session_id", *ORDER, "source"]
     cut = rows.repartitionByRange(slices, *keys) if slices else rows.repartitionByRange(*keys)
-    in_slice = Window.partitionBy("session_id", "slice").orderBy(*order)
-    at_edge = Window.partitionBy("session_id", "inner_slice").orderBy("slice", "is_last")
-    return (
-        cut.withColumn("slice", F.spark_partition_id())
-        .withColumns(
-            {
-                "next_page_id": F.lead("page_id").over(in_slice),
-                "is_first": F.lag(F.lit(True)).over(in_slice).isNull(),
-                "is_last": F.lead(F.lit(True)).over(in_slice).isNull(),
-            }
-        )
-        .withColumn("inner_slice", F.when(~(F.col("is_first") | F.col("is_last")), F.col("slice")))
-        .withColumn("after_slice", F.lead("page_id").over(at_edge))
-        .withColumn(
-            "next_page_id",
-            F.when(F.col("is_last"), F.col("after_slice")).otherwise(F.col("next_page_id")),
-        )
-        .select("session_id", "page_id", *ORDER, "next_page_id")
-    )
-
-
-def session_steps(
-    actions: DataFrame, hot: DataFrame | None = None, slices: int | None = None
-) -> DataFrame:
+    cut = cut.sortWithinPartitions(*keys).drop("source").withColumn("slice", F.spark_partition_id())
+    added = [StructField("next_page_id", cut.schema["page_id"].dataType), StructField("edge", IntegerType())]
+    return cut.mapInArrow(_followed, StructType([*cut.schema.fields, *added]))
+
+
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row of a slice with the page of the next row, if that is of the same session."""
+
+    def rows(table: pa.Table, next_page: pa.ChunkedArray | pa.Array, edge: int | None) -> list[pa.RecordBatch]:
+        edges = pa.array([edge] * len(table), pa.int32())
+        return table.append_column("next_page_id", next_page).append_column("edge", edges).combine_chunks().to_batches()
+
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        nothing = pa.nulls(1, table.schema.field("page_id").type)
+        if last is None:
+            yield from rows(table.slice(0, 1), nothing, 0)
+        else:
+            table = pa.concat_tables([last, table]).combine_chunks()
+        session, following = table.column("session_id")[:-1], table.column("session_id")[1:]
+        both_null = pc.and_(pc.is_null(session), pc.is_null(following))
+        same = pc.or_(pc.fill_null(pc.equal(session, following), False), both_null)
+        yield from rows(table[:-1], pc.if_else(same, table.column("page_id")[1:], nothing[0]), None)
+        last = table[-1:]
+    if last is not None:
+        yield from rows(last, nothing, 1)
+
+
+def _steps_of_slices(cut: DataFrame) -> DataFrame:
+    """All steps of the hot sessions: the ends, two rows per slice, are put together by one small window."""
+    columns = ["session_id", "page_id", *ORDER, "next_page_id"]
+    after = F.lead(F.struct("session_id", "page_id")).over(Window.orderBy("slice", "edge"))
+    ends = cut.where("edge IS NOT NULL").withColumn("after", after).where("edge = 1")
+    follows = F.col("after").isNotNull() & F.col("after.session_id").eqNullSafe(F.col("session_id"))
+    ends = ends.withColumn("next_page_id", F.when(follows, F.col("after.page_id")))
+    return cut.where("edge IS NULL").select(columns).unionByName(ends.select(columns))
+
+
+def session_steps(actions: DataFrame, hot: DataFrame | None = None, cut: DataFrame | None = None) -> DataFrame:
     """Each action with the page of its session's next action, NULL for the last.
 
     Actions are ordered by time, then ``action_seq``. Sessions in ``hot`` (at
-    most a fixed number, see ``skew``) are cut into slices; all others are
-    sorted whole. Without hot sessions adaptive execution drops that branch.
+    most a fixed number, see ``skew``) come in slices, ``cut`` if given; all
+    others are sorted whole. Without hot sessions adaptive execution leaves the
+    slices' scan out.
     """
     if hot is None:
-        hot = hot_sessions(session_summary(actions))
-    long, short = by_hotness(actions.select("session_id", "page_id", *ORDER), "session_id", hot)
+        hot = staged(hot_sessions(session_summary(actions)), "hot_sessions")
+    if cut is None:
+        cut = hot_session_slices(actions, hot)
+    _, short = by_hotness(actions.select("session_id", "page_id", *ORDER), "session_id", hot)
     in_session = Window.partitionBy("session_id").orderBy(*ORDER)
     whole = short.withColumn("next_page_id", F.lead("page_id").over(in_session))
-    return whole.unionByName(_steps_of_hot_sessions(long, slices))
+    return whole.unionByName(_steps_of_slices(cut))
 
 
 def session_page_pairs(steps: DataFrame) -> DataFrame:

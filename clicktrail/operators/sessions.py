@@ -9,6 +9,7 @@ from clicktrail.functions import times, values
 from clicktrail.operators.skew import ROWS_PER_SPLIT, hot_keys, split_semi_join
 from clicktrail.params import TaskParams
 from clicktrail.schemas import STEP_BUCKETS, VISIT_BUCKETS
+from clicktrail.sources.shared import staged
 
 # Columns of the detail report and the log columns they show.
 DETAIL_COLUMNS = {
@@ -136,7 +137,7 @@ def hot_sessions(sessions: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> D
 def session_actions(actions: DataFrame, sessions: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Actions of the given sessions; long sessions are split over tasks."""
     if hot is None:
-        hot = hot_sessions(session_summary(actions))
+        hot = staged(hot_sessions(session_summary(actions)), "hot_sessions")
     return split_semi_join(actions, sessions, "session_id", "action_seq", hot)
 
 

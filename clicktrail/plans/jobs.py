@@ -64,9 +64,11 @@ def page_job(
     """
     selected = log.normalised_actions(log.actions_in_range(actions, params))
     hot = staged(sessions.hot_sessions(sessions.session_summary(selected), rows_per_split), "hot_sessions")
-    conversion = funnel.page_conversion(funnel.session_steps(selected, hot), params.target_page_flow)
+    cut = funnel.hot_session_slices(selected, hot)
+    conversion = funnel.page_conversion(funnel.session_steps(selected, hot, cut), params.target_page_flow)
     save("page_split_convert_rate", funnel.page_split_convert_rate(conversion, task_id))
-    discard(hot)
+    for made in (hot, cut):
+        discard(made)
 
 
 def product_job(

@@ -57,7 +57,7 @@ def test_hot_session_in_slices_matches_brute_force(spark, slices, same_time):
     actions = actions_of(spark, rows)
     hot = hot_sessions(session_summary(actions), rows_per_split=50)
     assert [r.session_id for r in hot.collect()] == ["hot"]
-    steps = funnel.session_steps(actions, hot, slices)
+    steps = funnel.session_steps(actions, hot, funnel.hot_session_slices(actions, hot, slices))
     found = Counter((r.session_id, r.page_id, r.next_page_id) for r in steps.collect())
     assert found == expected_steps(rows)
 
@@ -78,7 +78,7 @@ def test_rows_without_session_are_split_too(spark):
     actions = actions_of(spark, rows)
     hot = hot_sessions(session_summary(actions), rows_per_split=50)
     assert [r.session_id for r in hot.collect()] == [None]
-    steps = funnel.session_steps(actions, hot, 6)
+    steps = funnel.session_steps(actions, hot, funnel.hot_session_slices(actions, hot, 6))
     found = Counter((r.session_id, r.page_id, r.next_page_id) for r in steps.collect())
     assert found == expected_steps(rows)
 
@@ -87,7 +87,7 @@ def test_hot_session_of_copies_of_one_row(spark):
     copies = [action("hot", 1, 5, 3)] * 300 + [action("hot", 1, 4, 1), action("hot", 1, 6, 2)]
     actions = actions_of(spark, copies).repartition(6)
     hot = hot_sessions(session_summary(actions), rows_per_split=50)
-    steps = funnel.session_steps(actions, hot, 5)
+    steps = funnel.session_steps(actions, hot, funnel.hot_session_slices(actions, hot, 5))
     found = Counter((r.page_id, r.next_page_id) for r in steps.collect())
     assert found == {(1, 3): 1, (3, 3): 299, (3, 2): 1, (2, None): 1}
 

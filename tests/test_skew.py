@@ -1,7 +1,9 @@
 import random
+import re
 from collections import Counter
 
 from clicktrail.operators import funnel, sessions, skew
+from clicktrail.sources.shared import staged
 from tests.rows import PARAMS, action, actions_of, edge_users, run_plan_of, users_of
 
 
@@ -46,7 +48,7 @@ def test_large_keys_outside_the_list_stay_whole(spark):
     assert hot.count() == 1
     found = sessions.session_actions(actions, counts, hot).collect()
     assert sorted(r.action_seq for r in found) == list(range(400))
-    steps = funnel.session_steps(actions, hot, 4).collect()
+    steps = funnel.session_steps(actions, hot, funnel.hot_session_slices(actions, hot, 4)).collect()
     whole = funnel.session_steps(actions, hot.limit(0)).collect()
     assert Counter(steps) == Counter(whole) and len(steps) == 400
 
@@ -100,3 +102,18 @@ def test_detail_of_a_filtered_hot_session(spark):
     kept = sessions.filtered_sessions(actions, edge_users(spark), PARAMS)
     hot = sessions.hot_sessions(kept, rows_per_split=25)
     assert sessions.session_detail(actions, kept, "t", hot).count() == len(rows)
+
+
+def test_hot_rows_are_shuffled_once(spark, settings):
+    settings(execution__arrow__maxRecordsPerBatch="7")
+    rows = hot_rows(3000)
+    actions = actions_of(spark, rows)
+    hot = staged(sessions.hot_sessions(sessions.session_summary(actions), rows_per_split=100), "hot")
+    plan = run_plan_of(funnel._sliced(actions, hot, 8))
+    assert re.findall(r"Exchange (\w+partitioning)", plan) == ["rangepartitioning"]
+    cut = funnel.hot_session_slices(actions, hot, 8)
+    inner = [n for (n,) in cut.where("edge IS NULL").groupBy("slice").count().select("count").collect()]
+    assert len(inner) == 8 and max(inner) < 2 * sum(inner) / 8
+    steps = funnel.session_steps(actions, hot, cut)
+    assert Counter(r.session_id for r in steps.collect()) == Counter(row[2] for row in rows)
+    assert steps.where("next_page_id IS NULL").count() == len({row[2] for row in rows})
