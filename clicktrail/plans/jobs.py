@@ -64,11 +64,9 @@ def page_job(
     """
     selected = log.normalised_actions(log.actions_in_range(actions, params))
     hot = staged(sessions.hot_sessions(sessions.session_summary(selected), rows_per_split), "hot_sessions")
-    cut = funnel.hot_session_slices(selected, hot)
-    conversion = funnel.page_conversion(funnel.session_steps(selected, hot, cut), params.target_page_flow)
+    conversion = funnel.page_conversion(funnel.session_steps(selected, hot), params.target_page_flow)
     save("page_split_convert_rate", funnel.page_split_convert_rate(conversion, task_id))
-    for made in (hot, cut):
-        discard(made)
+    discard(hot)
 
 
 def product_job(

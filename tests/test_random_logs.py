@@ -89,7 +89,7 @@ def test_categories(spark):
 
 
 def test_page_order(spark):
-    @settings(relaxed, max_examples=20)
+    @relaxed
     @given(rows_strategy, st.integers(2, 9))
     def check(drawn, slices):
         rows = log_rows(drawn)
@@ -100,7 +100,7 @@ def test_page_order(spark):
             ordered = sorted(group, key=lambda row: (time_of(row), row[13]))
             pages = [row[3] for row in ordered] + [None]
             expected += [(session, row[13], following) for row, following in zip(ordered, pages[1:])]
-        found = funnel.session_steps(actions, hot, funnel.hot_session_slices(actions, hot, slices)).collect()
+        found = funnel.session_steps(actions, hot, slices).collect()
         assert sorted((r.session_id, r.action_seq, r.next_page_id or -1) for r in found) == sorted(
             (session, seq, following or -1) for session, seq, following in expected
         )
