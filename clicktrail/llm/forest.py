@@ -5,8 +5,10 @@ Documents that are neighbours in such an order share the longest prefixes, so
 every document is paired with its next few neighbours as long as they share at
 least ``min_depth`` values. Depth adapts to the region: where few documents share
 a prefix all of them are paired at ``min_depth``, in a dense region the nearest
-neighbours are those with the deepest common prefix. Pairs are confirmed on the
-full shingle sets, so no false pair links.
+neighbours are those with the deepest common prefix. The other pairs of a dense
+region are compared by their signatures in bounded cells, unless links have put
+both documents into one component already. Pairs are confirmed on the full
+shingle sets, so no false pair links.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicktrail.llm import cells
 from clicktrail.llm import text as tx
 from clicktrail.llm.components import connected_components
 from clicktrail.sources.shared import staged
@@ -35,7 +38,10 @@ class Forest:
     least one with probability 1 - (1 - s**min_depth)**trees: 0.99999 at 0.8.
     ``sketch_distance`` drops pairs whose one-bit sketches (one bit per value)
     differ in more places; at similarity 0.8 the mean is a tenth of the bits, and
-    the default is over five standard deviations above that.
+    the default is over five standard deviations above that. ``agreement`` is the
+    same for the 16-bit values: pairs of a dense region that agree in fewer are
+    dropped (mean 154 of 192 at 0.8, five standard deviations are 28).
+    ``block`` bounds the rows of a dense region that meet as many others in a task.
     """
 
     shingle: int = 5
@@ -44,11 +50,18 @@ class Forest:
     min_depth: int = 4
     neighbours: int = 4
     sketch_distance: int = 42
+    agreement: int = 125
+    block: int = 1024
 
     @property
     def values(self) -> int:
         return self.trees * DEPTH
 
+    @property
+    def region(self) -> int:
+        """Values whose prefix makes a region; the order's first column holds four."""
+        return min(self.min_depth, 4)
+
 
 def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, ...): doc_id, n_shingles, component_id, kept.
@@ -63,7 +76,8 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     columns of any name are not read. An empty table gives an empty result.
 
     Equal sets (64-bit hash of the set) are one class with one representative, so
-    copies are never paired with each other.
+    copies are never paired with each other. A pair meets if it shares
+    ``min_depth`` values in some tree, however many documents lie between.
     """
     rows = staged(_sets_of(docs.select("doc_id", "text"), forest), "shingles")
     classes = staged(
@@ -143,14 +157,19 @@ def _sets_of(docs: DataFrame, forest: Forest) -> DataFrame:
 # Candidates
 
 
-def _neighbour_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
-    """Pairs (a, b, chain) of neighbours in the trees' orders; chain: next to each other in one of the first three.
+def _neighbours(classes: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b, chain) of neighbours in the trees' orders, and the rows (tree, prefix, node) of dense regions.
+
+    chain: next to each other in one of the first three trees. A row is in a dense
+    region if more than ``neighbours`` rows on one side share its prefix, so both
+    rows of every pair that is too far apart are among them.
 
     Each tree's order is cut into ranges, so identical signatures of any number
     spread over tasks. Every range also hands out its first and last rows, which
     are paired over the cuts in a second, small step.
     """
     reach = forest.neighbours
+    span = reach + 1
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,10 +198,11 @@ def _neighbour_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
             if kept:
                 rows = [np.concatenate(x) for x in zip(kept, rows)]
             yield _paired(rows, int(fresh[0]), forest)
-            if seen < reach:
-                yield _edges([c[fresh[0] :][: reach - seen] for c in rows])
+            yield _dense(rows, int(fresh[0]), forest)
+            if seen < span:
+                yield _edges([c[fresh[0] :][: span - seen] for c in rows])
             seen += batch.num_rows
-            kept = [c[-reach:] for c in rows]
+            kept = [c[-span:] for c in rows]
         if kept:
             yield _edges(kept)
 
@@ -197,23 +217,28 @@ def _neighbour_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
     order = Window.partitionBy("tree").orderBy("p0", "p1", "node")
     cuts = found.where("other IS NULL").select("tree", "p0", "p1", "node", "n").distinct()
     over_cuts = cuts.withColumn(
-        "next", F.array(*(F.lead(F.struct("p0", "p1", "node", "n"), i).over(order) for i in range(1, reach + 1)))
+        "next", F.array(*(F.lead(F.struct("p0", "p1", "node", "n"), i).over(order) for i in range(1, span + 1)))
     ).select("tree", "p0", "p1", "node", "n", F.posexplode("next").alias("step", "b"))
     depth = sum(
         F.when(F.shiftright(F.expr(f"{name} ^ b.{name}"), 48 - 16 * i) == 0, 1).otherwise(0)
         for name, shifts in (("p0", 4), ("p1", 0))
         for i in range(shifts)
     )
-    over_cuts = over_cuts.where(F.col("b").isNotNull() & (depth >= min(forest.min_depth, 4)) & _sizes_fit(forest))
-    pairs = found.where("other IS NOT NULL").select("node", "other", "chain").unionAll(
-        over_cuts.select("node", F.col("b.node"), (F.col("tree") < 3) & (F.col("step") == 0))
+    over_cuts = over_cuts.where(F.col("b").isNotNull() & (depth >= forest.region))
+    near = over_cuts.where((F.col("step") < reach) & _sizes_fit(forest))
+    pairs = found.where("other <> node").select("node", "other", "chain").unionAll(
+        near.select("node", F.col("b.node"), (F.col("tree") < 3) & (F.col("step") == 0))
     )
-    return (
+    pairs = (
         pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "chain")
         .where("a <> b")
         .groupBy("a", "b")
         .agg(F.max("chain").alias("chain"))
     )
+    far = over_cuts.where(F.col("step") == reach).select("tree", "p0", F.explode(F.array("node", "b.node")).alias("node"))
+    dense = found.where("other = node").select("tree", "p0", "node").unionAll(far)
+    prefix = F.shiftright("p0", 64 - 16 * forest.region).alias("prefix")
+    return pairs, dense.select("tree", prefix, "node").distinct()
 
 
 def _sizes_fit(forest: Forest):
@@ -240,6 +265,16 @@ def _paired(rows: list[np.ndarray], fresh: int, forest: Forest) -> pa.RecordBatc
     return _record(columns, None)
 
 
+def _dense(rows: list[np.ndarray], fresh: int, forest: Forest) -> pa.RecordBatch:
+    """Rows of dense regions, as pairs with themselves; the later row of those that show it is at ``fresh`` or after."""
+    tree, p0 = rows[0], rows[1]
+    later = np.arange(max(fresh, forest.neighbours + 1), len(tree))
+    first = later - forest.neighbours - 1
+    far = (tree[later] == tree[first]) & ((p0[later] ^ p0[first]).view(np.uint64) >> np.uint64(64 - 16 * forest.region) == 0)
+    at = np.union1d(later[far], first[far])
+    return _record([*(c[at] for c in rows), rows[3][at], np.zeros(len(at), bool)], None)
+
+
 def _edges(rows: list[np.ndarray]) -> pa.RecordBatch:
     return _record([*rows, np.zeros(len(rows[0]), np.int64), np.zeros(len(rows[0]), bool)], np.ones(len(rows[0]), bool))
 
@@ -257,18 +292,20 @@ def _links_between_classes(docs: DataFrame, classes: DataFrame, forest: Forest)
     """Confirmed links (a, b) that connect classes as all confirmed candidates would.
 
     First the candidates next to each other in three trees are confirmed, which
-    connects dense groups by few links. Of the other candidates only those
-    between different components are left to confirm: the rest could change nothing.
+    connects dense groups by few links. Of the other candidates, and then of the
+    pairs in dense regions, only those between different components are left to
+    confirm: the rest could change nothing.
     """
     bits = classes.select("node", *(F.conv(F.hex(F.substring("sketch", 1 + 8 * i, 8)), 16, -10).cast("long").alias(f"s{i}") for i in range(forest.values // 64)))
     names = [c for c in bits.columns if c != "node"]
-    pairs = _neighbour_pairs(classes, forest)
+    pairs, dense = _neighbours(classes, forest)
     for side in ("a", "b"):
         pairs = pairs.join(bits.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in names)), side)
     differing = sum(F.bit_count(F.expr(f"a_{c} ^ b_{c}")) for c in names)
     pairs = staged(pairs.where(differing <= forest.sketch_distance).select("a", "b", "chain"), "candidates")
+    dense = staged(dense, "dense_regions")
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(dense.select("node")).distinct()
     texts = staged(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .where("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -281,7 +318,49 @@ def _links_between_classes(docs: DataFrame, classes: DataFrame, forest: Forest)
     for side in ("a", "b"):
         rest = rest.join(label.select(F.col("node").alias(side), F.col("component").alias(f"{side}_label")), side, "left")
     rest = rest.where("coalesce(a_label, a) <> coalesce(b_label, b)").select("a", "b")
-    return first.unionAll(_confirmed(rest, texts, forest))
+    known = staged(first.unionAll(_confirmed(rest, texts, forest)), "confirmed")
+    far = staged(_far_pairs(dense, connected_components(known), classes, forest).distinct(), "far_candidates")
+    return known.unionAll(_confirmed(far, texts, forest))
+
+
+def _far_pairs(dense: DataFrame, label: DataFrame, classes: DataFrame, forest: Forest) -> DataFrame:
+    """Pairs (a, b) of a dense region whose signatures are close and whose components differ; a pair may repeat."""
+    region = ["tree", "prefix"]
+    rows = dense.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_region = rows.groupBy(*region).agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("x"), F.max("component").alias("y"))
+    rows = rows.join(of_region.where("x <> y").select(*region, "members"), region)
+    rows = rows.join(classes.select("node", "n_shingles", "signature", "sketch"), "node")
+    columns = ["node", "n_shingles", "component", "signature", "sketch"]
+    met = cells.dealt(rows, region, F.col("members"), "node", forest.block, columns)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found, cuts in cells.whole(batches, region):
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                yield from _close(found.slice(low, high - low), forest)
+
+    return met.mapInArrow(compare, "a long, b long")
+
+
+def _close(cell: pa.Table, forest: Forest) -> Iterator[pa.RecordBatch]:
+    """The pairs of one cell, a row of its low block with one of its high block."""
+    column = {name: cell.column(name).to_numpy() for name in ("low", "high", "block", "node", "n_shingles", "component")}
+    sketch, signature = (
+        np.frombuffer(b"".join(cell.column(name).to_pylist()), kind).reshape(cell.num_rows, -1)
+        for name, kind in (("sketch", np.uint64), ("signature", np.uint16))
+    )
+    node, n, component = column["node"], column["n_shingles"], column["component"]
+    second = np.flatnonzero(column["block"] == column["high"])
+    for at in np.array_split(np.flatnonzero(column["block"] == column["low"]), -(-cell.num_rows // 128)):
+        differing = sum(np.bitwise_count(s[at][:, None] ^ s[second]).astype(int) for s in sketch.T)
+        i, j = np.nonzero((differing <= forest.sketch_distance) & (component[at][:, None] != component[second]))
+        i, j = at[i], second[j]
+        fits = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * forest.percent
+        i, j = i[fits], j[fits]
+        for part in range(0, len(i), 1 << 16):
+            x, y = i[part : part + (1 << 16)], j[part : part + (1 << 16)]
+            same = (signature[x] == signature[y]).sum(axis=1) >= forest.agreement
+            a, b = np.minimum(node[x], node[y])[same], np.maximum(node[x], node[y])[same]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, forest: Forest) -> DataFrame:

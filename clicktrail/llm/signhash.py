@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicktrail.llm import cells
 from clicktrail.llm.components import connected_components
 from clicktrail.sources.shared import staged
 
@@ -136,47 +137,20 @@ def _compared(classes: DataFrame, hashing: SignHashing, bits: int, tables: int)
         narrow.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hashing.block), "large_buckets"
     )
     rows = coded.select("*", F.posexplode("codes").alias("table", "code")).join(large, bucket, "left")
-    blocks = F.ceil(F.coalesce(F.col("n"), F.lit(1)) / F.lit(hashing.block)).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cell = [*bucket, "low", "high"]
-    cells = (
-        rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        .select(*cell, "block", "node", "copies", "codes", "embedding")
-        .repartition(*cell)
-        .sortWithinPartitions(*cell)
+    met = cells.dealt(
+        rows, bucket, F.coalesce(F.col("n"), F.lit(1)), "node", hashing.block, ["node", "copies", "codes", "embedding"]
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            rest = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
-            cuts = _runs(rest, cell)
-            yield from _links_in_cells(rest.slice(0, cuts[-2]), cuts[:-1], hashing.threshold)
-            rest = rest.slice(cuts[-2])
-        if rest is not None:
-            yield from _links_in_cells(rest, [0, rest.num_rows], hashing.threshold)
-
-    return cells.mapInArrow(compare, "node long, links long, lowest long")
-
+        for found, cuts in cells.whole(batches, bucket):
+            yield from _links_in_cells(found, cuts, hashing.threshold)
 
-def _runs(rows: pa.Table, cell: list[str]) -> list[int]:
-    """Where runs of equal cells begin, and the end."""
-    new = np.zeros(rows.num_rows, bool)
-    new[:1] = True
-    for name in cell:
-        values = rows.column(name).to_numpy()
-        new[1:] |= values[1:] != values[:-1]
-    return [*np.flatnonzero(new).tolist(), rows.num_rows]
+    return met.mapInArrow(compare, "node long, links long, lowest long")
 
 
 def _links_in_cells(rows: pa.Table, cuts: list[int], threshold: float) -> Iterator[pa.RecordBatch]:
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    rows = rows.combine_chunks()
-    column = {name: rows.column(name).to_numpy() for name in ("low", "high", "block", "node", "copies", "table")} if rows.num_rows else {}
+    column = {name: rows.column(name).to_numpy() for name in ("low", "high", "block", "node", "copies", "table")}
     for low, high in zip(cuts[:-1], cuts[1:]):
         if high - low < 2:
             continue
