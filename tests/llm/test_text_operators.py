@@ -71,19 +71,18 @@ def test_near_duplicates_are_those_of_brute_force(spark, size):
 def test_pairs_far_apart_in_dense_regions_are_found(spark, neighbours):
     """Many texts alike, but for a few not enough to link: their partners stand far away in every order."""
     rng = random.Random(neighbours)
-    shared = [f"s{i}" for i in range(110)]
+    shared = [f"s{i}" for i in range(130)]
     rows = []
-    for pair in range(150):
-        own = [f"p{pair}w{i}" for i in range(44)]
+    for pair in range(250):
+        own = [f"p{pair}w{i}" for i in range(35)]
         for copy in range(2):
-            mine = own[:30] + [f"{w}c{copy}" for w in own[30:]]
-            rows.append((len(rows), " ".join(shared + mine)))
-    rng.shuffle(rows)
+            mine = own[:18] + [f"{w}c{copy}" for w in own[18:]]
+            rows.append((rng.getrandbits(40), " ".join(shared + mine)))
     docs = documents(spark, [(i, t, None) for i, t in rows])
     dense = forest.Forest(shingle=1, neighbours=neighbours, block=64)
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in forest.near_duplicates(docs, dense).collect()}
     expected = brute_components(rows, 1)
-    assert sum(kept for _, _, kept in expected.values()) == 150
+    assert sum(kept for _, _, kept in expected.values()) == 250
     assert found == expected
 
 
