@@ -5,10 +5,10 @@ Documents that are neighbours in such an order share the longest prefixes, so
 every document is paired with its next few neighbours as long as they share at
 least ``min_depth`` values. Depth adapts to the region: where few documents share
 a prefix all of them are paired at ``min_depth``, in a dense region the nearest
-neighbours are those with the deepest common prefix. The other pairs of a dense
-region are compared by their signatures in bounded cells, unless links have put
-both documents into one component already. Pairs are confirmed on the full
-shingle sets, so no false pair links.
+neighbours are those with the deepest common prefix. Documents of dense regions
+that links have not put into one component yet meet in an exact set join: those
+whose rarest shingles have one in common. Pairs are confirmed on the full shingle
+sets, so no false pair links.
 """
 
 from __future__ import annotations
@@ -38,10 +38,9 @@ class Forest:
     least one with probability 1 - (1 - s**min_depth)**trees: 0.99999 at 0.8.
     ``sketch_distance`` drops pairs whose one-bit sketches (one bit per value)
     differ in more places; at similarity 0.8 the mean is a tenth of the bits, and
-    the default is over five standard deviations above that. ``agreement`` is the
-    same for the 16-bit values: pairs of a dense region that agree in fewer are
-    dropped (mean 154 of 192 at 0.8, five standard deviations are 28).
-    ``block`` bounds the rows of a dense region that meet as many others in a task.
+    the default is over five standard deviations above that.
+    ``block`` bounds the documents with a rare shingle that meet as many others in
+    a task; shingles are ordered by counts in ``counters`` hash counters.
     """
 
     shingle: int = 5
@@ -50,8 +49,8 @@ class Forest:
     min_depth: int = 4
     neighbours: int = 4
     sketch_distance: int = 42
-    agreement: int = 125
     block: int = 1024
+    counters: int = 1 << 18
 
     @property
     def values(self) -> int:
@@ -319,48 +318,96 @@ def _links_between_classes(docs: DataFrame, classes: DataFrame, forest: Forest)
         rest = rest.join(label.select(F.col("node").alias(side), F.col("component").alias(f"{side}_label")), side, "left")
     rest = rest.where("coalesce(a_label, a) <> coalesce(b_label, b)").select("a", "b")
     known = staged(first.unionAll(_confirmed(rest, texts, forest)), "confirmed")
-    far = staged(_far_pairs(dense, connected_components(known), classes, forest).distinct(), "far_candidates")
-    return known.unionAll(_confirmed(far, texts, forest))
+    unmet = staged(_unmet(dense, connected_components(known), classes, texts), "unmet_texts")
+    far = staged(_far_pairs(unmet, forest).distinct(), "far_candidates")
+    return known.unionAll(_confirmed(far, unmet.select(F.col("node").alias("doc_id"), "text"), forest))
 
 
-def _far_pairs(dense: DataFrame, label: DataFrame, classes: DataFrame, forest: Forest) -> DataFrame:
-    """Pairs (a, b) of a dense region whose signatures are close and whose components differ; a pair may repeat."""
+def _unmet(dense: DataFrame, label: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, component, sketch, text) of the classes in a dense region with more than one component."""
     region = ["tree", "prefix"]
     rows = dense.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of_region = rows.groupBy(*region).agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("x"), F.max("component").alias("y"))
-    rows = rows.join(of_region.where("x <> y").select(*region, "members"), region)
-    rows = rows.join(classes.select("node", "n_shingles", "signature", "sketch"), "node")
-    columns = ["node", "n_shingles", "component", "signature", "sketch"]
-    met = cells.dealt(rows, region, F.col("members"), "node", forest.block, columns)
+    divided = rows.groupBy(*region).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    nodes = rows.join(divided.select(*region), region).select("node", "component").distinct()
+    nodes = nodes.join(classes.select("node", "sketch"), "node")
+    return texts.withColumnRenamed("doc_id", "node").join(nodes.hint("merge"), "node").select("node", "component", "sketch", "text")
+
+
+def _far_pairs(unmet: DataFrame, forest: Forest) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar enough; a pair may repeat.
+
+    Shingles are ordered by rising count, hash for ties. Two sets that are similar
+    enough share a shingle among the first (100 - percent) percent of both, and the
+    first one they share leaves room for the overlap they need. The order only has
+    to be the same for all, so counting by a hash of fixed width is exact enough.
+    """
+    last = np.uint64(forest.counters - 1)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in tx.chunks(batch.column(0)):
+                sets = tx.shingle_sets(batch.column(0).slice(low, high - low), forest.shingle)
+                counter, n = np.unique(np.concatenate(sets) & last, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(counter.astype(np.int64)), pa.array(n)], names=["counter", "n"])
+
+    counts = unmet.select("text").mapInArrow(counted, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(forest.counters, np.int64)
+    frequency[counts.column("counter").to_numpy()] = counts.column("n").to_numpy()
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in tx.chunks(batch.column("text")):
+                part = batch.slice(low, high - low)
+                sets = tx.shingle_sets(part.column("text"), forest.shingle)
+                firsts = [s[np.lexsort((s, frequency[s & last]))][: len(s) - -(-len(s) * forest.percent // 100) + 1] for s in sets]
+                lengths = np.array([len(x) for x in firsts])
+                row = np.repeat(np.arange(len(sets)), lengths)
+                columns = [
+                    pa.array(np.concatenate(firsts).view(np.int64)),
+                    pa.array(np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)),
+                    pa.array(np.array([len(s) for s in sets], np.int64)[row]),
+                    *(part.column(name).take(pa.array(row)) for name in ("node", "component", "sketch")),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["token", "place", "n", "node", "component", "sketch"])
+
+    schema = "token long, place long, n long, node long, component long, sketch binary"
+    rows = staged(unmet.mapInArrow(rarest, schema), "rarest")
+    of_token = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("x"), F.max("component").alias("y"))
+    rows = rows.join(of_token.where("x <> y").select("token", "members"), "token")
+    columns = ["place", "n", "node", "component", "sketch"]
+    met = cells.dealt(rows, ["token"], F.col("members"), "node", forest.block, columns)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, cuts in cells.whole(batches, region):
-            for low, high in zip(cuts[:-1], cuts[1:]):
-                yield from _close(found.slice(low, high - low), forest)
+        for found, cuts in cells.whole(batches, ["token"]):
+            yield _close(found, cuts, forest)
 
     return met.mapInArrow(compare, "a long, b long")
 
 
-def _close(cell: pa.Table, forest: Forest) -> Iterator[pa.RecordBatch]:
-    """The pairs of one cell, a row of its low block with one of its high block."""
-    column = {name: cell.column(name).to_numpy() for name in ("low", "high", "block", "node", "n_shingles", "component")}
-    sketch, signature = (
-        np.frombuffer(b"".join(cell.column(name).to_pylist()), kind).reshape(cell.num_rows, -1)
-        for name, kind in (("sketch", np.uint64), ("signature", np.uint16))
-    )
-    node, n, component = column["node"], column["n_shingles"], column["component"]
-    second = np.flatnonzero(column["block"] == column["high"])
-    for at in np.array_split(np.flatnonzero(column["block"] == column["low"]), -(-cell.num_rows // 128)):
-        differing = sum(np.bitwise_count(s[at][:, None] ^ s[second]).astype(int) for s in sketch.T)
-        i, j = np.nonzero((differing <= forest.sketch_distance) & (component[at][:, None] != component[second]))
-        i, j = at[i], second[j]
-        fits = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * forest.percent
-        i, j = i[fits], j[fits]
-        for part in range(0, len(i), 1 << 16):
-            x, y = i[part : part + (1 << 16)], j[part : part + (1 << 16)]
-            same = (signature[x] == signature[y]).sum(axis=1) >= forest.agreement
-            a, b = np.minimum(node[x], node[y])[same], np.maximum(node[x], node[y])[same]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+def _close(rows: pa.Table, cuts: list[int], forest: Forest) -> pa.RecordBatch:
+    """The pairs of cells: a row of the low block with one of the high block, alike in sketch and with room for the overlap."""
+    column = {name: rows.column(name).to_numpy() for name in ("low", "high", "block", "place", "n", "node", "component")}
+    node, component, n = column["node"], column["component"], column["n"]
+    room = n - column["place"]
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
+    first, second = [], []
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        if high - low < 2 or (component[low:high] == component[low]).all():
+            continue
+        one = column["low"][low] == column["high"][low]
+        at = low + np.flatnonzero(column["block"][low:high] == column["low"][low])
+        to = low + np.flatnonzero(column["block"][low:high] == column["high"][low])
+        for i in np.array_split(at, -(-len(at) // 128)) if len(at) else ():
+            good = component[i][:, None] != component[to]
+            good &= np.minimum(room[i][:, None], room[to]) * (100 + forest.percent) >= forest.percent * (n[i][:, None] + n[to])
+            x, y = np.nonzero(good)
+            x, y = i[x], to[y]
+            differing = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1)
+            close = (differing <= forest.sketch_distance) & ((x < y) | (not one))
+            first.append(node[x[close]])
+            second.append(node[y[close]])
+    a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (first, second))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, forest: Forest) -> DataFrame:
