@@ -328,7 +328,8 @@ def _unmet(dense: DataFrame, label: DataFrame, classes: DataFrame, texts: DataFr
     region = ["tree", "prefix"]
     rows = dense.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     divided = rows.groupBy(*region).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    nodes = rows.join(divided.select(*region), region).select("node", "component").distinct()
+    # written first, so the join is a plain one and adaptive execution splits a hot region
+    nodes = rows.join(staged(divided.select(*region), "divided_regions"), region).select("node", "component").distinct()
     nodes = nodes.join(classes.select("node", "sketch"), "node")
     return texts.withColumnRenamed("doc_id", "node").join(nodes.hint("merge"), "node").select("node", "component", "sketch", "text")
 
@@ -373,7 +374,7 @@ def _far_pairs(unmet: DataFrame, forest: Forest) -> DataFrame:
     schema = "token long, place long, n long, node long, component long, sketch binary"
     rows = staged(unmet.mapInArrow(rarest, schema), "rarest")
     of_token = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("x"), F.max("component").alias("y"))
-    rows = rows.join(of_token.where("x <> y").select("token", "members"), "token")
+    rows = rows.join(staged(of_token.where("x <> y").select("token", "members"), "shared_tokens"), "token")
     columns = ["place", "n", "node", "component", "sketch"]
     met = cells.dealt(rows, ["token"], F.col("members"), "node", forest.block, columns)
 
