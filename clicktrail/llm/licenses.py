@@ -6,14 +6,20 @@ must hold one of the first n - need + 1 (prefix filter), must have ``need`` word
 itself (length filter), and once its rarest common word is known to be the i-th,
 at most n - i words can be common (positional filter). Blocks that pass are
 compared in full, so every block that meets the threshold is found and no other.
+
+Blocks are lines, cut where they are long, and besides, for each template, every
+run of words up to twice its length, whatever line ends stand in it: a notice
+wrapped over lines is found like one on a single line.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -84,10 +90,11 @@ class _Index:
     ordered: list[list[bytes]]  # distinct words of each template, rarest first
     need: list[int]
     labels: list[str]
+    widths: list[int]  # words of the longest run compared with each template
 
 
 def _index(scan: Scan, counts: Mapping[bytes, int]) -> _Index:
-    ordered, need, labels = [], [], []
+    ordered, need, labels, widths = [], [], [], []
     prefix: dict[bytes, list[tuple[int, int]]] = {}
     for label, text in scan.templates:
         tokens = sorted(set(_words(text)), key=lambda w: (counts.get(w, 0), w))
@@ -97,7 +104,8 @@ def _index(scan: Scan, counts: Mapping[bytes, int]) -> _Index:
         ordered.append(tokens)
         need.append(least)
         labels.append(label)
-    return _Index(prefix, ordered, need, labels)
+        widths.append(2 * len(_words(text)))
+    return _Index(prefix, ordered, need, labels, widths)
 
 
 def _block_matches(block: set[bytes], index: _Index) -> Iterator[tuple[int, float]]:
@@ -131,6 +139,56 @@ def matches(lines: list[list[bytes]], index: _Index, window: int) -> list[tuple[
     return sorted(found)
 
 
+def notices(lines: list[list[bytes]], index: _Index) -> list[tuple[str, int, int, float]]:
+    """(label, first word, end, containment) of the runs of words that meet a template, over line ends too.
+
+    Of runs that overlap, the one with most of the template's words counts; of
+    equals the one that ends first, then the shortest.
+    """
+    flat = [w for line in lines for w in line]
+    found = []
+    for template, _ in _block_matches(set(flat), index):  # the words must stand somewhere before they can stand together
+        tokens, width = set(index.ordered[template]), index.widths[template]
+        places = [i for i, w in enumerate(flat) if w in tokens]
+        for first, end, both in _best_runs(flat, places, width, index.need[template]):
+            found.append((index.labels[template], first, end, both / len(tokens)))
+    return sorted(found)
+
+
+def _best_runs(flat: list[bytes], places: list[int], width: int, need: int) -> Iterator[tuple[int, int, int]]:
+    """(first, end, distinct words) of runs apart from each other, best first; ``places`` are those of a template's words."""
+    runs, left, inside = [], 0, Counter()
+    for place in places:
+        inside[flat[place]] += 1
+        while place - places[left] >= width or inside[flat[places[left]]] > 1:
+            inside[flat[places[left]]] -= 1
+            if not inside[flat[places[left]]]:
+                del inside[flat[places[left]]]
+            left += 1
+        if len(inside) >= need:
+            runs.append((-len(inside), place + 1, -places[left]))
+    heapify(runs)
+    taken: list[tuple[int, int]] = []  # (end, first), ascending
+    while runs:
+        both, end, first = heappop(runs)
+        both, first = -both, -first
+        after = bisect_left(taken, (end, -1))
+        if after < len(taken) and taken[after][1] < end:  # it ends in a better run
+            continue
+        low = taken[after - 1][0] if after else 0
+        if first >= low:
+            insort(taken, (end, first))
+            yield first, end, both
+            continue
+        seen: set[bytes] = set()  # what is left of it after the better run before
+        for place in reversed(places[bisect_left(places, low) : bisect_left(places, end)]):
+            if flat[place] not in seen:
+                seen.add(flat[place])
+                first = place
+        if len(seen) >= need:
+            heappush(runs, (-len(seen), end, -first))
+
+
 def phrase_places(lines: list[list[bytes]], phrases: Mapping[tuple[bytes, ...], str]) -> list[tuple[int, str]]:
     """(first word, label) wherever a phrase's words stand one after the other, over line ends too."""
     flat = [w for line in lines for w in line]
@@ -149,11 +207,12 @@ def phrase_places(lines: list[list[bytes]], phrases: Mapping[tuple[bytes, ...],
     return sorted(places)
 
 
-_FOUND = "struct<n_words:long,places:array<struct<word:long,label:string>>,blocks:array<struct<label:string,first:long,end:long,containment:double>>>"
+_FOUND = "struct<n_words:long,places:array<struct<word:long,label:string>>,blocks:array<struct<label:string,first:long,end:long,containment:double>>,notices:array<struct<label:string,first:long,end:long,containment:double>>>"
 
 
 def scanned(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
-    """``docs`` (text, ...) with n_words, places (phrase starts) and blocks (template matches).
+    """``docs`` (text, ...) with n_words, places (phrase starts), blocks (template
+    matches of lines) and notices (template matches of runs of words over line ends).
 
     Whole texts are read. Null and empty texts have no words and empty lists.
     Columns of the names added are replaced, other columns stay, repeated rows
@@ -177,11 +236,13 @@ def scanned(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
                     "blocks": [
                         {"label": x, "first": a, "end": b, "containment": c} for x, a, b, c in matches(lines, index, window)
                     ],
+                    "notices": [{"label": x, "first": a, "end": b, "containment": c} for x, a, b, c in notices(lines, index)],
                 }
             )
         place = pa.struct([("word", pa.int64()), ("label", pa.string())])
         block = pa.struct([("label", pa.string()), ("first", pa.int64()), ("end", pa.int64()), ("containment", pa.float64())])
-        return pa.array(rows, pa.struct([("n_words", pa.int64()), ("places", pa.list_(place)), ("blocks", pa.list_(block))]))
+        kinds = [("n_words", pa.int64()), ("places", pa.list_(place)), ("blocks", pa.list_(block)), ("notices", pa.list_(block))]
+        return pa.array(rows, pa.struct(kinds))
 
-    kept = docs.drop("n_words", "places", "blocks")
+    kept = docs.drop("n_words", "places", "blocks", "notices")
     return kept.withColumn("_found", find(F.col("text").cast("string"))).select(*kept.columns, "_found.*")

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from clicktrail.llm import components, forest, licenses, mixing, packing, pii, toxicity
+from clicktrail.llm import components, forest, licenses, mixing, packing, pii, queries, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, spans string, score string, length string, replica string, n_words string"
 
@@ -206,6 +206,51 @@ def test_license_blocks_are_those_of_brute_force(spark):
     assert licenses.scanned(documents(spark, []), scan).collect() == []
 
 
+def brute_notices(text, scan):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    found = []
+    for label, template in scan.templates:
+        wanted = licenses._words(template)
+        tokens, runs = {w.decode() for w in wanted}, []
+        for first in range(len(words)):
+            for end in range(first + 1, min(len(words), first + 2 * len(wanted)) + 1):
+                both = len(tokens.intersection(words[first:end]))
+                if both / len(tokens) >= scan.threshold - 1e-12:
+                    runs.append((-both, end, -first))
+        taken = []
+        for both, end, first in sorted(runs):
+            if all(end <= a or b <= -first for a, b in taken):
+                taken.append((-first, end))
+                found.append((label, -first, end, -both / len(tokens)))
+    return sorted(found)
+
+
+def test_license_notices_over_line_ends_are_those_of_every_word_window(spark):
+    rng = random.Random(8)
+    scan = licenses.Scan()
+    vocabulary = sorted({w for _, t in scan.templates for w in t.split()} | {"other", "é"})
+    rows = [(0, "Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files", None)]
+    rows += [(1, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met", None)]
+    for _, template in scan.templates:
+        for _ in range(4):
+            words = [w for _ in range(rng.choice([1, 1, 3])) for w in template.split() if rng.random() < rng.choice([0.8, 1])]
+            words = [x for w in words for x in ([w, rng.choice(vocabulary)] if rng.random() < 0.1 else [w])]
+            rows.append((len(rows), "".join(w + rng.choice(["\n", " ", "\n# "]) for w in ["pad"] * rng.randrange(30) + words), None))
+    found = licenses.scanned(documents(spark, [*rows, *[e for e in EDGES if len(e[1] or "") < 1000]]), scan).collect()
+    for r in found:
+        assert [(b["label"], b["first"], b["end"], b["containment"]) for b in r["notices"]] == brute_notices(r["text"], scan)
+    first = {r["doc_id"]: [(b["label"], b["first"], b["end"], b["containment"]) for b in r["notices"]] for r in found[:2]}
+    assert first == {0: [("mit", 0, 20, 1.0)], 1: [("bsd", 0, 21, 1.0)]}
+    assert sum(len(r["notices"]) for r in found) > 60
+
+
+def test_license_query_finds_wrapped_notices(spark, tmp_path):
+    text = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met"
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    row = queries.op10_licenses(spark, str(tmp_path)).first()
+    assert (row["labels"], row["score"], row["base_labels"]) == ("bsd", 1.0, "")
+
+
 def test_license_phrases(spark):
     text = "The MIT\nLicense, mit license; Apache-License mit  general public license mit"
     row = licenses.scanned(documents(spark, [(1, text, None)])).first()
