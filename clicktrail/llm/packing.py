@@ -28,24 +28,26 @@ def _letter_bytes() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-@lru_cache(maxsize=1)
-def _encoding(path: str) -> tiktoken.Encoding:
-    """The vocabulary of a tokenizers file, whose ids are its merges' ranks; names of special tokens are plain text."""
+@lru_cache(maxsize=2)
+def _encoding(path: str, added: bool) -> tiktoken.Encoding:
+    """The vocabulary of a tokenizers file, whose ids are its merges' ranks, with or without its added tokens."""
     with open(path, encoding="utf-8") as file:
         found = json.load(file)
     letters = _letter_bytes()
-    special = {x["content"] for x in found.get("added_tokens", ())}
+    special = {x["content"]: x["id"] for x in found.get("added_tokens", ())}
     ranks = {bytes(letters[c] for c in token): i for token, i in found["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("corpus", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("corpus", pat_str=CUTS, mergeable_ranks=ranks, special_tokens=special if added else {})
 
 
-def pieces(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0, added: bool = False) -> DataFrame:
     """Pieces of each row of ``docs`` (doc_id, text, ...): doc_id, piece, start, length, ids.
 
     A document is its text's ids, then ``end_id``; null and empty texts are just
     that. The ids are those of the tokenizers library for the file ``tokenizer``,
-    computed by the faster tiktoken from the same vocabulary. One longer than ``limit`` is cut so that all pieces but the first have
-    ``limit`` ids. ids are little-endian unsigned 32-bit numbers as binary. Rows
+    computed by the faster tiktoken from the same vocabulary. With ``added`` the name of
+    an added token in a text, such as <|endoftext|>, is that token, as the library has it by
+    default; without, it is plain text, as with its ``encode_special_tokens``. One longer than
+    ``limit`` is cut so that all pieces but the first have ``limit`` ids. ids are little-endian unsigned 32-bit numbers as binary. Rows
     with a null or repeated doc_id have pieces like any other; other columns are not read.
     """
 
@@ -56,7 +58,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0)
                 part = batch.slice(low, 256)
                 rows: list[tuple] = []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.array(_encoding(tokenizer).encode_ordinary(text or ""), "<u4").tobytes() + end
+                    ids = np.array(_encoding(tokenizer, added).encode(text or "", allowed_special="all", disallowed_special=()), "<u4").tobytes() + end
                     total = len(ids) // 4
                     first = total % limit or min(total, limit)
                     starts = [0, *range(first, total, limit)]

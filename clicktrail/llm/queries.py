@@ -72,7 +72,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame) -> DataFrame:
-    found = packing.pieces(docs, public_tokenizers.path(TOKENIZER))
+    found = packing.pieces(docs, public_tokenizers.path(TOKENIZER), added=True)
     return packing.packed(found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 

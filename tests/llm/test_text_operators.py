@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import public_tokenizers
 import pytest
@@ -340,6 +341,22 @@ def test_pieces_are_the_tokenizers_ids(spark):
         assert joined[i + 1000 * (n >= 200)] == b"".join(x.to_bytes(4, "little") for x in ids)
 
 
+def test_added_tokens_in_a_text_are_those_of_the_tokenizers_default(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rng = random.Random(9)
+    letters = ["a", " ", "\n", "é", "'s", "12", "日本", "<|endoftext|>", "<|endoftext|>", "<|", "endoftext", "|>", "\u0301"]
+    rows = [(0, "a <|endoftext|> b"), (1, "<|endoftext|>"), (2, "")]
+    rows += [(i, "".join(rng.choice(letters) for _ in range(rng.randrange(40)))) for i in range(3, 200)]
+    found = packing.pieces(documents(spark, [(i, t, None) for i, t in rows]), public_tokenizers.path(queries.TOKENIZER), added=True)
+    ids = {r["doc_id"]: bytes(r["ids"]) for r in found.collect()}
+    packed = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in queries.packed_documents(documents(spark, [(i, t, None) for i, t in rows])).collect()}
+    for i, text in rows:
+        wanted = tokenizer.encode(text, add_special_tokens=False).ids + [0]
+        assert ids[i] == b"".join(x.to_bytes(4, "little") for x in wanted)
+        assert packed[i] == (len(wanted), zlib.crc32(ids[i]))
+
+
 def placed_well(rows, limit):
     bins = {}
     for r in rows:
