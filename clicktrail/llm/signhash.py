@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.llm import cells
@@ -45,8 +45,9 @@ def near_duplicate_vectors(vectors: DataFrame, hashing: SignHashing = SignHashin
 
     Rows link when their labels are equal and not null, their vectors equally
     long and their cosine in double precision is at least the threshold. n_links
-    counts the other rows linked directly, copies included; component_id is the
-    smallest vec_id that links reach, kept tells whether it is the row's own.
+    counts the rows of other vec_ids linked directly, copies included, for each row
+    of the vec_id; component_id is the smallest vec_id that links reach, kept tells
+    whether it is the row's own.
 
     Vectors that are null, empty, zero or hold nulls, NaN or infinities, rows
     without label and rows without vec_id link with nothing (component_id is
@@ -62,33 +63,37 @@ def near_duplicate_vectors(vectors: DataFrame, hashing: SignHashing = SignHashin
         & F.expr("forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))")
         & F.expr("exists(embedding, x -> x <> 0)")
     )
+    own = staged(rows.withColumn("usable", F.coalesce(usable, F.lit(False))), "vectors")
     classes = staged(
-        rows.where(F.coalesce(usable, F.lit(False)))
+        own.where("usable")
         .groupBy("label", "embedding")
-        .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")),
+        .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("class", F.monotonically_increasing_id()),
         "vector_classes",
     )
     bits, tables = hashing.shape(classes.count())
     found = staged(_compared(classes, hashing, bits, tables), "vector_links")
-    label = connected_components(found.where("node <> lowest").select(F.col("node").alias("a"), F.col("lowest").alias("b")))
-    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
-    # rows of a class lie in one key; the join is a plain one, so adaptive execution splits a hot class
-    known = classes.select("label", "embedding", "node", "copies").join(linked, "node", "left").join(label, "node", "left")
+    linked = found.groupBy("class").agg(F.sum("links").alias("links"))
+    known = classes.join(linked, "class", "left")
     known = staged(
-        known.select(
-            "label",
-            "embedding",
-            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "node").alias("component"),
-        ),
+        known.select("label", "embedding", "class", "node", (F.col("copies") + F.coalesce("links", F.lit(0))).alias("linked")),
         "vector_labels",
     )
-    own = staged(rows.withColumn("usable", F.coalesce(usable, F.lit(False))), "vectors")
+    # rows of a class lie in one key; the join is a plain one, so adaptive execution splits a hot class
+    member = own.where("usable").join(known, ["label", "embedding"]).select("vec_id", "class", "node", "linked")
+    member = staged(member.groupBy("vec_id", "class", "node", "linked").agg(F.count(F.lit(1)).alias("rows")), "vector_members")
+    # a vec_id joins all classes it stands in; classes of one node share that vec_id
+    same = member.where("vec_id <> node").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))
+    between = found.where("node <> lowest").select(F.col("node").alias("a"), F.col("lowest").alias("b"))
+    label = connected_components(same.unionAll(between)).withColumnRenamed("node", "vec_id")
+    within = _within_vec_ids(member, classes, hashing).groupBy("vec_id", "class").agg(F.sum("links").alias("within"))
+    others = F.col("linked") - F.col("rows") - F.coalesce("within", F.lit(0))
+    links = member.join(within, ["vec_id", "class"], "left").groupBy("vec_id").agg(F.sum(F.col("rows") * others).alias("n_links"))
     result = (
-        own.where("usable")
-        .join(known, ["label", "embedding"])
-        .select("vec_id", "n_links", F.col("component").alias("component_id"))
-        .unionAll(own.where("NOT usable").select("vec_id", F.lit(0).cast("long"), "vec_id"))
+        own.select("vec_id")
+        .join(links, "vec_id", "left")
+        .join(label, "vec_id", "left")
+        .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     )
     return result.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
@@ -121,36 +126,61 @@ def _codes(classes: DataFrame, hashing: SignHashing, bits: int, tables: int) ->
                 codes[rows] = side.reshape(len(rows), tables, bits) @ weights
             offsets = pa.array(np.arange(len(units) + 1, dtype=np.int32) * tables)
             columns = [*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(codes.ravel()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["embedding", "label_key", "node", "copies", "codes"])
+            yield pa.RecordBatch.from_arrays(columns, names=["embedding", "label_key", "class", "node", "copies", "codes"])
 
-    source = classes.select("embedding", F.col("label").cast("string").alias("label_key"), "node", "copies")
+    source = classes.select("embedding", F.col("label").cast("string").alias("label_key"), "class", "node", "copies")
     kind = source.schema["embedding"].dataType.simpleString()
-    return source.mapInArrow(build, f"embedding {kind}, label_key string, node long, copies long, codes array<long>")
+    return source.mapInArrow(build, f"embedding {kind}, label_key string, class long, node long, copies long, codes array<long>")
+
+
+_BUCKET = ["table", "label_key", "size", "code"]
 
 
 def _compared(classes: DataFrame, hashing: SignHashing, bits: int, tables: int) -> DataFrame:
-    """(node, links, lowest): for each cell a class lies in, the rows it links with there and the smallest node they reach."""
-    bucket = ["table", "label_key", "size", "code"]
+    """(class, node, links, lowest): for each cell a class lies in, the rows it links with there and the smallest node they reach."""
     coded = staged(_codes(classes, hashing, bits, tables), "vector_codes").withColumn("size", F.size("embedding"))
     narrow = coded.select("label_key", "size", F.posexplode("codes").alias("table", "code"))
     large = staged(
-        narrow.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hashing.block), "large_buckets"
+        narrow.groupBy(*_BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hashing.block), "large_buckets"
     )
-    rows = coded.select("*", F.posexplode("codes").alias("table", "code")).join(large, bucket, "left")
-    met = cells.dealt(
-        rows, bucket, F.coalesce(F.col("n"), F.lit(1)), "node", hashing.block, ["node", "copies", "codes", "embedding"]
+    rows = coded.select("*", F.posexplode("codes").alias("table", "code")).join(large, _BUCKET, "left")
+    return _met(rows, F.coalesce(F.col("n"), F.lit(1)), hashing)
+
+
+def _within_vec_ids(member: DataFrame, classes: DataFrame, hashing: SignHashing) -> DataFrame:
+    """(vec_id, class, links): the rows of the same vec_id in other classes that a class links with."""
+    several = member.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    split = member.join(several, "vec_id").select("vec_id", "class", "rows", "n")
+    rows = split.join(classes.select("class", "label", "embedding"), "class").select(
+        F.lit(0).alias("table"),
+        F.col("label").cast("string").alias("label_key"),
+        F.size("embedding").alias("size"),
+        F.col("vec_id").alias("code"),
+        "n",
+        "class",
+        F.col("vec_id").alias("node"),
+        F.col("rows").alias("copies"),
+        F.array(F.col("vec_id")).alias("codes"),
+        "embedding",
     )
+    return _met(rows, F.col("n"), hashing).select(F.col("node").alias("vec_id"), "class", "links")
+
+
+def _met(rows: DataFrame, size: Column, hashing: SignHashing) -> DataFrame:
+    """(class, node, links, lowest) of the classes that link within a bucket; ``size`` bounds the bucket's rows."""
+    columns = ["class", "node", "copies", "codes", "embedding"]
+    met = cells.dealt(rows, _BUCKET, size, "class", hashing.block, columns)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found, cuts in cells.whole(batches, bucket):
+        for found, cuts in cells.whole(batches, _BUCKET):
             yield from _links_in_cells(found, cuts, hashing.threshold)
 
-    return met.mapInArrow(compare, "node long, links long, lowest long")
+    return met.mapInArrow(compare, "class long, node long, links long, lowest long")
 
 
 def _links_in_cells(rows: pa.Table, cuts: list[int], threshold: float) -> Iterator[pa.RecordBatch]:
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    column = {name: rows.column(name).to_numpy() for name in ("low", "high", "block", "node", "copies", "table")}
+    out: list[tuple[np.ndarray, ...]] = []
+    column = {name: rows.column(name).to_numpy() for name in ("low", "high", "block", "class", "node", "copies", "table")}
     for low, high in zip(cuts[:-1], cuts[1:]):
         if high - low < 2:
             continue
@@ -181,6 +211,6 @@ def _links_in_cells(rows: pa.Table, cuts: list[int], threshold: float) -> Iterat
             if (before == lowest).all():
                 break
         touched = np.unique(np.concatenate([i, j]))
-        out.append((node[touched], links[touched], lowest[touched]))
+        out.append((column["class"][part][touched], node[touched], links[touched], lowest[touched]))
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["node", "links", "lowest"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["class", "node", "links", "lowest"])

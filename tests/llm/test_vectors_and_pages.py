@@ -4,10 +4,12 @@ import base64
 import hashlib
 import math
 
+import duckdb
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from clicktrail.llm import maxscore, signhash, urlrules, warc
+from clicktrail.llm import maxscore, queries, signhash, urlrules, warc
 from clicktrail.sources.shared import shared_folder
 
 VECTORS = "vec_id long, embedding array<float>, label int, score string, node long, copies long, block long, code long"
@@ -71,6 +73,29 @@ def test_vector_edges(spark):
     assert signhash.near_duplicate_vectors(vectors(spark, [])).collect() == []
 
 
+def test_rows_of_one_vec_id_share_their_links(spark):
+    """One vec_id with several vectors joins all it links with, whatever row the link comes from."""
+    a, b = [1.0, 0.0], [0.0, 1.0]
+    found = linked(signhash.near_duplicate_vectors(vectors(spark, [(3, a, 1), (5, a, 1), (5, b, 1), (7, b, 1), (7, None, 1)])))
+    assert found == {3: (1, 3, True), 5: (2, 3, False), 7: (1, 3, False)}
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_repeated_vec_ids_link_as_in_sql(spark, tmp_path, block):
+    rng = np.random.default_rng(block)
+    rows = [(int(rng.integers(300)), v, x) for _, v, x in sample(7, 100, 0.06)]
+    rows += [rows[i] for i in rng.integers(140, size=40)]
+    rows += [(rows[i][0], sample(8, 3, 0.06)[j][1], 0) for i in range(8) for j in range(3)] + [(int(i), None, 1) for i in rng.integers(300, size=20)]
+    table = vectors(spark, rows)
+    table.write.parquet(str(tmp_path / "embeddings"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT vec_id, embedding, label FROM '{tmp_path}/embeddings/*.parquet'")
+    expected = sorted(connection.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({queries.ORACLE['op7_signhash']})").fetchall())
+    found = signhash.near_duplicate_vectors(table, signhash.SignHashing(block=block))
+    assert sorted(map(tuple, found.select("vec_id", "n_links", "component_id", "kept").collect())) == expected
+    assert len({i for i, _, _ in rows}) < len(rows)
+
+
 def test_shape_follows_the_input():
     hashing = signhash.SignHashing()
     alike = 1 - math.acos(0.98) / math.pi
