@@ -17,14 +17,20 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the smallest doc_id; rows that repeat a doc_id count once.
+    """One row of each group of near copies: one with the smallest doc_id.
 
-    Rows without doc_id cannot be told apart by one and all stay.
+    Rows are compared one by one, so rows that repeat a doc_id with unlike texts
+    all stay; those without words are copies of each other. Rows without doc_id
+    cannot be told apart by one and all stay.
     """
-    kept = forest.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    first = rows.groupBy("doc_id").agg(F.min(F.struct(*(c for c in docs.columns if c != "doc_id"))).alias("_row"))
-    return first.select("doc_id", "_row.*").select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
+    named = docs.where("doc_id IS NOT NULL").withColumns({"_row": F.monotonically_increasing_id(), "_hash": F.xxhash64(*docs.columns)})
+    rows = staged(named, "rows")
+    groups = forest.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"), (F.col("n_shingles") == 0).alias("_empty"))
+    group = F.when(F.col("_empty"), F.col("doc_id")).otherwise(F.col("_group"))
+    of_group = rows.select("_row", "_hash", "doc_id").join(groups, "_row").groupBy("_empty", group.alias("_group"))
+    kept = of_group.agg(F.min(F.struct("doc_id", "_hash", "_row")).alias("_first")).select("_first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
 
 
 def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

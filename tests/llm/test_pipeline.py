@@ -73,6 +73,18 @@ def test_stages(spark):
     assert {r["doc_id"] for r in packed} == set(texts)
 
 
+def test_only_copies_of_a_repeated_doc_id_are_dropped(spark):
+    """Rows of one doc_id are judged by their own texts: 5 repeats with unlike ones, one of them a copy of 3's."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, a), (5, a + " more"), (5, b), (5, b), (5, c), (5, None), (5, ""), (6, "  "), (7, c + " more"), (2, c + " also"), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], schema)
+    found = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF)
+    assert found.columns == docs.columns
+    kept = sorted((r["doc_id"] or 0, (r["text"] or "").strip()) for r in found.collect())
+    assert kept == sorted([(0, a), (2, c + " also"), (3, a), (5, b), (5, ""), (6, "")])
+
+
 def test_stages_keep_odd_rows_and_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(5)
     odd = spark.createDataFrame(
