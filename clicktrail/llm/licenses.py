@@ -91,6 +91,7 @@ class _Index:
     need: list[int]
     labels: list[str]
     widths: list[int]  # words of the longest run compared with each template
+    own: list[set[bytes]]  # its words that no template of another label has; all if there are none
 
 
 def _index(scan: Scan, counts: Mapping[bytes, int]) -> _Index:
@@ -105,7 +106,9 @@ def _index(scan: Scan, counts: Mapping[bytes, int]) -> _Index:
         need.append(least)
         labels.append(label)
         widths.append(2 * len(_words(text)))
-    return _Index(prefix, ordered, need, labels, widths)
+    others = [{w for tokens, x in zip(ordered, labels) if x != label for w in tokens} for label in labels]
+    own = [set(tokens) - other or set(tokens) for tokens, other in zip(ordered, others)]
+    return _Index(prefix, ordered, need, labels, widths, own)
 
 
 def _block_matches(block: set[bytes], index: _Index) -> Iterator[tuple[int, float]]:
@@ -123,8 +126,8 @@ def _block_matches(block: set[bytes], index: _Index) -> Iterator[tuple[int, floa
             yield template, both / len(tokens)
 
 
-def matches(lines: list[list[bytes]], index: _Index, window: int) -> list[tuple[str, int, int, float]]:
-    """(label, first word, end, containment) of the blocks that meet a template."""
+def matches(lines: list[list[bytes]], index: _Index, window: int, decided: bool = False) -> list[tuple[str, int, int, float]]:
+    """(label, first word, end, containment) of the blocks that meet a template; ``decided``: and hold one of its own words."""
     found, start = [], 0
     for line in lines:
         if len(line) <= window:
@@ -134,15 +137,16 @@ def matches(lines: list[list[bytes]], index: _Index, window: int) -> list[tuple[
         if not index.prefix.keys().isdisjoint(line):
             for low, high in cuts:
                 for template, share in _block_matches(set(line[low:high]), index):
-                    found.append((index.labels[template], start + low, start + high, share))
+                    if not decided or not index.own[template].isdisjoint(line[low:high]):
+                        found.append((index.labels[template], start + low, start + high, share))
         start += len(line)
     return sorted(found)
 
 
-def notices(lines: list[list[bytes]], index: _Index) -> list[tuple[str, int, int, float]]:
+def notices(lines: list[list[bytes]], index: _Index, decided: bool = False) -> list[tuple[str, int, int, float]]:
     """(label, first word, end, containment) of the runs of words that meet a template, over line ends too.
 
-    Of runs that overlap, the one with most of the template's words counts; of
+    With ``decided`` a run must hold one of the template's own words. Of runs that overlap, the one with most of the template's words counts; of
     equals the one that ends first, then the shortest.
     """
     flat = [w for line in lines for w in line]
@@ -150,12 +154,13 @@ def notices(lines: list[list[bytes]], index: _Index) -> list[tuple[str, int, int
     for template, _ in _block_matches(set(flat), index):  # the words must stand somewhere before they can stand together
         tokens, width = set(index.ordered[template]), index.widths[template]
         places = [i for i, w in enumerate(flat) if w in tokens]
-        for first, end, both in _best_runs(flat, places, width, index.need[template]):
+        own = index.own[template] if decided else tokens
+        for first, end, both in _best_runs(flat, places, width, index.need[template], own):
             found.append((index.labels[template], first, end, both / len(tokens)))
     return sorted(found)
 
 
-def _best_runs(flat: list[bytes], places: list[int], width: int, need: int) -> Iterator[tuple[int, int, int]]:
+def _best_runs(flat: list[bytes], places: list[int], width: int, need: int, own: set[bytes]) -> Iterator[tuple[int, int, int]]:
     """(first, end, distinct words) of runs apart from each other, best first; ``places`` are those of a template's words."""
     runs, left, inside = [], 0, Counter()
     for place in places:
@@ -165,7 +170,7 @@ def _best_runs(flat: list[bytes], places: list[int], width: int, need: int) -> I
             if not inside[flat[places[left]]]:
                 del inside[flat[places[left]]]
             left += 1
-        if len(inside) >= need:
+        if len(inside) >= need and not own.isdisjoint(inside):
             runs.append((-len(inside), place + 1, -places[left]))
     heapify(runs)
     taken: list[tuple[int, int]] = []  # (end, first), ascending
@@ -185,7 +190,7 @@ def _best_runs(flat: list[bytes], places: list[int], width: int, need: int) -> I
             if flat[place] not in seen:
                 seen.add(flat[place])
                 first = place
-        if len(seen) >= need:
+        if len(seen) >= need and not own.isdisjoint(seen):
             heappush(runs, (-len(seen), end, -first))
 
 
@@ -207,12 +212,13 @@ def phrase_places(lines: list[list[bytes]], phrases: Mapping[tuple[bytes, ...],
     return sorted(places)
 
 
-_FOUND = "struct<n_words:long,places:array<struct<word:long,label:string>>,blocks:array<struct<label:string,first:long,end:long,containment:double>>,notices:array<struct<label:string,first:long,end:long,containment:double>>>"
+_FOUND = "struct<n_words:long,places:array<struct<word:long,label:string>>,blocks:array<struct<label:string,first:long,end:long,containment:double>>,notices:array<struct<label:string,first:long,end:long,containment:double>>,decided:array<struct<label:string,first:long,end:long,containment:double>>>"
 
 
 def scanned(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
     """``docs`` (text, ...) with n_words, places (phrase starts), blocks (template
-    matches of lines) and notices (template matches of runs of words over line ends).
+    matches of lines) and notices (template matches of runs of words over line ends),
+    decided (of both, those that hold a word no template of another label has, so the label is told).
 
     Whole texts are read. Null and empty texts have no words and empty lists.
     Columns of the names added are replaced, other columns stay, repeated rows
@@ -229,20 +235,23 @@ def scanned(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
         rows = []
         for text in texts:
             lines = lines_of(text.as_py())
+            blocks, runs = matches(lines, index, window), notices(lines, index)
+            told = [*(matches(lines, index, window, True) if blocks else ()), *(notices(lines, index, True) if runs else ())]
             rows.append(
                 {
                     "n_words": sum(map(len, lines)),
                     "places": [{"word": w, "label": x} for w, x in phrase_places(lines, phrases)],
-                    "blocks": [
-                        {"label": x, "first": a, "end": b, "containment": c} for x, a, b, c in matches(lines, index, window)
-                    ],
-                    "notices": [{"label": x, "first": a, "end": b, "containment": c} for x, a, b, c in notices(lines, index)],
+                    **{
+                        name: [{"label": x, "first": a, "end": b, "containment": c} for x, a, b, c in found]
+                        for name, found in (("blocks", blocks), ("notices", runs), ("decided", told))
+                    },
                 }
             )
         place = pa.struct([("word", pa.int64()), ("label", pa.string())])
         block = pa.struct([("label", pa.string()), ("first", pa.int64()), ("end", pa.int64()), ("containment", pa.float64())])
         kinds = [("n_words", pa.int64()), ("places", pa.list_(place)), ("blocks", pa.list_(block)), ("notices", pa.list_(block))]
+        kinds.append(("decided", pa.list_(block)))
         return pa.array(rows, pa.struct(kinds))
 
-    kept = docs.drop("n_words", "places", "blocks", "notices")
+    kept = docs.drop("n_words", "places", "blocks", "notices", "decided")
     return kept.withColumn("_found", find(F.col("text").cast("string"))).select(*kept.columns, "_found.*")

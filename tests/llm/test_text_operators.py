@@ -252,6 +252,17 @@ def test_license_query_finds_wrapped_notices(spark, tmp_path):
     assert (row["labels"], row["score"], row["base_labels"]) == ("bsd", 1.0, "")
 
 
+def test_license_query_tells_like_notices_apart(spark, tmp_path):
+    texts = {
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Licensed under\nCC BY-SA 4.0.": "cc-by-sa", "Released under the Apache License": "apache",
+        "Licensed under the MIT License, Version 2.0.": "mit", "Released under\nthe License": "", "Licensed under CC BY 4.0": "",
+        "This work is licensed under a Creative Commons\nAttribution 4.0 International License": "cc-by",
+    }
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["doc_id"]: r["labels"] for r in queries.op10_licenses(spark, str(tmp_path)).collect()}
+    assert [found[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_license_phrases(spark):
     text = "The MIT\nLicense, mit license; Apache-License mit  general public license mit"
     row = licenses.scanned(documents(spark, [(1, text, None)])).first()
