@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm import forest, licenses, maxscore, mixing, packing, pii, signhash, toxicity, urlrules, warc
+from clicktrail.llm import bpe, filteraudit, forest, licenses, maxscore, mixing, packing, pii, repair, signhash, toxicity, urlrules, warc
 from clicktrail.sources.shared import shared_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOXIC_FROM = 0.7
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 SITE_RULES = (
     urlrules.site_rule("block", "net", "/"),
@@ -126,10 +127,44 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    rows = repair.damaged(given)
+    found = staged(repair.repairs(rows), "repairs")
+    digests = repair.text_digests(repair.repaired_turns(rows, found)).withColumnRenamed("conv_id", "digest_of")
+    every = given.select("conv_id").distinct()
+    repaired = every.join(found.withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    repaired = repaired.join(digests, F.col("conv_id").eqNullSafe(F.col("digest_of")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return repaired.select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filteraudit.mask_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return filteraudit.audited(counts)
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    docs = bpe.encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return docs.select("doc_id", "ids", bpe.decoded(F.col("ids"), path).alias("decoded")).select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_warc, op2_minhash, op3_pii, op4_packing, op5_mixing, op6_maxscore, op7_signhash, op8_url_rules, op9_toxicity, op10_licenses,
+        op11_repair, op12_filter_audit, op13_bpe,
     )
 }
 
@@ -204,4 +239,82 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE
         OR regexp_matches(host || path, '/(?:login|account)/login(?:/|$)') OR regexp_matches(host || path, '/cart/(?:add|checkout)(?:/|$)')
     THEN 'block' ELSE 'allow' END) AS verdict
 FROM best""",
+    "op11_repair": r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(list_concat([b], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+    FROM range(256) r(b)),
+given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations),
+hashed AS (
+    SELECT given.*, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS kind FROM given, crc_table),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hashed WHERE kind <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || ':' || text)) AS i,
+        role[1:1] AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed FROM damaged),
+faulty AS (
+    SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+        coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS wrong FROM placed),
+-- the cheapest edits of the first i rows by the state they end in: nothing, system, user, assistant; an edit is {cost, audit, lines}
+best(conv_id, i, e, s, u, a) AS (
+    SELECT DISTINCT conv_id, 0::BIGINT, {'c': 0::BIGINT, 'w': '', 'l': ['']}, {'c': 999999999::BIGINT, 'w': '', 'l': ['']},
+        {'c': 3::BIGINT, 'w': 'I', 'l': ['user:']}, {'c': 6::BIGINT, 'w': 'II', 'l': ['user:', 'assistant:']}
+    FROM placed
+    UNION ALL
+    SELECT conv_id, i, e, s, least(u, {'c': e.c + 3, 'w': e.w || 'I', 'l': ['user:']}, {'c': s.c + 3, 'w': s.w || 'I', 'l': s.l || ['user:']}, {'c': a.c + 3, 'w': a.w || 'I', 'l': a.l || ['user:']}),
+        least(a, {'c': u.c + 3, 'w': u.w || 'I', 'l': u.l || ['assistant:']}, {'c': e.c + 6, 'w': e.w || 'II', 'l': ['user:', 'assistant:']}, {'c': s.c + 6, 'w': s.w || 'II', 'l': s.l || ['user:', 'assistant:']})
+    FROM (
+        SELECT b.conv_id, f.i, {'c': b.e.c + 4, 'w': b.e.w || 'D', 'l': ['']} AS e,
+            least({'c': b.s.c + 4, 'w': b.s.w || 'D', 'l': b.s.l}, {'c': CASE WHEN must OR initial <> 's' THEN 999999999 ELSE b.e.c + extra END, 'w': b.e.w || 'K', 'l': [line]}) AS s,
+            least({'c': b.u.c + 4, 'w': b.u.w || 'D', 'l': b.u.l},
+                {'c': CASE WHEN must THEN 999999999 ELSE b.e.c + extra + (initial <> 'u')::INT * 3 END, 'w': b.e.w || CASE initial WHEN 'u' THEN 'K' ELSE 'R' END, 'l': [CASE initial WHEN 'u' THEN line ELSE 'user:' || text END]},
+                {'c': CASE WHEN must THEN 999999999 ELSE b.s.c + extra + (initial <> 'u')::INT * 3 END, 'w': b.s.w || CASE initial WHEN 'u' THEN 'K' ELSE 'R' END, 'l': b.s.l || [CASE initial WHEN 'u' THEN line ELSE 'user:' || text END]},
+                {'c': CASE WHEN must THEN 999999999 ELSE b.a.c + extra + (initial <> 'u')::INT * 3 END, 'w': b.a.w || CASE initial WHEN 'u' THEN 'K' ELSE 'R' END, 'l': b.a.l || [CASE initial WHEN 'u' THEN line ELSE 'user:' || text END]}) AS u,
+            least({'c': b.a.c + 4, 'w': b.a.w || 'D', 'l': b.a.l},
+                {'c': CASE WHEN must THEN 999999999 ELSE b.u.c + extra + (initial <> 'a')::INT * 3 END, 'w': b.u.w || CASE initial WHEN 'a' THEN 'K' ELSE 'R' END, 'l': b.u.l || [CASE initial WHEN 'a' THEN line ELSE 'assistant:' || text END]}) AS a
+        FROM best b JOIN (SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS must, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra, role || ':' || text AS line FROM faulty) f
+            ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1)),
+done AS (
+    SELECT conv_id, least(CASE WHEN e.c < a.c OR e.c = a.c AND e.w < a.w THEN e ELSE a END) AS x
+    FROM best QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (wrong) AS illegal
+    FROM faulty GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(x.c, 0)::BIGINT AS cost, coalesce(x.w, '') AS audit,
+    sha256(coalesce(array_to_string(x.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id""",
+    "op12_filter_audit": r"""
+WITH labelled AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+doc AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low FROM documents),
+failed AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, list_filter([
+        CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+        CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) THEN 'C' END,
+        CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END, CASE WHEN low < doc_id THEN 'E' END], lambda x: x IS NOT NULL) AS fails
+    FROM doc LEFT JOIN labelled USING (doc_id)),
+counted AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] AS f, string_split(filter_order[1:step - 1], '') AS earlier FROM orders, range(1, 6) t(step)),
+told AS (
+    SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT early AND NOT mine), 0) AS kept, coalesce(sum(n) FILTER (NOT early AND mine), 0) AS removed,
+        coalesce(sum(n) FILTER (early AND mine), 0) AS redundant, coalesce(sum(n) FILTER (mine AND len(fails) = 1), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (NOT early AND mine), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT early AND mine), 0) AS toxic_lost
+    FROM (SELECT *, list_has_any(fails, earlier) AS early, list_contains(fails, f) AS mine FROM counted, steps) GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+    unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM told""",
 }

@@ -1,0 +1,267 @@
+"""Conversation repair, the filter audit and byte-level BPE: brute force, SQL on odd rows, and a published library."""
+
+import base64
+import hashlib
+import itertools
+import random
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings as limits
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from clicktrail.llm import bpe, filteraudit, queries, repair
+from clicktrail.llm.repair import Item
+
+CLASH = ", digest string, audit string, part string, mask string, hash string, ids string, n string, low string, letter string"
+
+
+def by_sql(name, **tables):
+    connection = duckdb.connect()
+    for table, df in tables.items():
+        connection.register(table, df.toArrow())
+    found = connection.execute(queries.ORACLE[name])
+    return [d[0] for d in found.description], found.fetchall()
+
+
+def same_rows(found, expected):
+    columns, rows = expected
+    assert sorted(found.columns) == sorted(columns)
+    key = lambda row: repr([None if x is None else int(x) if isinstance(x, (bool, int)) else x for x in row])
+    assert sorted(key(row[c] for c in columns) for row in found.collect()) == sorted(map(key, rows))
+
+
+# Conversations
+
+
+def brute_repairs(items):
+    """Every sequence of edits with at most two inserts before a row, tried out."""
+    best = None
+    choices = [("D",) if item.letter == "X" else ("K", "R", "D") for item in items]
+    for edits in itertools.product(*choices):
+        for inserts in itertools.product(range(3), repeat=len(items) + 1):
+            roles, cost, audit, legal = "", 0, "", True
+            for item, edit, before in zip([*items, None], [*edits, None], inserts):
+                for _ in range(before):
+                    roles += "a" if roles.endswith("u") else "u"
+                cost, audit = cost + 3 * before, audit + "I" * before
+                if edit is None:
+                    continue
+                audit += edit * item.n
+                if edit == "D":
+                    cost += 4 * item.n
+                    continue
+                cost += 3 * (edit == "R") + 3 * item.truncated
+                roles += item.letter if edit == "K" else "a" if roles.endswith("u") else "u"
+            rest = roles[1:] if roles.startswith("s") else roles
+            legal = roles == "" or (rest != "" and rest == "ua" * (len(rest) // 2))
+            if legal and (best is None or (cost, audit) < best):
+                best = (cost, audit)
+    return best
+
+
+ITEMS = st.builds(Item, st.sampled_from("suao"), st.booleans()) | st.builds(lambda n: Item("X", n=n), st.integers(1, 2))
+
+
+@limits(max_examples=150, deadline=None)
+@given(st.lists(ITEMS, max_size=4))
+def test_search_finds_the_cheapest_edits(items):
+    cost, audit, state = repair.cheapest(items)
+    assert (cost, audit + repair.ENDING[state]) == brute_repairs(items)
+
+
+def test_search_of_many_rows_stays_short():
+    rng = random.Random(1)
+    items = [Item(rng.choice("suaoX"), rng.random() < 0.3) for _ in range(5000)]
+    items = [Item("X") if item.letter == "X" else item for item in items]
+    costs, places, audits = repair._all_ways(items)
+    cost, audit, state = repair.cheapest(items)
+    whole = [costs[end] + repair.ENDING_COST[end] for end in repair.STATES]
+    assert cost == min(whole) and audits[state] == audit and places[state] >= 0
+
+
+def conversations(spark, rows):
+    return spark.createDataFrame([(*row, *("x" * 9)) for row in rows], "conv_id long, turn long, role string, text string" + CLASH)
+
+
+def odd_conversations():
+    rng = random.Random(5)
+    rows = [(None, None, None, None), (None, 1, "user", "Hi."), (None, 2, "assistant", None), (10**15, None, "", "x" * 100_000 + "!")]
+    rows += [(1, 1, "system", "S."), (1, 5, "user", "a?"), (1, 5, "user", "b?"), (1, 5, "user", "a?"), (1, None, "assistant", "  \t\n"), (1, 9, "tool", "é日本")]
+    for conv in range(2, 120):
+        for _ in range(rng.choice([1, 1, 2, 4, 9, 30])):
+            turn = rng.choice([None, *range(-2, 12)])
+            rows.append((conv, turn, rng.choice(["user", "assistant", "system", "assist", "", None, "U"]), rng.choice(["Yes.", "No", "", " \n", "Why?\x0b", None, "a.b", "naïve!"])))
+    rows += [(500, turn, "user", "again.") for turn in range(3)] * 200  # copies of a few rows
+    return rows
+
+
+@pytest.mark.parametrize("size", [1, 3, repair.SEGMENT_ROWS])
+def test_repairs_of_odd_rows_are_those_of_sql(spark, monkeypatch, size):
+    given_rows = conversations(spark, odd_conversations()).repartition(7)
+    monkeypatch.setattr(queries, "_table", lambda *_: given_rows)
+    repairs = repair.repairs
+    monkeypatch.setattr(queries.repair, "repairs", lambda rows: repairs(rows, size))
+    same_rows(queries.op11_repair(spark, ""), by_sql("op11_repair", conversations=given_rows.select("conv_id", "turn", "role", "text")))
+
+
+def test_repaired_turns_alternate(spark):
+    rows = conversations(spark, odd_conversations())
+    found = repair.repairs(rows, 4)
+    turns = repair.repaired_turns(rows, found).collect()
+    audits = {r["conv_id"]: r["audit"] for r in found.collect()}
+    kept = {}
+    for row in sorted(turns, key=lambda r: r["place"]):
+        assert audits[row["conv_id"]][row["place"]] == row["edit"][0]
+        if row["edit"] != "Delete":
+            kept.setdefault(row["conv_id"], []).append(row["role"][0])
+    assert len(turns) == sum(map(len, audits.values()))
+    for roles in kept.values():
+        rest = roles[1:] if roles[0] == "s" else roles
+        assert rest and "".join(rest) == "ua" * (len(rest) // 2)
+
+
+def test_no_conversations(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_table", lambda *_: conversations(spark, []))
+    assert queries.op11_repair(spark, "").collect() == []
+    dropped = next(i for i in range(1000) if __import__("zlib").crc32(f"{i}:0".encode()) % 20 == 0)
+    monkeypatch.setattr(queries, "_table", lambda *_: conversations(spark, [(dropped, 0, "user", "Hi.")]))
+    (row,) = queries.op11_repair(spark, "").collect()
+    assert row.asDict() == {
+        "conv_id": dropped, "gaps": 0, "blank": 0, "duplicate": 0, "truncated": 0, "illegal": 0, "cost": 0, "audit": "",
+        "repaired_sha256": hashlib.sha256(b"").hexdigest(),
+    }
+
+
+# Filters
+
+
+def filter_tables(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(600)]
+    bodies = [" ".join(rng.choices(words[:k], k=n)) for k, n in [(600, 250), (5, 300), (600, 199), (600, 200), (90, 199)] * 4]
+    bodies += [None, "", " \n", "ABC", "A" * 3 + "b" * 97, "a & b", "é日本 😀 |", "x " * 200, "long " * 60_000, "\x1c"]
+    rows = [(i, rng.choice(bodies), rng.choice(["en", "de", "", None])) for i in range(150)]
+    rows += [(7, "same id", "en"), (7, "same id", "de"), (None, "same id", "en"), (None, "nobody's", None), (8, "same id", "fr"), (900, "nobody's", "fr")]
+    docs = spark.createDataFrame([(*row, *("x" * 9)) for row in rows], "doc_id long, text string, lang string" + CLASH)
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(0, 160, 2)] + [(4, 1, 1), (4, 0, 0), (None, 1, 1)]
+    return docs, spark.createDataFrame([(*row, "x") for row in labels], "doc_id long, quality int, toxic int, text string")
+
+
+@pytest.mark.parametrize("hashes", [None, 3, 1])
+def test_filter_audit_is_that_of_sql(spark, hashes):
+    """Also where many texts, or all, share a hash."""
+    docs, labels = filter_tables(spark)
+    hashed = F.xxhash64 if hashes is None else lambda text: F.pmod(F.xxhash64(text), F.lit(hashes))
+    counts = filteraudit.mask_counts(docs.repartition(5), labels, hashed=hashed)
+    same_rows(filteraudit.audited(counts), by_sql("op12_filter_audit", documents=docs.select("doc_id", "text", "lang"), labels=labels))
+
+
+def test_full_sketch_changes_nothing(spark):
+    docs, labels = filter_tables(spark)
+    small = filteraudit.Sketch(block=8, most_cells=8)
+    rows = lambda sketch: sorted(map(tuple, filteraudit.mask_counts(docs, labels, sketch).collect()))
+    assert rows(small) == rows(filteraudit.Sketch())
+
+
+def test_no_documents(spark):
+    docs, labels = filter_tables(spark)
+    assert filteraudit.audited(filteraudit.mask_counts(docs.limit(0), labels.limit(0))).collect() == []
+
+
+def test_sketch_clears_only_unique_hashes():
+    rng = np.random.default_rng(2)
+    hashes = rng.integers(-(2**63), 2**63, 5000)
+    sketch = filteraudit.Sketch()
+    cells = 1 << 17
+    counts = np.zeros(cells, int)
+    for own in filteraudit._cells(np.concatenate([hashes, hashes[:100]]), cells, sketch).T:
+        counts[np.unique(own.astype(np.int64))] += 1
+    shared = (counts[filteraudit._cells(hashes, cells, sketch).astype(np.int64)] > 1).all(axis=0)
+    assert shared[:100].all() and shared[100:].mean() < 0.01
+
+
+# BPE
+
+PATH = public_tokenizers.path(queries.RANKS)
+
+
+@pytest.fixture(scope="module")
+def published():
+    with open(PATH, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def ids_of(texts):
+    found = bpe.Encoder(bpe.vocabulary(PATH), public_tokenizers.PATTERN).encode(texts)
+    return [np.frombuffer(x, "<u4").tolist() for x in found]
+
+
+ALPHABET = st.characters(exclude_categories=["Cs"]) | st.sampled_from("aaabtthhe 's1 .\n\té日本") | st.integers(0x10000, 0x10FFFF).map(chr)
+
+
+@limits(max_examples=300, deadline=None)
+@given(texts=st.lists(st.text(ALPHABET, max_size=80), min_size=1, max_size=5))
+def test_ids_are_those_of_the_published_library(published, texts):
+    assert ids_of(texts) == [published.encode_ordinary(text) for text in texts]
+
+
+def test_ids_of_long_words_and_texts(published):
+    rng = random.Random(4)
+    texts = ["a" * 50_000, "ab" * 30_000, " " * 20_000 + "x", "\n" * 3000, "é" * 9999, "<|endoftext|> and՘\U00010940 on", ""]
+    texts += ["".join(rng.choices("etaoinshr", k=rng.choice([3, 30, 64, 65, 300]))) for _ in range(2000)]
+    assert ids_of(texts) == [published.encode_ordinary(text) for text in texts]
+
+
+def by_definition(word, ids):
+    """Merge the leftmost pair of lowest rank until there is none."""
+    if word in ids:
+        return [ids[word]]
+    parts = [word[i : i + 1] for i in range(len(word))]
+    while True:
+        ranks = [(ids.get(a + b, 1 << 30), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+        if not ranks or min(ranks)[0] == 1 << 30:
+            return [ids[p] for p in parts]
+        i = min(ranks)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_merges_that_allow_an_earlier_one(tmp_path):
+    """A vocabulary whose merges give pairs of a lower rank: they go before the rest of the word."""
+    rng = random.Random(8)
+    words = {bytes(rng.choices(b"abc", k=rng.choice([2, 2, 3, 4, 5]))) for _ in range(60)}
+    order = sorted(words, key=lambda _: rng.random())
+    tokens = [bytes([b]) for b in range(256)] + order
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(tokens)))
+    vocabulary = bpe.vocabulary(str(path))
+    tried = [bytes(rng.choices(b"abc", k=rng.choice([1, 5, 12, 40, 63, 66, 150]))) for _ in range(1500)]
+    found = [np.frombuffer(x, "<u4").tolist() for x in bpe.replayed(tried, vocabulary)]
+    assert found == [by_definition(word, vocabulary.ids) for word in tried]
+
+
+def test_bpe_columns_and_round_trip(spark, published):
+    rows = [(1, None), (2, ""), (None, "one two"), (3, "x " * 90_000), (3, "é日本 <|endoftext|> 😀\x85"), (3, "x " * 90_000), (None, None)]
+    docs = spark.createDataFrame([(*row, "x", "x") for row in rows], "doc_id long, text string, ids string, decoded string")
+    found = bpe.encoded(docs, PATH, public_tokenizers.PATTERN)
+    assert sorted(found.columns) == sorted(docs.columns)
+    found = found.withColumn("decoded", bpe.decoded(F.col("ids"), PATH)).collect()
+    assert sorted(repr((r["doc_id"], r["text"])) for r in found) == sorted(map(repr, rows))
+    for row in found:
+        assert np.frombuffer(row["ids"], "<u4").tolist() == published.encode_ordinary(row["text"] or "")
+        assert row["decoded"] == (row["text"] or "").encode()
+    assert bpe.encoded(docs.limit(0), PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_bpe_query(spark, published):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for row in queries.op13_bpe(spark, sf).collect():
+        ids = published.encode_ordinary(texts[row["doc_id"]])
+        digests = (hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest())
+        assert (row["n_tokens"], row["ids_sha256"], row["decoded_sha256"]) == (len(ids), *digests)
