@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.llm.text import chunks
 
-TEXT_BYTES = 1 << 23  # text whose words are merged together; a longer text is taken alone
+TEXT_BYTES = 1 << 22  # text whose words are merged together; a longer text is taken alone
 KNOWN_WORDS = 200_000  # merged words of up to KNOWN_BYTES bytes that a task remembers
 KNOWN_BYTES = 64
 
