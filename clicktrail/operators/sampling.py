@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import math
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktrail.functions import times, values
@@ -12,7 +13,7 @@ from clicktrail.operators.sessions import detail_report, session_summary
 from clicktrail.params import TaskParams
 
 CELL = ["start_date", "start_hour"]
-BIN_ROWS = 1000  # sessions ranked together, about
+BIN_DIGITS = 3  # hexadecimal digits: 4096 bins of an hour's sessions
 
 
 def _with_cell(sessions: DataFrame) -> DataFrame:
@@ -25,14 +26,11 @@ def _with_cell(sessions: DataFrame) -> DataFrame:
 
 def session_hourly_counts(sessions: DataFrame) -> DataFrame:
     """Sessions per start date and hour, with the day's total."""
-    return (
-        _with_cell(sessions)
-        .groupBy(*CELL)
-        .agg(F.count(F.lit(1)).alias("session_count"))
-        .withColumn(
-            "day_session_count", F.sum("session_count").over(Window.partitionBy("start_date"))
-        )
-    )
+    return _with_day_total(_with_cell(sessions).groupBy(*CELL).agg(F.count(F.lit(1)).alias("session_count")))
+
+
+def _with_day_total(hourly: DataFrame) -> DataFrame:
+    return hourly.withColumn("day_session_count", F.sum("session_count").over(Window.partitionBy("start_date")))
 
 
 def session_sample_quota(hourly: DataFrame, params: TaskParams) -> DataFrame:
@@ -44,47 +42,46 @@ def session_sample_quota(hourly: DataFrame, params: TaskParams) -> DataFrame:
     without a readable time have quota 0.
     The unpartitioned window sees one row per date and hour, nothing else.
     """
-    days = F.size(F.collect_set("start_date").over(Window.partitionBy()))
+    return hourly.withColumn("days", _days()).withColumn("quota", _quota(params)).drop("days")
+
+
+def _days() -> Column:
+    return F.size(F.collect_set("start_date").over(Window.partitionBy()))
+
+
+def _quota(params: TaskParams) -> Column:
     share = f"session_count * ({params.sample_size} div nullif(days, 0)) div day_session_count"
-    quota = f"least(session_count, {share} + {params.extra_per_hour})"
-    return (
-        hourly.withColumn("days", days)
-        .withColumn("quota", F.expr(f"if(start_date IS NULL, 0L, {quota})"))
-        .drop("days")
-    )
+    return F.expr(f"if(start_date IS NULL, 0L, least(session_count, {share} + {params.extra_per_hour}))")
 
 
 def session_sample(sessions: DataFrame, params: TaskParams) -> DataFrame:
     """``session_id, start_time`` of the drawn sessions.
 
     Sessions of an hour are drawn in the order of a hash of seed and id, so the
-    draw does not depend on partitioning or retries. An hour is cut into bins by
-    the first digits of that hash, as many digits as leave about ``BIN_ROWS``
-    sessions in a bin. Counts per bin tell how many sessions come before a bin,
-    so how many it has to give; only bins with something to give are ranked,
-    and no task ranks a whole hour. Sessions without a readable time are never
+    draw does not depend on partitioning or retries. One histogram of the hour's hashes, by their first
+    ``BIN_DIGITS`` digits, says all that is needed: its total is the hour's count, from which the quotas
+    follow, and its running sum how many of each bin are drawn. Histograms of tasks add up before
+    the shuffle and have at most a fixed number of bins per hour. Only the bins that give something are
+    joined back and ranked, so no task ranks a whole hour. Sessions without a readable time are never
     drawn.
     """
-    quota = session_sample_quota(session_hourly_counts(sessions), params)
-    digits = F.ceil(F.log(F.greatest(F.col("session_count") / BIN_ROWS, F.lit(1.0))) / math.log(16)).cast("int")
-    binned = (
-        _with_cell(sessions)
-        .join(quota.select(*CELL, "quota", digits.alias("digits")), CELL)
-        .where("quota > 0")
-        .withColumn("draw_key", F.md5(F.concat(F.lit(params.seed), F.col("session_id"))))
-        .withColumn("bin", F.expr("substring(draw_key, 1, digits)"))
-        .select("session_id", "start_time", *CELL, "quota", "draw_key", "bin")
-    )
-    earlier = Window.partitionBy(*CELL).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = (
-        binned.groupBy(*CELL, "bin")
-        .agg(F.count(F.lit(1)).alias("in_bin"), F.first("quota").alias("quota"))
-        .withColumn("before", F.coalesce(F.sum("in_bin").over(earlier), F.lit(0)))
-        .where(F.col("before") < F.col("quota"))
-        .select(*CELL, "bin", (F.col("quota") - F.col("before")).alias("take"))
+    keyed = _with_cell(sessions).withColumn("draw_key", F.md5(F.concat(F.lit(params.seed), F.col("session_id"))))
+    keyed = keyed.select("session_id", "start_time", *CELL, "draw_key", F.substring("draw_key", 1, BIN_DIGITS).alias("bin"))
+    counts = keyed.groupBy(*CELL, "bin").agg(F.count(F.lit(1)).alias("in_bin"))
+    histogram = F.array_sort(F.collect_list(F.struct("bin", "in_bin"))).alias("histogram")
+    hourly = counts.groupBy(*CELL).agg(F.sum("in_bin").alias("session_count"), histogram)
+    # the window over all hours comes first: in its one partition the window by day needs no further shuffle
+    quota = _with_day_total(hourly.withColumn("days", _days())).withColumn("quota", _quota(params))
+    # each bin's sessions that are drawn: what the quota leaves after the bins before it
+    given = "least(b.in_bin, greatest(0L, quota - aggregate(slice(histogram, 1, i), 0L, (n, x) -> n + x.in_bin)))"
+    bins = quota.where("quota > 0").selectExpr(
+        *CELL, f"inline(filter(transform(histogram, (b, i) -> named_struct('bin', b.bin, 'take', {given})), b -> b.take > 0))"
     )
     order = Window.partitionBy(*CELL, "bin").orderBy("draw_key", "session_id")
-    giving = binned.join(bins, [*CELL, "bin"]).withColumn("draw", F.row_number().over(order))
+    # null-safe, as a plain comparison adds filters to one of the two uses of the sessions, which are then computed twice
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in (*CELL, "bin")))
+    bins = bins.select("take", *(F.col(name).alias(f"of_{name}") for name in (*CELL, "bin")))
+    giving = keyed.join(bins, same).withColumn("draw", F.row_number().over(order))
     return giving.where(F.col("draw") <= F.col("take")).select("session_id", "start_time")
 
 

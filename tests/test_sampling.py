@@ -1,9 +1,11 @@
 import hashlib
 import random
+import re
 from dataclasses import replace
 
 from clicktrail.operators import sampling, sessions
-from tests.rows import EDGE, PARAMS, action, actions_of, edge_users, plan_of
+from clicktrail.sources.shared import staged
+from tests.rows import EDGE, PARAMS, action, actions_of, edge_users, run_plan_of
 
 
 def kept_of(spark, rows, params=PARAMS):
@@ -94,8 +96,8 @@ def lowest_keys(kept, quota, seed):
 
 def test_bins_draw_the_lowest_keys(spark, monkeypatch):
     rows = many_sessions(900, seed=2)
-    for bin_rows in (1000, 20, 1):
-        monkeypatch.setattr(sampling, "BIN_ROWS", bin_rows)
+    for digits in (1, 2, 5):
+        monkeypatch.setattr(sampling, "BIN_DIGITS", digits)
         for params in (replace(PARAMS, sample_size=300), replace(PARAMS, sample_size=60, extra_per_hour=2)):
             kept = kept_of(spark, rows)
             found = sorted(r.session_id for r in sampling.session_sample(kept, params).collect())
@@ -111,6 +113,13 @@ def test_sessions_without_readable_time_are_never_drawn(spark):
     assert [r.session_id for r in sampling.session_sample(kept_of(spark, mixed), params).collect()] == ["ok"]
 
 
+def test_one_histogram_serves_counts_quotas_and_bins(spark):
+    kept = staged(kept_of(spark, many_sessions(300)), "kept")
+    plan = run_plan_of(sampling.session_sample(kept, replace(PARAMS, sample_size=50)))
+    assert len(re.findall(r"Exchange (?:hash|Single)", plan)) <= 4
+    assert len(re.findall(r"- Window ", plan)) == 3
+
+
 def test_plan_has_no_forced_broadcast(spark):
     sample = sampling.session_sample(kept_of(spark, EDGE), PARAMS)
     detail = sampling.session_random_detail(sample, actions_of(spark, EDGE), PARAMS, "t")
