@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.functions import times, values
@@ -47,9 +47,8 @@ def session_summary(actions: DataFrame, params: TaskParams | None = None) -> Dat
         flags.append(_any_in("keyword", params.keywords).alias("keyword_match"))
     if params and params.category_ids:
         flags.append(_any_in("category_id", params.category_ids).alias("category_match"))
-    return (
-        actions.groupBy("session_id")
-        .agg(
+    return with_lengths(
+        actions.groupBy("session_id").agg(
             F.min("user_id").alias("user_id"),
             F.array_sort(F.collect_set("keyword")).alias("search_keywords"),
             F.array_sort(F.collect_set("category_id")).alias("click_category_ids"),
@@ -58,11 +57,15 @@ def session_summary(actions: DataFrame, params: TaskParams | None = None) -> Dat
             F.max("action_ts").alias("end_ts"),
             F.count(F.lit(1)).alias("step_length"),
         )
-        .selectExpr(
-            "*",
-            f"{times.seconds_between('start_ts', 'end_ts')} AS visit_length",
-            f"{times.time_text('start_ts')} AS start_time",
-        )
+    )
+
+
+def with_lengths(sessions: DataFrame) -> DataFrame:
+    """Adds the visit's length in seconds and its start as text."""
+    return sessions.selectExpr(
+        "*",
+        f"{times.seconds_between('start_ts', 'end_ts')} AS visit_length",
+        f"{times.time_text('start_ts')} AS start_time",
     )
 
 
@@ -116,19 +119,45 @@ def session_aggr_stat(sessions: DataFrame, task_id: str) -> DataFrame:
 
     No sessions at all give a count of 0 and NULL shares.
     """
-    counters = {f"visit_length_{label}": ("visit_bucket", label) for label, _, _ in VISIT_BUCKETS}
-    counters |= {f"step_length_{label}": ("step_bucket", label) for label, _, _ in STEP_BUCKETS}
-    counted = session_buckets(sessions).agg(
-        F.count(F.lit(1)).alias("session_count"),
-        *(F.expr(f"count_if({column} = '{label}') AS {name}") for name, (column, label) in counters.items()),
-    )
+    return _shares(session_buckets(sessions).agg(*_counters()), task_id)
+
+
+def _counted_buckets() -> dict[str, tuple[str, str]]:
+    counted = {f"visit_length_{label}": ("visit_bucket", label) for label, _, _ in VISIT_BUCKETS}
+    return counted | {f"step_length_{label}": ("step_bucket", label) for label, _, _ in STEP_BUCKETS}
+
+
+def _counters() -> list[Column]:
+    in_bucket = (F.expr(f"count_if({column} = '{label}') AS {name}") for name, (column, label) in _counted_buckets().items())
+    return [F.count(F.lit(1)).alias("session_count"), *in_bucket]
+
+
+def _shares(counted: DataFrame, task_id: str) -> DataFrame:
     return counted.select(
         F.lit(task_id).alias("taskid"),
         "session_count",
-        *(F.expr(f"{values.ratio(name, 'session_count')} AS {name}_ratio") for name in counters),
+        *(F.expr(f"{values.ratio(name, 'session_count')} AS {name}_ratio") for name in _counted_buckets()),
     )
 
 
+def observed_sessions(sessions: DataFrame) -> tuple[DataFrame, Observation]:
+    """The sessions, and the counters of ``session_aggr_stat`` that fill while they are written.
+
+    Write the sessions directly, without a shuffle in between: Spark then takes the
+    counts of each partition's one committed task, so a task that is repeated
+    does not count twice. The counters are there after the first action.
+    """
+    counters = Observation()
+    counted = session_buckets(sessions).observe(counters, *_counters())
+    return counted.drop("visit_bucket", "step_bucket"), counters
+
+
+def observed_aggr_stat(spark: SparkSession, counters: Observation, task_id: str) -> DataFrame:
+    """``session_aggr_stat`` from counters, without reading the sessions again."""
+    counts = counters.get
+    return _shares(spark.range(1).select(*(F.lit(counts[name]).alias(name) for name in ("session_count", *_counted_buckets()))), task_id)
+
+
 def hot_sessions(sessions: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """The sessions too long for one task, from any table with ``session_id, step_length``."""
     return hot_keys(sessions, "session_id", "step_length", rows_per_split)

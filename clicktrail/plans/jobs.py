@@ -21,14 +21,15 @@ def session_job(
     """Length report, random sample, hottest categories and their top sessions.
 
     The filtered sessions, without their lists, are written once and every report
-    starts from them, so the log is grouped by session only once. The small
-    results other reports depend on are written once as well. These tables are
-    removed when the last report is saved.
+    starts from them, so the log is grouped by session only once; the length report's counters fill while they are
+    written. The small results other reports depend on are written once as well. These tables are
+    removed when the last report is saved. Each report is saved in one call.
     """
     selected = log.normalised_actions(log.actions_in_range(actions, params))
     kept = sessions.filtered_sessions(selected, users, params)
-    kept = staged(kept.drop("search_keywords", "click_category_ids"), "sessions_filtered")
-    save("session_aggr_stat", sessions.session_aggr_stat(kept, task_id))
+    kept, counters = sessions.observed_sessions(kept.drop("search_keywords", "click_category_ids"))
+    kept = staged(kept, "sessions_filtered")
+    save("session_aggr_stat", sessions.observed_aggr_stat(actions.sparkSession, counters, task_id))
 
     sample = staged(sampling.session_sample(kept, params), "session_sample")
     save("session_random_extract", sampling.session_random_extract(sample, selected, params, task_id))
@@ -44,8 +45,8 @@ def session_job(
     leaders = staged(categories.top10_session(clicks, task_id), "top10_session")
     save("top10_session", leaders)
 
-    save("session_detail", sampling.session_random_detail(sample, selected, params, task_id))
-    save("session_detail", categories.top10_session_detail(leaders, selected, task_id))
+    drawn_detail = sampling.session_random_detail(sample, selected, params, task_id)
+    save("session_detail", drawn_detail.unionAll(categories.top10_session_detail(leaders, selected, task_id)))
     for made in (kept, sample, activity, top, leaders):
         discard(made)
 

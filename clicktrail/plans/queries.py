@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from clicktrail.functions import times, values
 from clicktrail.operators import actions as log
-from clicktrail.operators import categories, funnel, packed, products, sampling, sessions
+from clicktrail.operators import categories, funnel, history, packed, products, sampling, sessions
 from clicktrail.params import TaskParams
 from clicktrail.schemas import AD_CLICK, AREA_LEVELS
 from clicktrail.sources import reports
 from clicktrail.sources import sample_tables as tables
 from clicktrail.sources.dimensions import city_dimension
-from clicktrail.sources.shared import shared_folder, staged
+from clicktrail.sources.shared import discard, shared_folder, staged
 from clicktrail.streaming import ad_clicks
 
 TASK = "t-0001"
@@ -205,6 +205,34 @@ def session_detail(t):
     return sessions.session_detail(t.actions, kept, TASK, sessions.hot_sessions(summary))
 
 
+@query
+def session_aggr_stat_observed(t):
+    """The counters fill while the filtered sessions are written; the report reads no session again."""
+    kept, counters = sessions.observed_sessions(t.sessions.drop("search_keywords", "click_category_ids"))
+    discard(staged(kept, "sessions_filtered"))
+    return sessions.observed_aggr_stat(t.spark, counters, TASK)
+
+
+def _stored_history(t) -> str:
+    """The log's partial aggregates, stored in two parts, the second of which begins with a date of the first once more."""
+    folder = shared_folder(t.spark, "session_history")
+    history.store_dates(t.actions.where("date <= '2024-01-15'"), folder)
+    history.store_dates(t.actions.where("date >= '2024-01-15'"), folder)
+    return folder
+
+
+@query
+def session_summary_over_time(t):
+    folder = _stored_history(t)
+    partials, listed = (history.stored(t.spark, folder, name, BY_INTERESTS) for name in (history.SESSIONS, history.VALUES))
+    return history.merged_summary(partials, listed, BY_INTERESTS).drop("start_ts", "end_ts")
+
+
+@query
+def session_values_over_time(t):
+    return history.merged_values(history.stored(t.spark, _stored_history(t), history.VALUES, PARAMS))
+
+
 # Sampling
 
 
@@ -378,6 +406,28 @@ def report_append(t):
     return t.spark.read.parquet(target)
 
 
+@query
+def report_append_once(t):
+    """Two tasks' category reports, the first of them saved twice, read back."""
+    target = shared_folder(t.spark, "top10_category")
+    totals = staged(category_activity(t), "category_activity")
+    report = categories.top10_category(totals, TASK)
+    for task in (TASK, "t-0002", TASK):
+        reports.report_append(categories.top10_category(totals, task), target, once_per="taskid")
+    return t.spark.read.schema(report.schema).parquet(target)
+
+
+@query
+def table_overwrite_dates(t):
+    """A log whose middle dates, stored with other pages, are replaced by its own; the dates around them stay."""
+    target = shared_folder(t.spark, "user_visit_action")
+    middle = F.col("date").between("2024-01-10", "2024-01-12")
+    reports.table_overwrite(t.log.withColumn("page_id", F.when(middle, -1).otherwise(F.col("page_id"))), target, "date")
+    reports.table_overwrite(t.log.where(middle), target, "date", keep_others=True)
+    stored = t.spark.read.schema(t.log.schema).parquet(target)
+    return stored.groupBy("date").agg(F.count(F.lit(1)).alias("actions"), F.sum("page_id").alias("pages"))
+
+
 @query
 def table_overwrite(t):
     """The log replaced by its date range, stored by date; actions per date read back."""

@@ -5,7 +5,8 @@
 
 Reads ``user_visit_action``, ``user_info``, ``product_info`` and, where the
 catalog has one, ``city_info``; appends to report tables of the usual names.
-With a file format, ``--target`` is the folder that holds them. ``stream``
+With a file format, ``--target`` is the folder that holds them. With ``--once`` a
+task that is run again under its ``--task-id`` leaves one copy of its reports. ``stream``
 appends decoded ad-click lines to the table at ``--target`` until its source has
 no more, or, with ``--every``, until it is stopped. Times are taken as UTC.
 """
@@ -34,8 +35,8 @@ from clicktrail.sources.reports import report_append  # noqa: E402
 from clicktrail.streaming import ad_clicks  # noqa: E402
 
 
-def _save(name: str, report: DataFrame, target: str | None, format: str, options: dict) -> None:
-    report_append(report, f"{target}/{name}" if target else name, format, **options)
+def _save(name: str, report: DataFrame, target: str | None, format: str, once_per: str | None, options: dict) -> None:
+    report_append(report, f"{target}/{name}" if target else name, format, once_per, **options)
 
 
 def run(spark: SparkSession, arguments: Sequence[str]) -> str:
@@ -51,6 +52,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> str:
     parser.add_argument("--task-id", default=uuid.uuid4().hex)
     parser.add_argument("--format", default="table", help="table, jdbc or a file format")
     parser.add_argument("--target", help="folder of the reports, for file formats")
+    parser.add_argument("--once", action="store_true", help="a task run again replaces its reports; tables are stored by task")
     parser.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
     chosen = parser.parse_args(arguments)
 
@@ -64,7 +66,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> str:
         ad_clicks.ad_click_stream(lines, chosen.target, chosen.checkpoint, **trigger).awaitTermination()
         return chosen.task_id
     params = TaskParams.from_mapping(json.loads(chosen.params))
-    save = partial(_save, target=chosen.target, format=chosen.format, options=options)
+    save = partial(_save, target=chosen.target, format=chosen.format, once_per="taskid" if chosen.once else None, options=options)
     actions = spark.table("user_visit_action")
     if chosen.job == "session":
         jobs.session_job(actions, spark.table("user_info"), params, chosen.task_id, save)

@@ -263,6 +263,17 @@ _SELECTS = {
     "session_buckets": "SELECT session_id, visit_length, step_length, visit_bucket, step_bucket FROM buckets",
     "session_aggr_stat": _aggr_stat("buckets"),
     "session_aggr_stat_by_interests": _aggr_stat("buckets SEMI JOIN by_interests USING (session_id)"),
+    "session_aggr_stat_observed": _aggr_stat("buckets"),
+    "session_summary_over_time": """
+        SELECT session_id, user_id, visit_length, step_length, start_time,
+               coalesce(list_has_any(string_split(search_keywords, ','), ['kw1', 'kw7', 'kw10']), false) AS keyword_match,
+               coalesce(list_has_any(CAST(string_split(nullif(click_category_ids, ''), ',') AS BIGINT[]), range(0, 100, 3)), false)
+                   AS category_match
+        FROM summary""",
+    "session_values_over_time": """
+        SELECT DISTINCT session_id, 'keyword' AS kind, keyword AS value FROM actions WHERE keyword IS NOT NULL
+        UNION ALL
+        SELECT DISTINCT session_id, 'category', CAST(category_id AS VARCHAR) FROM actions WHERE category_id IS NOT NULL""",
     "session_detail": _detail("filtered"),
     "session_hourly_counts": "SELECT * FROM hourly",
     "session_sample_quota": "SELECT start_date, start_hour, session_count, day_session_count, quota FROM quota",
@@ -305,6 +316,9 @@ _SELECTS = {
     "area_top3_product": _area_top("city_info", _LEVEL),
     "area_top3_product_city_dimension": _area_top("city_dimension", _DIMENSION_LEVEL),
     "report_append": f"{_top_category()} UNION ALL {_top_category(chr(39) + 't-0002' + chr(39))}",
+    "report_append_once": f"{_top_category()} UNION ALL {_top_category(chr(39) + 't-0002' + chr(39))}",
+    "table_overwrite_dates": """
+        SELECT date, count(*) AS actions, CAST(sum(page_id) AS BIGINT) AS pages FROM in_range GROUP BY date""",
     "table_overwrite": """
         SELECT date, count(*) AS actions, count(order_category_ids) AS orders
         FROM in_range GROUP BY date""",

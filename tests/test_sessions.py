@@ -1,4 +1,8 @@
+import os
+import subprocess
+import sys
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,6 +14,9 @@ from clicktrail.operators import sessions
 from tests.rows import EDGE, PARAMS, action, actions_of, edge_users, log_of, users_of
 
 
+ROOT = str(Path(__file__).resolve().parents[1])
+
+
 def by_id(df):
     return {row.session_id: row for row in df.collect()}
 
@@ -160,3 +167,42 @@ def test_filter_on_a_summary_without_it_is_refused(spark):
     enriched = sessions.session_enriched(sessions.session_summary(actions), edge_users(spark))
     with pytest.raises(AnalysisException, match="keyword_match"):
         sessions.session_filtered(enriched, replace(PARAMS, keywords=("nobody asks",)))
+
+
+REPEATED_TASK = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from clicktrail.operators import sessions
+
+spark = (SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "3").getOrCreate())
+
+def fail_first(batches):
+    yield from batches
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("first attempt")
+
+rows = spark.range(1000).selectExpr("concat('s', id) AS session_id", "id % 9 AS visit_length", "id % 70 AS step_length").repartition(5)
+kept, counters = sessions.observed_sessions(rows)
+kept.mapInArrow(fail_first, kept.schema).write.parquet(sys.argv[1])
+found = sessions.observed_aggr_stat(spark, counters, "t").first()
+assert found == sessions.session_aggr_stat(rows, "t").first() and found.session_count == 1000, found
+print("counted once")
+"""
+
+
+def test_observed_counters_are_those_of_the_report(spark, tmp_path):
+    rows = spark.range(500).selectExpr("concat('s', id) AS session_id", "id % 99 AS visit_length", "id % 70 AS step_length")
+    for df in (rows, rows.limit(0)):
+        kept, counters = sessions.observed_sessions(df.repartition(3))
+        kept.write.mode("overwrite").parquet(str(tmp_path / "kept"))
+        assert sessions.observed_aggr_stat(spark, counters, "t").collect() == sessions.session_aggr_stat(df, "t").collect()
+        assert kept.columns == rows.columns
+
+
+def test_a_repeated_task_counts_once(tmp_path):
+    """Every task of the write fails once after its rows were counted."""
+    script = tmp_path / "repeated.py"
+    script.write_text(REPEATED_TASK)
+    done = subprocess.run([sys.executable, script, tmp_path / "kept"], capture_output=True, text=True, timeout=300, env=os.environ | {"PYTHONPATH": ROOT})
+    assert "counted once" in done.stdout, done.stderr[-2000:]

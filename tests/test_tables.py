@@ -39,6 +39,50 @@ def test_reports_append_to_a_catalog_table(spark):
     spark.sql("DROP TABLE appended")
 
 
+@pytest.mark.parametrize("format", ["parquet", "json", "table"])
+def test_a_task_saved_again_leaves_one_copy(spark, tmp_path, format):
+    target = "saved_once" if format == "table" else str(tmp_path / "reports")
+    schema = "taskid STRING, n INT"
+    save = lambda rows: report_append(spark.createDataFrame(rows, schema), target, format, once_per="taskid")
+    for rows in ([("007", 1), ("007", 2)], [("t2", 3)], [("007", 4)], [("007", 4)], []):
+        save(rows)
+    stored = spark.table(target) if format == "table" else spark.read.schema(schema).format(format).load(target)
+    assert sorted((r.taskid, r.n) for r in stored.collect()) == [("007", 4), ("t2", 3)]
+    if format == "table":
+        spark.sql("DROP TABLE saved_once")
+
+
+def test_once_per_task_needs_partitions(spark):
+    one = spark.createDataFrame([("t1", 1)], "taskid STRING, n INT")
+    with pytest.raises(ValueError, match="append"):
+        report_append(one, "t", "jdbc", once_per="taskid")
+    report_append(one, "appended_flat", format="table")
+    with pytest.raises(ValueError, match="not stored by"):
+        report_append(one, "appended_flat", format="table", once_per="taskid")
+    spark.sql("DROP TABLE appended_flat")
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_replacing_dates_keeps_the_others(spark, tmp_path, catalog):
+    target = "dated_log" if catalog else str(tmp_path / "log")
+    source = days_log(spark)
+    read = lambda: spark.table(target) if catalog else spark.read.schema(source.schema).parquet(target)
+    table_overwrite(source, target, "date", catalog=catalog, keep_others=True)
+    others = lambda: {name for name in read().inputFiles() if "date=2019-02-03" not in name}
+    files = others()
+    third = source.where("date = '2019-02-03'").limit(2).withColumn("page_id", F.lit(77).cast("long"))
+    for _ in range(2):
+        table_overwrite(third, target, "date", catalog=catalog, keep_others=True)
+    stored = read()
+    assert stored.where("date = '2019-02-03'").select("page_id").collect() == [(77,), (77,)]
+    assert others() == files and len(files) > 20
+    assert stored.count() == source.where("date <> '2019-02-03'").count() + 2
+    with pytest.raises(ValueError, match="partition_by"):
+        table_overwrite(source, target, keep_others=True)
+    if catalog:
+        spark.sql("DROP TABLE dated_log")
+
+
 def test_overwrite_replaces_and_prunes_by_date(spark, tmp_path):
     target = str(tmp_path / "log")
     source = days_log(spark)
