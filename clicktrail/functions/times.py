@@ -39,6 +39,11 @@ def date_of_key(key: str) -> str:
     return f"to_date({key}, 'yyyyMMdd')"
 
 
+def yesterday_text(date: str) -> str:
+    """The day before a ``yyyy-MM-dd`` text, NULL if it is none."""
+    return f"CAST(date_sub(try_to_date({date}, 'yyyy-MM-dd'), 1) AS STRING)"
+
+
 def minute_key(ts: str) -> str:
     return f"date_format({ts}, 'yyyyMMddHHmm')"
 

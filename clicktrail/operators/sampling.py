@@ -89,9 +89,12 @@ def _drawn_actions(sample: DataFrame, actions: DataFrame) -> DataFrame:
     """Actions of the drawn sessions.
 
     No hint: a small sample is broadcast by Spark, otherwise both sides are
-    shuffled right before the join and adaptive execution splits a long session.
+    shuffled right before the join and adaptive execution splits a long session. The comparison, true for
+    every id, tells Spark that the drawn sessions are a selection: it then builds a Bloom filter of them, which drops
+    other sessions' actions of a large log before the shuffle.
     """
-    return actions.join(sample.select("session_id"), "session_id", "left_semi")
+    drawn = sample.where(F.col("session_id") >= "").select("session_id")
+    return actions.join(drawn, "session_id", "left_semi")
 
 
 def session_random_extract(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from clicktrail.functions import times, values
 from clicktrail.operators import actions as log
 from clicktrail.operators import categories, funnel, history, packed, products, sampling, sessions
 from clicktrail.params import TaskParams
+from clicktrail.plans import sql
 from clicktrail.schemas import AD_CLICK, AREA_LEVELS
 from clicktrail.sources import reports
 from clicktrail.sources import sample_tables as tables
@@ -388,6 +390,17 @@ def area_top3_product(t):
     return products.area_top3_product(t.area_products(t.cities), tables.LEVELS, TASK)
 
 
+@query
+def area_top3_product_by_sql(t):
+    """The same report asked of the table function."""
+    found = sql.views(PARAMS, tables.user_visit_action(t.spark, t.sf_dir), None, t.products, t.cities, tables.LEVELS)
+    sql.register(t.spark, found, "clicktrail_")
+    return t.spark.sql(f"""
+        SELECT '{TASK}' AS taskid, area, area_level AS areaLevel, product_id AS productid, city_infos AS cityInfos,
+               click_count AS clickCount, product_name AS productName, product_status AS productStatus
+        FROM clicktrail_top_products(3)""")
+
+
 @query
 def area_top3_product_city_dimension(t):
     return products.area_top3_product(t.area_products(city_dimension(t.spark)), AREA_LEVELS, TASK)
@@ -465,3 +478,45 @@ def ad_click_stream(t):
     )
     running.awaitTermination()
     return _ad_click_text(t.spark.read.schema(AD_CLICK).parquet(target))
+
+
+@query
+def ad_click_sinks(t):
+    """Valid and corrupt lines through a stream into two tables, started twice, read back."""
+    events = t.spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events.parquet*")
+    clicks, corrupt, state = (shared_folder(t.spark, name) for name in ("ad_clicks", "ad_clicks_corrupt", "ad_clicks_state"))
+    for _ in range(2):
+        ad_clicks.ad_click_sinks(tables.ad_click_lines(events), clicks, corrupt, state).awaitTermination()
+    valid = t.spark.read.schema(AD_CLICK).parquet(clicks)
+    bad = t.spark.read.parquet(corrupt).select(F.col("value").alias("_corrupt"))
+    both = valid.drop("_corrupt").unionByName(bad, allowMissingColumns=True)
+    return _ad_click_text(both).withColumn("sink", F.when(F.col("_corrupt").isNull(), "clicks").otherwise("corrupt"))
+
+
+# Scalar functions
+
+
+@query
+def scalar_functions(t):
+    """Per day of the log: its key there and back, the day before as the task of the day sees it, and its views as a packed report's field."""
+    days = t.log.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    stamp = "CAST(date AS TIMESTAMP)"
+    report = F.concat(F.lit("views="), F.col("n").cast("string"), F.lit("|pages=|none"))
+    return days.selectExpr("*", f"{times.date_key(stamp)} AS date_key").select(
+        "date",
+        "date_key",
+        F.expr(times.date_text(times.date_of_key("date_key"))).alias("date_again"),
+        F.expr(times.yesterday_text("date")).alias("day_before"),
+        packed.kv_value(report, "views").alias("views"),
+        packed.kv_value(report, "pages").alias("pages"),
+        packed.kv_value(report, "absent").alias("absent"),
+        packed.kv_value(packed.kv_replaced(report, "views", "0"), "views").alias("views_replaced"),
+    )
+
+
+@query
+def actions_of_yesterday(t):
+    """Actions of the day before 2024-01-07, by the task parameters of a daily run."""
+    params = TaskParams.of_yesterday(date(2024, 1, 7))
+    found = log.actions_in_range(tables.user_visit_action(t.spark, t.sf_dir), params)
+    return found.groupBy("date").agg(F.count(F.lit(1)).alias("actions"))

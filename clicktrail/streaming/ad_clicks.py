@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -66,3 +67,27 @@ def ad_click_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start(target)
     )
+
+
+def ad_click_sinks(lines: DataFrame, clicks: str, corrupt: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Valid lines to the table ``clicks``, the text of all others to ``corrupt``; each line once in one of them.
+
+    Both tables are stored by batch. A batch that is run again after a failure, between the two
+    writes or before its progress was saved, replaces its own folders, so a
+    restart writes no line twice. Its lines are kept until both are written, so that
+    the source is read once. Triggers are those of ``ad_click_stream``.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        events = ad_click_events(batch.persist(StorageLevel.MEMORY_AND_DISK))
+        valid = F.col("ts").isNotNull()
+        events.where(valid).drop("_corrupt").write.mode("overwrite").parquet(f"{clicks}/batch={batch_id}")
+        events.where(~valid).select(F.col("_corrupt").alias("value")).write.mode("overwrite").parquet(f"{corrupt}/batch={batch_id}")
+        batch.unpersist()
+
+    return (
+        lines.writeStream.foreachBatch(save)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

@@ -314,6 +314,7 @@ _SELECTS = {
     "area_product_clicks": _area_clicks("city_info"),
     "area_product_full": _area_full("city_info"),
     "area_top3_product": _area_top("city_info", _LEVEL),
+    "area_top3_product_by_sql": _area_top("city_info", _LEVEL),
     "area_top3_product_city_dimension": _area_top("city_dimension", _DIMENSION_LEVEL),
     "report_append": f"{_top_category()} UNION ALL {_top_category(chr(39) + 't-0002' + chr(39))}",
     "report_append_once": f"{_top_category()} UNION ALL {_top_category(chr(39) + 't-0002' + chr(39))}",
@@ -324,6 +325,14 @@ _SELECTS = {
         FROM in_range GROUP BY date""",
     "ad_click_events": _AD_CLICKS,
     "ad_click_stream": _AD_CLICKS,
+    "ad_click_sinks": f"SELECT *, CASE WHEN _corrupt IS NULL THEN 'clicks' ELSE 'corrupt' END AS sink FROM ({_AD_CLICKS})",
+    "scalar_functions": """
+        SELECT date, replace(date, '-', '') AS date_key, date AS date_again,
+               CAST(CAST(CAST(date AS DATE) - INTERVAL 1 DAY AS DATE) AS VARCHAR) AS day_before,
+               CAST(count(*) AS VARCHAR) AS views, CAST(NULL AS VARCHAR) AS pages, CAST(NULL AS VARCHAR) AS absent, '0' AS views_replaced
+        FROM in_range GROUP BY date""",
+    "actions_of_yesterday": """
+        SELECT date, count(*) AS actions FROM user_visit_action WHERE date = '2024-01-06' GROUP BY date""",
 }
 
 ORACLE = {name: _sql(select) for name, select in _SELECTS.items()}

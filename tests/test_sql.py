@@ -1,0 +1,75 @@
+"""Views and table functions give what the operators give."""
+
+from pyspark.sql import functions as F
+
+from clicktrail.operators import products
+from clicktrail.operators import sessions as session_operators
+from clicktrail.plans import sql
+from clicktrail.schemas import AREA_LEVELS, PRODUCT_INFO
+from clicktrail.sources.dimensions import city_dimension
+from clicktrail.sources.reports import table_overwrite
+from clicktrail.sources.shared import shared_folder
+from tests.rows import EDGE, PARAMS, action, actions_of, edge_users, log_of, plan_of
+
+
+def tables_of(spark):
+    rows = EDGE + [action("s", 1, 20 + i, product=i % 4, city=i % 5) for i in range(40)]
+    info = spark.createDataFrame([(i, f"p{i}", f'{{"product_status": {i % 2}}}') for i in range(4)], PRODUCT_INFO)
+    return log_of(spark, rows), edge_users(spark), info, city_dimension(spark), AREA_LEVELS
+
+
+def drop(spark, names):
+    for name in names:
+        spark.sql(f"DROP TEMPORARY FUNCTION {name}") if name.removeprefix("my_") in sql.FUNCTIONS else spark.catalog.dropTempView(name)
+
+
+def test_functions_are_the_operators(spark):
+    log, users, info, cities, levels = tables_of(spark)
+    found = sql.views(PARAMS, log, users, info, cities, levels)
+    names = sql.register(spark, found, "my_")
+    assert set(names) == {f"my_{name}" for name in (*found, *sql.FUNCTIONS)}
+    top = spark.sql("SELECT 't', area, area_level, product_id, city_infos, click_count, product_name, product_status FROM my_top_products(2)")
+    expected = products.area_top3_product(found["area_product_full"].drop("area_level"), levels, "t", k=2)
+    assert sorted(top.collect()) == sorted(expected.collect()) and top.count() > 2
+    categories = spark.sql("SELECT category_id, place FROM my_top_categories(3) ORDER BY place")
+    assert [tuple(r) for r in categories.collect()] == [(1, 1), (11, 2), (7, 3)]
+    rows = spark.sql("SELECT page_id, keyword FROM my_actions_of('A') ORDER BY action_ts, page_id").collect()
+    assert [r.page_id for r in rows] == [1, 2, 3, 2] and rows[0].keyword == "new hotpot"
+    between = spark.sql("SELECT session_id FROM my_sessions_between(TIMESTAMP '2019-02-01 09:30:00', TIMESTAMP '2019-02-01 09:59:59')")
+    assert [r.session_id for r in between.collect()] == ["A"]
+    kept = session_operators.filtered_sessions(actions_of(spark, EDGE), users, PARAMS)
+    assert spark.table("my_session_filtered").where("session_id <> 's'").count() == kept.count()
+    drop(spark, names)
+
+
+def test_only_what_the_inputs_allow(spark):
+    log, *_ = tables_of(spark)
+    names = sql.register(spark, sql.views(PARAMS, log), "my_")
+    assert set(names) == {"my_normalised_actions", "my_session_summary", "my_actions_of"}
+    drop(spark, names)
+
+
+def test_a_question_reads_only_its_dates_and_columns(spark):
+    target = shared_folder(spark, "sql_log")
+    log, *_ = tables_of(spark)
+    table_overwrite(log, target, "date")
+    names = sql.register(spark, sql.views(PARAMS, spark.read.schema(log.schema).parquet(target)), "my_")
+    plan = plan_of(spark.sql("SELECT count(*) FROM my_actions_of('A') WHERE page_id = 2"))
+    assert "PartitionFilters" in plan and "2019-02-28" in plan and "EqualTo(session_id,A)" in plan
+    assert "ReadSchema: struct<session_id:string,page_id:bigint>" in plan
+    drop(spark, names)
+
+
+def test_bloom_filter_of_drawn_sessions_reaches_the_log(spark, settings):
+    from clicktrail.operators import actions, sampling
+    from clicktrail.sources.shared import staged
+
+    settings(optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0", autoBroadcastJoinThreshold="-1")
+    log = staged(log_of(spark, [action(f"s{i % 40}", 1, i) for i in range(400)] + [action("", 1, 999)]), "log")
+    selected = actions.normalised_actions(log)
+    sample = staged(spark.createDataFrame([("s1", "x"), ("s7", "x"), ("", "x"), (None, "x")], "session_id STRING, start_time STRING"), "sample")
+    detail = sampling.session_random_detail(sample, selected, PARAMS, "t")
+    assert "might_contain" in plan_of(detail)
+    assert sorted(r.sessionid for r in detail.collect()) == [""] + ["s1"] * 10 + ["s7"] * 10
+    report = sampling.session_random_extract(sample, selected, PARAMS, "t")
+    assert "might_contain" in plan_of(report) and report.where(F.col("sessionid") == "s7").count() == 1

@@ -1,5 +1,8 @@
 from datetime import datetime, timezone
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from clicktrail.schemas import AD_CLICK
 from clicktrail.streaming import ad_clicks
 
@@ -50,3 +53,27 @@ def test_stream_equals_batch_and_survives_a_restart(spark, tmp_path):
     write_lines(incoming, "two.txt", LINES[:3])
     assert run() == batch()
     assert len(run()) == len(LINES) + 3
+
+
+def test_sinks_hold_each_line_once_after_a_restart(spark, tmp_path):
+    """The first run fails after the valid lines were written; the second repeats that batch, a third has nothing to do."""
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    (incoming / "a.txt").write_text("1546300800000 3 3 42 7\nbad\n\n1546300800001 1 1 43 8\n")
+    clicks, corrupt = tmp_path / "clicks", tmp_path / "corrupt"
+    corrupt.write_text("in the way")
+
+    def run():
+        lines = ad_clicks.ad_click_source(spark, "text", path=str(incoming))
+        ad_clicks.ad_click_sinks(lines, str(clicks), str(corrupt), str(tmp_path / "state")).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert spark.read.parquet(str(clicks)).count() == 2
+    corrupt.unlink()
+    run()
+    (incoming / "b.txt").write_text("1546300800002 1 1 44 8\nworse\n")
+    run()
+    run()
+    assert sorted(r.user_id for r in spark.read.parquet(str(clicks)).collect()) == [42, 43, 44]
+    assert sorted(r.value for r in spark.read.parquet(str(corrupt)).collect()) == ["", "bad", "worse"]
