@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.llm import text as tx
-from clicktrail.sources.shared import staged
+from clicktrail.sources.shared import discard, staged
 
 _BUCKETS = 1 << 20
 
@@ -26,15 +26,16 @@ _BUCKETS = 1 << 20
 @dataclass(frozen=True)
 class Learning:
     """Parameters. Each classifier is fitted on its own sample of expected size
-    ``positives`` and ``unlabelled`` texts, drawn by hash; these bounds are all
+    ``positives`` and ``unlabelled`` different texts, and of ``sample_bytes`` at most for each of the two, drawn by hash; these bounds are all
     that is ever gathered in one task. A feature needs ``support`` positives in the
-    sample, ``support_share`` of them, and an estimated ``share`` of toxic texts."""
+    sample and an estimated ``share`` of toxic texts, the positives counted ``deviations`` standard deviation low."""
 
     classifiers: int = 3
     positives: int = 3000
     unlabelled: int = 12000
+    sample_bytes: int = 1 << 28
     support: int = 5
-    support_share: float = 0.005
+    deviations: float = 1.0
     share: float = 0.5
     prefixes: tuple[int, ...] = (5, 6)
     rounds: int = 300
@@ -77,16 +78,16 @@ def _risk_gradient(score: np.ndarray, positive: np.ndarray, prior: float) -> np.
 def _telling(feature: np.ndarray, of_positive: np.ndarray, positive: np.ndarray, prior: float, learning: Learning) -> np.ndarray:
     """Features whose texts are toxic in at least ``share`` of cases by the class-prior-corrected estimate.
 
-    That is prior times their frequency in positives over that in unlabelled text.
+    That is prior times their frequency in positives over that in unlabelled text. The former is taken at its lower
+    confidence bound, so a rare feature has to be the clearer, but none is too rare for large samples.
     """
     names, counts = np.unique(feature, return_counts=True)
     hits = np.zeros(len(names))
     found, n = np.unique(feature[of_positive], return_counts=True)
     hits[np.searchsorted(names, found)] = n
-    in_positive = hits / max(1, positive.sum())
+    in_positive = (hits - learning.deviations * np.sqrt(hits)) / max(1, positive.sum())
     in_other = (counts - hits) / max(1, (~positive).sum())
-    enough = hits >= max(learning.support, learning.support_share * positive.sum())
-    return names[enough & (prior * in_positive >= learning.share * in_other)]
+    return names[(hits >= learning.support) & (in_positive > 0) & (prior * in_positive >= learning.share * in_other)]
 
 
 def fitted(row: np.ndarray, feature: np.ndarray, positive: np.ndarray, prior: float, learning: Learning) -> Classifier:
@@ -120,33 +121,45 @@ def trained(docs: DataFrame, labels: DataFrame, usable, learning: Learning = Lea
     ``usable`` is a condition on doc_id: other documents are not learned from.
     Positives are documents labelled toxic = 1 (in any of their label rows); every
     other usable document is unlabelled, also one labelled 0, whose label only
-    counts for the share of toxic texts among the labelled. Each task fits one
+    counts for the share of toxic texts among the labelled. Rows that repeat a doc_id and text are one document, however
+    many they are: they are counted and drawn once; a doc_id with several texts is several. Null
+    doc_ids and empty texts are left out. Each task fits one
     classifier; only its weights reach the driver. Without positives there are none.
     """
     known = labels.where(usable).where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") == 1).alias("toxic"))
-    rows = docs.where(usable).where("doc_id IS NOT NULL").select("doc_id").join(known, "doc_id", "left")
-    rows = staged(rows, "toxicity_rows")
-    total = rows.agg(
-        F.count(F.lit(1)).alias("all"), F.count("toxic").alias("labelled"), F.sum(F.col("toxic").cast("long")).alias("toxic")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(usable).where("doc_id IS NOT NULL AND text <> ''")
+    rows = rows.withColumn("document", F.xxhash64("doc_id", "text"))
+    different = rows.groupBy("doc_id", "document").agg(F.max(F.octet_length("text")).alias("bytes"))
+    different = staged(different.join(known, "doc_id", "left").select("document", "bytes", "toxic"), "toxicity_documents")
+    toxic = F.coalesce("toxic", F.lit(False))
+    total = different.agg(
+        F.count(F.lit(1)).alias("all"),
+        F.count("toxic").alias("labelled"),
+        F.count_if(toxic).alias("toxic"),
+        F.sum(F.when(toxic, F.col("bytes"))).alias("toxic_bytes"),
+        F.sum(F.when(~toxic, F.col("bytes"))).alias("other_bytes"),
     ).first()
     if not total["toxic"]:
+        discard(different)
         return []
     rest = max(1, total["all"] - total["toxic"])
     share = min(max(total["toxic"] / total["labelled"], 1e-4), 0.5)
     prior = max(1e-4, (share * total["all"] - total["toxic"]) / rest)  # toxic texts among the unlabelled
 
-    toxic = F.coalesce("toxic", F.lit(False))
-    chance = F.when(toxic, learning.positives / total["toxic"]).otherwise(learning.unlabelled / rest)
-    rows = rows.select("doc_id", toxic.alias("positive"), F.explode(F.sequence(F.lit(0), F.lit(learning.classifiers - 1))).alias("classifier"))
-    drawn = F.pmod(F.xxhash64("doc_id", "classifier", F.lit(5)), F.lit(_BUCKETS)) < chance * _BUCKETS
-    sample = staged(
-        rows.withColumn("toxic", F.col("positive")).where(drawn).select("doc_id", "classifier", "positive").distinct(), "toxicity_sample"
-    )
+    of_positive = min(learning.positives / total["toxic"], learning.sample_bytes / total["toxic_bytes"])
+    of_other = min(learning.unlabelled / rest, learning.sample_bytes / max(1, total["other_bytes"] or 0))
+    drawn = F.pmod(F.xxhash64("document", "classifier", F.lit(5)), F.lit(_BUCKETS)) < F.when(toxic, of_positive).otherwise(of_other) * _BUCKETS
+    numbers = F.sequence(F.lit(0), F.lit(learning.classifiers - 1))
+    sample = different.select("document", "toxic", F.explode(numbers).alias("classifier")).where(drawn)
+    sample = staged(sample.groupBy("document", toxic.alias("positive")).agg(F.collect_list("classifier").alias("classifiers")), "toxicity_sample")
     # the sample is bounded by the parameters, whatever the size of the corpus
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = rows.select("document", "text").join(F.broadcast(sample), "document").select("document", "text", "positive", "classifiers")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # at most the sample
         for batch in batches:
+            new = [i for i, x in enumerate(batch.column(0).to_pylist()) if x not in seen and not seen.add(x)]
+            batch = batch.take(pa.array(new, pa.int64()))
             for low, high in tx.chunks(batch.column(1)):
                 part = batch.slice(low, high - low)
                 document, feature = _features(part.column(1), learning)
@@ -154,7 +167,8 @@ def trained(docs: DataFrame, labels: DataFrame, usable, learning: Learning = Lea
                 cuts = np.searchsorted(document[order], np.arange(1, part.num_rows))
                 lists = [np.unique(x) for x in np.split(feature[order], cuts)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(2), part.column(3), pa.array(lists, pa.list_(pa.int64()))], names=["classifier", "positive", "features"]
+                    [part.column(0), part.column(2), part.column(3), pa.array(lists, pa.list_(pa.int64()))],
+                    names=["document", "positive", "classifiers", "features"],
                 )
 
     def fit(rows: pa.Table) -> pa.Table:
@@ -166,13 +180,17 @@ def trained(docs: DataFrame, labels: DataFrame, usable, learning: Learning = Lea
         lists = (pa.array([found.features], pa.list_(pa.int64())), pa.array([found.weights], pa.list_(pa.float64())))
         return pa.table({"features": lists[0], "weights": lists[1], "bias": [found.bias]})
 
+    found = texts.mapInArrow(extract, "document long, positive boolean, classifiers array<int>, features array<long>")
+    found = found.groupBy("document").agg(*(F.first(name).alias(name) for name in ("positive", "classifiers", "features")))
     models = (
-        texts.select("doc_id", "text", "classifier", "positive")
-        .mapInArrow(extract, "classifier int, positive boolean, features array<long>")
+        found.select(F.explode("classifiers").alias("classifier"), "positive", "features")
         .groupBy("classifier")
         .applyInArrow(fit, "features array<long>, weights array<double>, bias double")
+        .collect()
     )
-    return [Classifier(np.array(m["features"], np.int64), np.array(m["weights"]), m["bias"]) for m in models.collect()]
+    discard(different)
+    discard(sample)
+    return [Classifier(np.array(m["features"], np.int64), np.array(m["weights"]), m["bias"]) for m in models]
 
 
 def scored(docs: DataFrame, classifiers: list[Classifier], learning: Learning = Learning()) -> DataFrame:

@@ -407,3 +407,35 @@ def test_bins_hold_everything(lengths):
     bins = packing.pack_bins(lengths, 40)
     assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
     assert all(0 < sum(lengths[i] for i in b) <= 40 for b in bins)
+
+
+def test_toxicity_learns_from_documents_however_often_they_are_repeated(spark):
+    """Twenty toxic ids of 6000 rows each: 20 positives, not 120,000, and none of them lost to the draw."""
+    words = F.concat_ws(" ", *(F.concat(F.lit("w"), F.pmod(F.xxhash64("doc_id", F.lit(i)), F.lit(300)).cast("string")) for i in range(12)))
+    text = F.concat_ws(" ", words, F.when(F.col("toxic") == 1, "vileword"))
+    of_ids = lambda ids, toxic: ids.select("doc_id", F.lit(toxic).alias("toxic")).withColumn("text", text)
+    labelled = of_ids(spark.range(20).select(F.col("id").alias("doc_id")), 1)
+    repeated = labelled.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(6000)))).drop("copy")
+    clean = of_ids(spark.range(1000, 9000).select(F.col("id").alias("doc_id")), 0)
+    hidden = of_ids(spark.range(10_000, 12_000).select(F.col("id").alias("doc_id")), 1)
+    docs = repeated.unionAll(clean).unionAll(hidden).select("doc_id", "text")
+    labels = labelled.unionAll(clean.where("doc_id < 1100")).select("doc_id", "toxic")
+    classifiers = toxicity.trained(docs, labels, F.lit(True))
+    found = toxicity.scored(hidden.unionAll(clean), classifiers).groupBy("toxic").agg(F.avg((F.col("score") >= 0.7).cast("int")).alias("share"))
+    assert {r["toxic"]: r["share"] for r in found.collect()} == {1: 1.0, 0: 0.0}
+
+
+def test_toxicity_on_rows_it_did_not_learn_from(spark):
+    """The test table's held-out rows: most toxic ones are found, nearly no clean ones."""
+    sf = "/root/testdata/sf0.01"
+    docs = queries.op9_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    found = {r["toxic"]: r["share"] for r in docs.groupBy("toxic").agg(F.avg("predicted").alias("share")).collect()}
+    assert found[1] >= 0.6 and found[0] <= 0.03
+
+
+def test_toxicity_sample_is_bounded_in_bytes(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("word "), F.lit(200)), F.when(F.col("id") % 2 == 0, "vileword").otherwise("x")).alias("text"))
+    labels = docs.where("doc_id < 300").select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("toxic"))
+    small = toxicity.Learning(sample_bytes=30_000, support=1, deviations=0.0)
+    assert all(len(c.features) for c in toxicity.trained(docs, labels, F.lit(True), small))
+    assert all(not len(c.features) for c in toxicity.trained(docs, labels, F.lit(True), toxicity.Learning(sample_bytes=1)))
