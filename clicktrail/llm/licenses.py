@@ -10,6 +10,9 @@ compared in full, so every block that meets the threshold is found and no other.
 Blocks are lines, cut where they are long, and besides, for each template, every
 run of words up to twice its length, whatever line ends stand in it: a notice
 wrapped over lines is found like one on a single line.
+
+Like templates meet the same blocks. A match is told, so it names a license, if it holds a word that no
+other license's template has, and no overlapping match explains all its words and more of them.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 import math
 from bisect import bisect_left, insort
 from collections import Counter
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
@@ -28,18 +31,32 @@ from pyspark.sql import functions as F
 # Phrases whose words must stand one after the other, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Short notices by label.
+# Notices by label, as their licenses word them.
 TEMPLATES = (
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("apache", "Licensed under the Apache License, Version 2.0."),
     ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    ("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("lgpl", "under the GNU Lesser General Public License"),
+    ("agpl", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("agpl", "under the GNU Affero General Public License"),
+    ("cc-by", "Licensed under CC BY 4.0."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc0", "the author has waived all copyright and related or neighboring rights to this work"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd-3-clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
@@ -126,9 +143,12 @@ def _block_matches(block: set[bytes], index: _Index) -> Iterator[tuple[int, floa
             yield template, both / len(tokens)
 
 
-def matches(lines: list[list[bytes]], index: _Index, window: int, decided: bool = False) -> list[tuple[str, int, int, float]]:
-    """(label, first word, end, containment) of the blocks that meet a template; ``decided``: and hold one of its own words."""
-    found, start = [], 0
+Match = tuple[int, int, int]  # template, first word, end
+
+
+def _blocks(lines: list[list[bytes]], index: _Index, window: int) -> Iterator[Match]:
+    """The blocks of lines that meet a template."""
+    start = 0
     for line in lines:
         if len(line) <= window:
             cuts = [(0, len(line))]
@@ -136,28 +156,57 @@ def matches(lines: list[list[bytes]], index: _Index, window: int, decided: bool
             cuts = [(i, min(i + window, len(line))) for i in range(0, len(line) - window // 2, window // 2)]
         if not index.prefix.keys().isdisjoint(line):
             for low, high in cuts:
-                for template, share in _block_matches(set(line[low:high]), index):
-                    if not decided or not index.own[template].isdisjoint(line[low:high]):
-                        found.append((index.labels[template], start + low, start + high, share))
+                for template, _ in _block_matches(set(line[low:high]), index):
+                    yield template, start + low, start + high
         start += len(line)
-    return sorted(found)
 
 
-def notices(lines: list[list[bytes]], index: _Index, decided: bool = False) -> list[tuple[str, int, int, float]]:
-    """(label, first word, end, containment) of the runs of words that meet a template, over line ends too.
+def _runs(flat: list[bytes], index: _Index, told: bool) -> Iterator[Match]:
+    """The runs of words that meet a template, over line ends too; ``told``: and hold one of its own words.
 
-    With ``decided`` a run must hold one of the template's own words. Of runs that overlap, the one with most of the template's words counts; of
+    Of runs that overlap, the one with most of the template's words counts; of
     equals the one that ends first, then the shortest.
     """
-    flat = [w for line in lines for w in line]
-    found = []
     for template, _ in _block_matches(set(flat), index):  # the words must stand somewhere before they can stand together
-        tokens, width = set(index.ordered[template]), index.widths[template]
+        tokens = set(index.ordered[template])
         places = [i for i, w in enumerate(flat) if w in tokens]
-        own = index.own[template] if decided else tokens
-        for first, end, both in _best_runs(flat, places, width, index.need[template], own):
-            found.append((index.labels[template], first, end, both / len(tokens)))
-    return sorted(found)
+        own = index.own[template] if told else tokens
+        for first, end, _ in _best_runs(flat, places, index.widths[template], index.need[template], own):
+            yield template, first, end
+
+
+def _shared(match: Match, flat: list[bytes], index: _Index) -> set[bytes]:
+    template, first, end = match
+    return set(flat[first:end]).intersection(index.ordered[template])
+
+
+def _named(found: Iterable[Match], flat: list[bytes], index: _Index) -> list[tuple[str, int, int, float]]:
+    """(label, first word, end, containment) of each match."""
+    return sorted(
+        (index.labels[match[0]], match[1], match[2], len(_shared(match, flat, index)) / len(index.ordered[match[0]])) for match in found
+    )
+
+
+def _told(found: Iterable[Match], flat: list[bytes], index: _Index) -> Iterator[Match]:
+    """Of blocks or of runs the matches with one of the template's own words that no overlapping match of another label beats.
+
+    A match beats another whose shared words it shares too, if they are more or a larger part of its template.
+    """
+    rows = []
+    for match in sorted(set(found), key=lambda m: (m[1], m[2], m[0])):
+        shared = _shared(match, flat, index)
+        rows.append((match, shared, (len(shared), len(shared) / len(index.ordered[match[0]]))))
+    longest = max((match[2] - match[1] for match, _, _ in rows), default=0)
+    firsts = [match[1] for match, _, _ in rows]
+    for (template, first, end), shared, strength in rows:
+        if index.own[template].isdisjoint(shared):
+            continue
+        near = rows[bisect_left(firsts, first - longest) : bisect_left(firsts, end)]
+        if not any(
+            other[2] > first and rank > strength and index.labels[other[0]] != index.labels[template] and shared <= more
+            for other, more, rank in near
+        ):
+            yield template, first, end
 
 
 def _best_runs(flat: list[bytes], places: list[int], width: int, need: int, own: set[bytes]) -> Iterator[tuple[int, int, int]]:
@@ -217,8 +266,8 @@ _FOUND = "struct<n_words:long,places:array<struct<word:long,label:string>>,block
 
 def scanned(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
     """``docs`` (text, ...) with n_words, places (phrase starts), blocks (template
-    matches of lines) and notices (template matches of runs of words over line ends),
-    decided (of both, those that hold a word no template of another label has, so the label is told).
+    matches of lines), notices (template matches of runs of words over line ends) and
+    decided (of both, those that tell the license, see above; the others only say that there is a notice).
 
     Whole texts are read. Null and empty texts have no words and empty lists.
     Columns of the names added are replaced, other columns stay, repeated rows
@@ -235,14 +284,15 @@ def scanned(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
         rows = []
         for text in texts:
             lines = lines_of(text.as_py())
-            blocks, runs = matches(lines, index, window), notices(lines, index)
-            told = [*(matches(lines, index, window, True) if blocks else ()), *(notices(lines, index, True) if runs else ())]
+            flat = [w for line in lines for w in line]
+            blocks, runs = list(_blocks(lines, index, window)), list(_runs(flat, index, False))
+            told = {*_told(blocks, flat, index), *(_told(_runs(flat, index, True), flat, index) if runs else ())}
             rows.append(
                 {
-                    "n_words": sum(map(len, lines)),
+                    "n_words": len(flat),
                     "places": [{"word": w, "label": x} for w, x in phrase_places(lines, phrases)],
                     **{
-                        name: [{"label": x, "first": a, "end": b, "containment": c} for x, a, b, c in found]
+                        name: [{"label": x, "first": a, "end": b, "containment": c} for x, a, b, c in _named(found, flat, index)]
                         for name, found in (("blocks", blocks), ("notices", runs), ("decided", told))
                     },
                 }

@@ -113,7 +113,8 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = licenses.scanned(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     place, base = F.transform("places", lambda p: p["word"]), F.transform("places", lambda p: p["label"])
     method = F.transform("decided", lambda b: b["label"])
-    best = F.coalesce(F.array_max(F.transform("decided", lambda b: b["containment"])), F.lit(0.0))
+    found = F.concat("blocks", "notices")
+    best = F.coalesce(F.array_max(F.transform(found, lambda b: b["containment"])), F.lit(0.0))
     text = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     return docs.select(
         "doc_id",

@@ -255,12 +255,50 @@ def test_license_query_finds_wrapped_notices(spark, tmp_path):
 def test_license_query_tells_like_notices_apart(spark, tmp_path):
     texts = {
         "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Licensed under\nCC BY-SA 4.0.": "cc-by-sa", "Released under the Apache License": "apache",
-        "Licensed under the MIT License, Version 2.0.": "mit", "Released under\nthe License": "", "Licensed under CC BY 4.0": "",
+        "Licensed under the MIT License, Version 2.0.": "mit", "Released under\nthe License": "", "Licensed under CC BY 4.0": "cc-by",
         "This work is licensed under a Creative Commons\nAttribution 4.0 International License": "cc-by",
+        "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation": "gpl,lgpl",
+        "Available under the GNU Affero General Public License.": "agpl,gpl", "Licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa",
+        "Licensed under CC BY-ND 4.0. Elsewhere: Licensed under CC BY 4.0.": "cc-by,cc-by-nd",
+        "Licensed under CC BY-ND 4.0." + " pad" * 70 + " Licensed under CC BY 4.0.": "cc-by,cc-by-nd",
+        "Neither may be used to endorse or promote products derived from this\n# software without specific prior written permission": "bsd-3-clause",
+        "of the Eclipse Public License 2.0 these accompanying materials are made available under the terms": "epl",
     }
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    found = {r["doc_id"]: r["labels"] for r in queries.op10_licenses(spark, str(tmp_path)).collect()}
-    assert [found[i] for i in range(len(texts))] == list(texts.values())
+    rows = {r["doc_id"]: r for r in queries.op10_licenses(spark, str(tmp_path)).collect()}
+    assert [rows[i]["labels"] for i in range(len(texts))] == list(texts.values())
+    assert all(rows[i]["score"] >= 0.8 for i in range(len(texts)))
+
+
+def test_license_query_shows_every_match(spark, tmp_path):
+    """The query's columns from every line and word window compared with every template."""
+    rng = random.Random(21)
+    scan = licenses.Scan()
+    texts = [None, "", "x"]
+    for _, template in scan.templates:
+        for other, _ in ((0, 0), (1, 0), (2, 0)):
+            words = [w for w in template.split() if rng.random() < 0.93] + rng.choice(scan.templates)[1].split()[: 6 * other]
+            texts.append(rng.choice([" ", "\n"]).join(words) + " pad" * rng.randrange(4))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    own_words = {}
+    for label, _ in scan.templates:
+        others = {w for x, t in scan.templates if x != label for w in licenses._words(t)}
+        own_words[label] = [set(licenses._words(t)) - others or set(licenses._words(t)) for x, t in scan.templates if x == label]
+    told = 0
+    for row in queries.op10_licenses(spark, str(tmp_path)).collect():
+        text = texts[row["doc_id"]]
+        matched = brute_blocks(text, scan) + brute_notices(text, scan)
+        best = max((share for *_, share in matched), default=0.0)
+        assert row["score"] == (1.0 if row["n_base"] else best)
+        method = set(filter(None, row["labels"].split(","))) - set(row["base_labels"].split(","))
+        assert method <= {label for label, *_ in matched}
+        words = set(licenses._words(text or ""))
+        assert all(any(own & words for own in own_words[label]) for label in method)
+        sole = {label for label, *_ in matched}
+        if len(sole) == 1 and any(own & words for own in own_words[min(sole)]) and best == 1.0:
+            assert sole <= set(row["labels"].split(","))
+            told += 1
+    assert told > 5
 
 
 def test_license_phrases(spark):
