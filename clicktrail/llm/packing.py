@@ -88,37 +88,42 @@ def packed(rows: DataFrame, packing: Packing = Packing()) -> DataFrame:
     """``rows`` (length, ...) with sequence_id and offset: the place of each in a sequence of at most ``limit``.
 
     Each round packs the open rows in groups made by hash, with best fit and
-    local search; sequences left with much room are opened and meet those of
-    other groups in the next round, until one group is left or nothing improves.
+    local search; sequences left with ``reopen`` free tokens or more are opened and meet those of
+    other groups in the next round. Where that leaves most rows open, as where lengths fit badly, only the emptier
+    sequences are opened, in the end those not half full, of which a group has at most one;
+    so the rows become fewer until one group is left.
     Offsets have no gaps from 0. Lengths must be 1 to ``limit``; other rows
     raise. Input columns named like the added ones are replaced, rows may repeat,
     an empty table gives an empty result.
     """
     rows = rows.drop("sequence_id", "offset")
-    schema = StructType([*rows.schema.fields, *(StructField(n, LongType()) for n in ("sequence_id", "offset", "_open"))])
+    schema = StructType([*rows.schema.fields, *(StructField(n, LongType()) for n in ("sequence_id", "offset", "_free"))])
     rest = staged(rows, "pieces")
-    n, done, number = rest.count(), [], 0
+    n, done, number, free = rest.count(), [], 0, packing.reopen
+    half = packing.limit // 2 + 1
     while True:
         groups = max(1, -(-n // packing.group))
-        last = groups == 1
-        out = staged(_round(rest, groups, number, 0 if last else packing.reopen, schema, packing), "packed")
-        if last:
+        out = staged(_round(rest, groups, number, schema, packing), "packed")
+        if groups == 1:
             done.append(out)
             break
-        done.append(out.where("_open = 0"))
-        rest = out.where("_open = 1").drop("sequence_id", "offset", "_open")
-        before, n = n, rest.count()
-        if n > 0.9 * before:  # no longer worth a round: what is open stays as it was packed
-            done.append(out.where("_open = 1"))
+        left = out.where(F.col("_free") >= free).count()
+        while left > 0.9 * n and free < half:
+            free = min(4 * free, half)
+            left = out.where(F.col("_free") >= free).count()
+        if left > 0.9 * n:  # groups of a few rows, each less than half a sequence
+            done.append(out)
             break
+        done.append(out.where(F.col("_free") < free))
+        rest, n = out.where(F.col("_free") >= free).drop("sequence_id", "offset", "_free"), left
         number += 1
     result = done[0]
     for more in done[1:]:
         result = result.unionAll(more)
-    return result.drop("_open")
+    return result.drop("_free")
 
 
-def _round(rows: DataFrame, groups: int, number: int, reopen: int, schema: StructType, packing: Packing) -> DataFrame:
+def _round(rows: DataFrame, groups: int, number: int, schema: StructType, packing: Packing) -> DataFrame:
     spread = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(number)), F.lit(groups)).cast("int")
     names = schema.names[:-3]
 
@@ -126,14 +131,14 @@ def _round(rows: DataFrame, groups: int, number: int, reopen: int, schema: Struc
         lengths = group.column("length").to_numpy()
         bins = pack_bins(lengths.tolist(), packing.limit)
         base = (number << 52) + (int(group.column("_group")[0].as_py()) << 24)
-        sequence, offset, opened = (np.zeros(len(lengths), np.int64) for _ in range(3))
+        sequence, offset, free = (np.zeros(len(lengths), np.int64) for _ in range(3))
         for i, members in enumerate(bins):
             sizes = lengths[members]
             sequence[members] = base + i
             offset[members] = np.cumsum(sizes) - sizes
-            opened[members] = int(reopen > 0 and packing.limit - sizes.sum() >= reopen)
+            free[members] = packing.limit - sizes.sum()
         out = group.select(names)
-        for name, values in (("sequence_id", sequence), ("offset", offset), ("_open", opened)):
+        for name, values in (("sequence_id", sequence), ("offset", offset), ("_free", free)):
             out = out.append_column(name, pa.array(values))
         return out
 
@@ -171,64 +176,90 @@ def _best_fit(lengths: list[int], limit: int) -> list[list[int]]:
     return bins
 
 
-def _local_search(bins: list[list[int]], lengths: list[int], limit: int, patience: int = 40) -> list[list[int]]:
+def _local_search(bins: list[list[int]], lengths: list[int], limit: int) -> list[list[int]]:
     """Empty the emptiest bins by moves and exchanges that raise the sum of squared fills.
 
     An item of the emptiest bin moves into another bin's room, or one or two of
     its items change places with a shorter item of a fuller bin. Each step makes
-    a fuller bin fuller. A bin that cannot be emptied stays; the search ends when
-    the total allows no fewer bins or ``patience`` bins running could not be emptied.
+    a fuller bin fuller, so the steps end. A bin that cannot be emptied stays; the search ends when
+    the total allows no fewer bins or a pass over all underfull bins found no step.
     """
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    least = -(-sum(fill) // limit)
+    fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
+    least = -(-int(fill.sum()) // limit)
     bins = [b[:] for b in bins]
-    alive, failed = len(bins), 0
-    under = sorted((b for b in range(len(bins)) if fill[b] < limit), key=lambda b: fill[b])
-    item, where = np.array([i for b in under for i in bins[b]], int), np.array([b for b in under for _ in bins[b]], int)
-    size, full = np.array(lengths, np.int64)[item], np.array(fill, np.int64)
-
-    for target in under:
-        if alive <= least or failed == patience:
-            break
-        while bins[target]:
-            step = _best_step(target, bins, lengths, item, where, size, full, limit)
-            if step is None:
+    alive = len(bins)
+    under = [b for b in range(len(bins)) if fill[b] < limit]
+    item = np.array([i for b in under for i in bins[b]], np.int64)
+    where = np.array([b for b in under for _ in bins[b]], np.int64)
+    size = np.array(lengths, np.int64)[item]
+    slot_of = dict(zip(item.tolist(), range(len(item))))
+
+    def put(i: int, source: int, to: int) -> None:
+        bins[source].remove(i)
+        bins[to].append(i)
+        fill[source] -= lengths[i]
+        fill[to] += lengths[i]
+        where[slot_of[i]] = to
+
+    changed = True
+    while changed and alive > least:
+        changed = False
+        for target in sorted((b for b in under if bins[b]), key=lambda b: fill[b]):
+            if alive <= least:
                 break
-            given, b, back = step
-            for i in given:
-                _put(i, target, b, bins, lengths, item, where, full)
-            if back is not None:
-                _put(back, b, target, bins, lengths, item, where, full)
-        alive -= not bins[target]
-        failed = failed + 1 if bins[target] else 0
+            while bins[target]:
+                step = _best_step(bins[target], target, lengths, item, where, size, fill, limit)
+                if step is None:
+                    break
+                changed = True
+                given, b, back = step
+                for i in given:
+                    put(i, target, b)
+                if back is not None:
+                    put(back, b, target)
+            alive -= not bins[target]
     return [b for b in bins if b]
 
 
-def _put(i: int, source: int, to: int, bins, lengths, item, where, full) -> None:
-    bins[source].remove(i)
-    bins[to].append(i)
-    full[source] -= lengths[i]
-    full[to] += lengths[i]
-    where[np.flatnonzero(item == i)] = to
-
-
-def _best_step(target: int, bins, lengths, item, where, size, full, limit: int):
-    """The move or exchange that fills another bin most: (items given, that bin, the item that comes back or none)."""
-    members = sorted(bins[target], key=lambda i: -lengths[i])
-    room = limit - full[where]
-    others = (where != target) & (full[where] >= full[target])
-    for i in members:  # a move empties the bin fastest
-        fits = others & (room >= lengths[i])
-        if fits.any():
-            slot = np.flatnonzero(fits)[np.argmin(room[fits])]
-            return (i,), int(where[slot]), None
-    best, found = 0, None
-    pairs = [(i,) for i in members] + [(i, j) for a, i in enumerate(members[:8]) for j in members[a + 1 : 8]]
-    for given in pairs:
-        gain = sum(lengths[i] for i in given) - size
-        fits = others & (gain > 0) & (gain <= room)
-        if fits.any():
-            slot = np.flatnonzero(fits)[np.argmax(gain[fits])]
-            if gain[slot] > best:
-                best, found = int(gain[slot]), (given, int(where[slot]), int(item[slot]))
+def _best_step(members: list[int], target: int, lengths: list[int], item, where, size, fill, limit: int):
+    """The move or exchange that fills another bin most: (items given, that bin, the item that comes back or none).
+
+    For every item elsewhere, ``most`` is the length its place can take; of the totals of one
+    or two members the largest up to there is looked up, for all places at once.
+    """
+    room = np.where((where != target) & (fill[where] >= fill[target]), limit - fill[where], -1)
+    by_length = {lengths[i]: i for i in members}
+    widest = room.max(initial=-1)
+    fitting = [x for x in by_length if x <= widest]
+    if fitting:  # a move empties the bin fastest: the longest that fits, where it fits best
+        i = by_length[max(fitting)]
+        slot = int(np.argmin(np.where(room >= lengths[i], room, limit + 1)))
+        return (i,), int(where[slot]), None
+    totals = _totals(members, lengths, limit)
+    values = np.array(sorted(totals))
+    most = size + room
+    total = values[np.maximum(np.searchsorted(values, most, side="right") - 1, 0)]
+    gain = np.where((room >= 0) & (total <= most), total - size, 0)
+    slot = int(np.argmax(gain)) if len(gain) else 0
+    if not len(gain) or gain[slot] <= 0:
+        return None
+    return totals[int(total[slot])], int(where[slot]), int(item[slot])
+
+
+def _totals(members: list[int], lengths: list[int], limit: int) -> dict[int, tuple[int, ...]]:
+    """Every total length of one or two members up to ``limit``, with members that have it, one rather than two."""
+    found: dict[int, tuple[int, ...]] = {}
+    of_length: dict[int, list[int]] = {}
+    for i in members:
+        of_length.setdefault(lengths[i], []).append(i)
+    for x, own in of_length.items():
+        if 2 * x <= limit and len(own) > 1:
+            found[2 * x] = (own[0], own[1])
+    kinds = sorted(of_length)
+    for at, x in enumerate(kinds):
+        for y in kinds[at + 1 :]:
+            if x + y > limit:
+                break
+            found[x + y] = (of_length[x][0], of_length[y][0])
+    found.update({x: (own[0],) for x, own in of_length.items()})
     return found

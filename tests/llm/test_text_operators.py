@@ -419,6 +419,55 @@ def placed_well(rows, limit):
     return len(bins)
 
 
+def fewest_bins(lengths, limit):
+    """Every way to place the items, tried out."""
+    best, longest_first = len(lengths), sorted(lengths, reverse=True)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(longest_first):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= longest_first[i]}:
+            rest = [*rooms]
+            rest.remove(room)
+            place(i + 1, [*rest, room - longest_first[i]])
+        place(i + 1, [*rooms, limit - longest_first[i]])
+
+    place(0, [])
+    return best
+
+
+def test_few_pieces_are_packed_as_well_as_can_be():
+    rng = random.Random(1)
+    more = []
+    for _ in range(600):
+        limit = rng.choice([10, 20, 50])
+        lengths = [rng.randint(1, limit) if rng.random() < 0.3 else rng.randint(1, limit // 2) for _ in range(rng.randrange(1, 11))]
+        bins = packing.pack_bins(lengths, limit)
+        assert sorted(i for b in bins for i in b) == list(range(len(lengths))) and all(sum(lengths[i] for i in b) <= limit for b in bins)
+        more.append(len(bins) - fewest_bins(lengths, limit))
+    assert max(more) <= 1 and sum(more) <= 6
+
+
+def test_search_saves_sequences():
+    """Lengths that fit badly; the search goes on until no exchange is left."""
+    rng = random.Random(0)
+    lengths = [rng.randint(300, 720) for _ in range(6000)]
+    assert len(packing.pack_bins(lengths, 2048)) <= 1513
+    tight = [rng.randint(380, 440) for _ in range(2000)]
+    assert len(packing.pack_bins(tight, 2048)) <= 1.006 * -(-sum(tight) // 2048)
+
+
+def test_groups_share_their_last_sequences(spark):
+    """Two pieces fill a sequence badly and one is over in each group; the emptier sequences of all groups meet."""
+    rows = spark.createDataFrame([(700, i) for i in range(303)], "length int, doc_id long")
+    found = packing.packed(rows.repartition(3), packing.Packing(limit=2048, group=31)).collect()
+    assert placed_well([r.asDict() | {"piece": r["doc_id"]} for r in found], 2048) == 152
+
+
 def test_packing_in_rounds(spark):
     rng = random.Random(6)
     lengths = [min(512, max(1, int(rng.lognormvariate(4.5, 1)))) for _ in range(3000)]
