@@ -23,11 +23,12 @@ SITE_RULES = (
     urlrules.site_rule("block", "example.com", "/de/"),
     urlrules.site_rule("allow", "org", "/fr/"),
 )
+# Words that mark a host or a path, standing by themselves.
+HOST_WORDS = ("adult", "betting", "bingo", "casino", "escort", "gambling", "jackpot", "lottery", "poker", "porn", "roulette", "slots", "spam", "torrent", "warez", "xxx")
+PATH_WORDS = ("cart", "checkout", "login", "logout", "signin", "signup", "unsubscribe", "wp-login")
 PATTERN_RULES = (
-    urlrules.Rule("spam host", "block", r"^[^/]*\bspam-[a-z0-9-]+\.", ("spam",)),
-    urlrules.Rule("casino host", "block", r"^(?:[^/]*\.)?casino\.", ("casino",)),
-    urlrules.Rule("sign-in page", "block", r"/(?:login|account)/login(?:/|$)", ("login",)),
-    urlrules.Rule("shopping cart", "block", r"/cart/(?:add|checkout)(?:/|$)", ("cart",)),
+    *(urlrules.Rule(f"{word} host", "block", rf"(?a)^[^/]*\b{word}\b", (word,)) for word in HOST_WORDS),
+    *(urlrules.Rule(f"{word} page", "block", rf"/{word}(?:\.[a-z]+)?(?:/|\Z)", tuple(word.split("-"))) for word in PATH_WORDS),
 )
 
 
@@ -236,10 +237,9 @@ best AS (
     FROM address a LEFT JOIN rules r ON (a.host = r.host OR ends_with(a.host, '.' || r.host)) AND starts_with(a.path, r.path)
     GROUP BY a.page_id, a.host, a.path)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE
-    WHEN regexp_matches(host || path, '^[^/]*\bspam-[a-z0-9-]+\.') OR regexp_matches(host || path, '^(?:[^/]*\.)?casino\.')
-        OR regexp_matches(host || path, '/(?:login|account)/login(?:/|$)') OR regexp_matches(host || path, '/cart/(?:add|checkout)(?:/|$)')
+    WHEN regexp_matches(host || path, '^[^/]*\b(HOST_WORDS)\b') OR regexp_matches(host || path, '/(PATH_WORDS)(\.[a-z]+)?(/|$)')
     THEN 'block' ELSE 'allow' END) AS verdict
-FROM best""",
+FROM best""".replace("HOST_WORDS", "|".join(HOST_WORDS)).replace("PATH_WORDS", "|".join(PATH_WORDS)),
     "op11_repair": r"""
 WITH RECURSIVE crc_table AS (
     SELECT list(list_reduce(list_concat([b], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -49,14 +50,16 @@ def with_address(pages: DataFrame) -> DataFrame:
 def rule_index(addresses: DataFrame, rules: Sequence[Rule]) -> dict[str, list[Rule]]:
     """Rules by the literal of theirs that the fewest URLs hold, counted over all URLs.
 
-    What reaches the driver is one number per literal of the given rules.
+    What reaches the driver is one number per literal of the given rules, and the literals
+    are what is sent to the tasks.
     """
     literals = sorted({x for rule in rules for x in rule.literals})
     counts: dict[str, int] = {}
     if literals:
-        tokens = F.split(F.concat("host", "path"), "[^A-Za-z0-9]+")
-        held = F.array_intersect(F.array_distinct(tokens), F.array(*map(F.lit, literals)))
-        counts = {r["token"]: r["n"] for r in addresses.select(F.explode(held).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
+        tokens = F.array_distinct(F.split(F.concat("host", "path"), "[^A-Za-z0-9]+"))
+        wanted = addresses.sparkSession.createDataFrame([(x,) for x in literals], "token string")
+        held = addresses.select(F.explode(tokens).alias("token")).join(F.broadcast(wanted), "token", "left_semi")
+        counts = {r["token"]: r["n"] for r in held.groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
     index: dict[str, list[Rule]] = {}
     for rule in rules:
         index.setdefault(min(rule.literals, key=lambda x: (counts.get(x, 0), x), default=ALWAYS), []).append(rule)
@@ -73,15 +76,14 @@ def judged(pages: DataFrame, rules: Sequence[Rule], default: str = "allow") -> D
     an empty result.
     """
     addresses = with_address(pages.drop("host", "path", "rule", "verdict"))
-    index = rule_index(addresses, rules)
+    index = addresses.sparkSession.sparkContext.broadcast(rule_index(addresses, rules))
 
     @F.pandas_udf("rule string, verdict string")
     def judge(target: pd.Series) -> pd.DataFrame:
-        compiled = {key: [(r, re.compile(r.pattern)) for r in group] for key, group in index.items()}
         rows = []
         for url in target:
-            fetched = [x for key in {ALWAYS, *_TOKEN.findall(url)} for x in compiled.get(key, ())]
-            fits = [r for r, pattern in fetched if pattern.search(url)]
+            fetched = [rule for key in {ALWAYS, *_TOKEN.findall(url)} for rule in index.value.get(key, ())]
+            fits = [rule for rule in fetched if _compiled(rule.pattern).search(url)]
             best = max(fits, key=lambda r: (r.rank, len(r.name), r.verdict == "block", r.name), default=None)
             rows.append((best.name, best.verdict) if best else (None, default))
         return pd.DataFrame(rows, columns=["rule", "verdict"])
@@ -89,3 +91,9 @@ def judged(pages: DataFrame, rules: Sequence[Rule], default: str = "allow") -> D
     return addresses.withColumn("_judged", judge(F.concat("host", "path"))).select(
         *addresses.columns, "_judged.rule", "_judged.verdict"
     )
+
+
+@lru_cache(maxsize=100_000)
+def _compiled(pattern: str) -> re.Pattern:
+    """A rule's expression, compiled when a URL first fetches it and kept by the worker."""
+    return re.compile(pattern)

@@ -3,6 +3,8 @@
 import base64
 import hashlib
 import math
+import random
+import re
 
 import duckdb
 import numpy as np
@@ -192,6 +194,34 @@ def test_rules_are_indexed_by_their_rarest_token(spark):
     }
 
 
+def test_many_rules_give_what_all_of_them_would(spark):
+    """20,000 rules; the tasks compile those that URLs fetch."""
+    rng = random.Random(13)
+    words = [f"t{i}" for i in range(3000)]
+    rules = [urlrules.site_rule(rng.choice(["block", "allow"]), f"{rng.choice(words)}.example", f"/{rng.choice(words)}/") for _ in range(12_000)]
+    rules += [urlrules.Rule(f"r{i}", "block", rf"/{(w := rng.choice(words))}-[0-9]+", (w,)) for i in range(8000)]
+    urls = [f"http://{rng.choice(words)}.example/{rng.choice(words)}/{rng.choice(words)}-{i}" for i in range(150)]
+    urls += [f"http://{r.name}{i}" for i, r in enumerate(rng.sample(rules[:12_000], 50))]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    compiled = [(r, re.compile(r.pattern)) for r in rules]
+    for row in urlrules.judged(pages, rules).collect():
+        fits = [r for r, pattern in compiled if pattern.search(row["host"] + row["path"])]
+        best = max(fits, key=lambda r: (r.rank, len(r.name), r.verdict == "block", r.name), default=None)
+        assert (row["rule"], row["verdict"]) == ((best.name, best.verdict) if best else (None, "allow"))
+
+
+def test_only_fetched_rules_are_compiled(spark):
+    pages = spark.createDataFrame([("http://a.example/x",), ("http://b.example/y",)], "url string")
+    broken = urlrules.Rule("never fetched", "block", "(", ("unseen",))
+    assert urlrules.judged(pages, [broken, urlrules.site_rule("block", "a.example", "/")]).where("verdict = 'block'").count() == 1
+
+
+def test_pattern_rules_fire_on_the_test_pages(spark):
+    found = queries.op8_url_rules(spark, "/root/testdata/sf0.1").where("rule IS NULL AND verdict = 'block'")
+    hosts = {r["host"] for r in found.select("host").distinct().collect()}
+    assert hosts == {"m.casino-win.example.com", "www.spam-farm.example.com"}
+
+
 # Archives
 
 
