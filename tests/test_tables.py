@@ -126,6 +126,34 @@ def test_staged_table_can_be_discarded(spark):
     assert files and not any(os.path.exists(name) for name in files)
 
 
+def test_only_the_result_of_a_step_stays(spark):
+    names = []
+
+    def inner():
+        table = shared.staged(spark.range(3), "inner")
+        names.extend(table.inputFiles())
+        return table
+
+    def outer():
+        first = shared.staged_alone(inner, "first")
+        names.extend(first.inputFiles())
+        return first.unionAll(shared.staged(spark.range(2), "second"))
+
+    result = shared.staged_alone(outer, "result")
+    there = lambda files: [os.path.exists(name.removeprefix("file://")) for name in files]
+    assert result.count() == 5 and all(there(result.inputFiles())) and not any(there(names))
+
+    def failing():
+        names.append(shared.staged(spark.range(1), "left").inputFiles()[0])
+        raise RuntimeError("stop")
+
+    with pytest.raises(RuntimeError, match="stop"):
+        shared.staged_alone(failing, "never")
+    assert not any(there(names))
+    kept = shared.staged(spark.range(1), "kept")
+    assert all(there(kept.inputFiles()))
+
+
 def test_staged_table_lies_in_the_shared_folder(spark):
     staged = shared.staged(spark.range(5).withColumn("date", F.lit("2019-02-01")), "five")
     assert staged.count() == 5 and dict(staged.dtypes)["date"] == "string"
