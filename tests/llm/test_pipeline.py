@@ -1,5 +1,9 @@
 """Registered queries against their SQL, and the pipeline's stages against brute force."""
 
+import math
+import os
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +104,64 @@ def test_stages_keep_odd_rows_and_empty_tables(spark):
             assert n == rows - (rows > 0) if name == "near_duplicates" else n == rows if name == "private_data" else n >= 0
 
 
+def test_stages_without_their_operators(spark):
+    """Each stage's outcome from patterns, labels and arithmetic, not from the functions it calls."""
+    stage = dict(corpus_pipeline.STAGES)
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    kept = {r["doc_id"] for r in stage["toxicity"](spark, docs, sf).collect()}
+    lost = [toxic[i] for i in toxic if i not in kept]
+    assert lost.count(1) >= 0.55 * list(toxic.values()).count(1) and lost.count(0) <= 0.03 * list(toxic.values()).count(0)
+    assert len(kept) >= 0.8 * docs.count()
+
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    address = re.compile(r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b")
+    clean = {r["doc_id"]: r for r in stage["private_data"](spark, docs, sf).collect()}
+    assert sum(bool(email.search(t)) for t in texts.values()) > 10
+    for i, text in texts.items():
+        assert not email.search(clean[i]["text"] or "") and not address.search(clean[i]["text"] or "")
+        if not re.search(r"[0-9@:]", text):
+            assert (clean[i]["text"] or "") == text
+        assert clean[i]["n_chars"] in (None, len(clean[i]["text"] or ""))
+
+    mixed = stage["mixing"](spark, docs, sf)
+    sources = {r["source"]: r["count"] for r in docs.groupBy("source").count().collect()}
+    even = docs.count() / len(sources)
+    for row in mixed.groupBy("source").count().collect():  # a Poisson count per document: variance even * rate
+        rate = even / sources[row["source"]]
+        assert abs(row["count"] - even) <= 5 * math.sqrt(even * max(rate, 1)) + 1
+    copies = mixed.groupBy(*docs.columns).count()
+    assert copies.join(docs.distinct(), docs.columns, "left_anti").where("source IS NOT NULL").count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    names = ("score", "replica", "n_replicas", "shuffle_key", "row", "hash", "document", "_row", "spans", "component", "classifier", "toxic")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), "doc_id"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SF)
+        assert found.schema == docs.schema or [f.dataType for f in found.schema] == [f.dataType for f in docs.schema]
+        assert found.columns == docs.columns
+        wrong = " OR ".join(f"`{x}` <> concat('{x} of ', doc_id)" for x in names)
+        assert found.count() > 0 and found.where(wrong).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= 60
+
+
+def test_run_leaves_only_its_result(spark, settings, tmp_path):
+    from clicktrail.sources import shared
+
+    made = []
+    folder = shared.shared_folder
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(shared, "shared_folder", lambda spark, name: made.append(folder(spark, name)) or made[-1])
+        rows = corpus_pipeline.run(spark, SF).count()
+    there = [path for path in made if os.path.exists(path.removeprefix("file://"))]
+    assert rows and len(made) > 10 and there == made[-1:]
+
+
 def test_run_applies_all_stages(spark):
     found = corpus_pipeline.run(spark, SF).collect()
     assert found and placed_well(found, 2048)
