@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.llm import bpe, filteraudit, forest, licenses, maxscore, mixing, packing, pii, repair, signhash, toxicity, urlrules, warc
-from clicktrail.sources.shared import shared_folder, staged
+from clicktrail.sources.shared import shared_folder, staged, staged_alone
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +53,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest.near_duplicates(_table(spark, sf_dir, "documents"), forest.Forest(shingle=2))
+    docs = _table(spark, sf_dir, "documents")
+    return staged_alone(lambda: forest.near_duplicates(docs, forest.Forest(shingle=2)), "near_duplicates")
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +90,8 @@ def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_signhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signhash.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+    vectors = _table(spark, sf_dir, "embeddings")
+    return staged_alone(lambda: signhash.near_duplicate_vectors(vectors), "near_duplicate_vectors")
 
 
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +134,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _table(spark, sf_dir, "conversations")
     rows = repair.damaged(given)
-    found = staged(repair.repairs(rows), "repairs")
+    found = staged_alone(lambda: repair.repairs(rows), "repairs")
     digests = repair.text_digests(repair.repaired_turns(rows, found)).withColumnRenamed("conv_id", "digest_of")
     every = given.select("conv_id").distinct()
     repaired = every.join(found.withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left")

@@ -118,7 +118,7 @@ def _codes(classes: DataFrame, hashing: SignHashing, bits: int, tables: int) ->
         weights = (1 << np.arange(bits, dtype=np.int64))
         for batch in batches:
             units = _unit(batch.column(0))
-            codes = np.empty((len(units), tables), np.int64)
+            codes = np.empty((len(units), tables), np.int32 if bits < 32 else np.int64)
             lengths = np.array([len(u) for u in units], np.int64)
             for dimension in np.unique(lengths):
                 rows = np.flatnonzero(lengths == dimension)
@@ -130,7 +130,7 @@ def _codes(classes: DataFrame, hashing: SignHashing, bits: int, tables: int) ->
 
     source = classes.select("embedding", F.col("label").cast("string").alias("label_key"), "class", "node", "copies")
     kind = source.schema["embedding"].dataType.simpleString()
-    return source.mapInArrow(build, f"embedding {kind}, label_key string, class long, node long, copies long, codes array<long>")
+    return source.mapInArrow(build, f"embedding {kind}, label_key string, class long, node long, copies long, codes array<{'int' if bits < 32 else 'long'}>")
 
 
 _BUCKET = ["table", "label_key", "size", "code"]
