@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from clicktrail.llm.text import chunks
 
-TEXT_BYTES = 1 << 22  # text whose words are merged together; a longer text is taken alone
-KNOWN_WORDS = 200_000  # merged words of up to KNOWN_BYTES bytes that a task remembers
+TEXT_BYTES = 1 << 23  # text whose words are merged together; a longer text is taken alone
+KNOWN_WORDS = 150_000  # merged words of up to KNOWN_BYTES bytes that a task remembers
 KNOWN_BYTES = 64
 
 
@@ -261,28 +261,35 @@ class Encoder:
         return result
 
 
-def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encoded(docs: DataFrame, path: str, pattern: str, round_trip: bool = False) -> DataFrame:
     """``docs`` (text, ...) with ``ids``: the whole text's ids as little-endian unsigned 32-bit numbers in a binary.
 
     ``path`` names a file of ``base64 rank`` lines that every executor has; its
     content must be the driver's. Each match of ``pattern`` is encoded by itself,
-    names of special tokens are plain text. Null and empty texts have no ids. A column named ids is
+    names of special tokens are plain text. With ``round_trip`` the bytes that the ids stand for follow as ``decoded``, in
+    the same Python workers. Null and empty texts have no ids. Columns of the names added are
     replaced, other columns stay; repeated rows and ties are coded alike, a text of any
     length is coded whole, an empty table stays empty. No row leaves its task.
     """
     with open(path, "rb") as file:
         digest = hashlib.sha256(file.read()).hexdigest()
 
-    @F.arrow_udf("binary")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary(path, digest), pattern)
+    @F.arrow_udf("struct<ids:binary,decoded:binary>")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = vocabulary(path, digest)
+        encoder = Encoder(known, pattern)
         for texts in batches:
             done: list[bytes] = []
             for low, high in chunks(texts, TEXT_BYTES):
                 done += encoder.encode([text or "" for text in texts.slice(low, high - low).to_pylist()])
-            yield pa.array(done, pa.binary())
-
-    return docs.withColumn("ids", ids(F.col("text").cast("string")))
+            ids = pa.array(done, pa.binary())
+            done = [_bytes_of(x, known.tokens) if round_trip else None for x in done]
+            yield pa.StructArray.from_arrays([ids, pa.array(done, pa.binary())], names=["ids", "decoded"])
+
+    names = ("ids", "decoded")[: 1 + round_trip]
+    kept = docs.drop(*names)
+    found = kept.select("*", coded(F.col("text").cast("string")).alias("_coded"))
+    return found.select(*(found[f"`{name}`"] for name in kept.columns), *(F.col("_coded")[name].alias(name) for name in names))
 
 
 def decoded(ids: Column, path: str) -> Column:

@@ -155,8 +155,8 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    docs = bpe.encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    return docs.select("doc_id", "ids", bpe.decoded(F.col("ids"), path).alias("decoded")).select(
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encoded(docs, path, public_tokenizers.PATTERN, round_trip=True).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -255,6 +255,9 @@ def test_bpe_columns_and_round_trip(spark, published):
     for row in found:
         assert np.frombuffer(row["ids"], "<u4").tolist() == published.encode_ordinary(row["text"] or "")
         assert row["decoded"] == (row["text"] or "").encode()
+    both = bpe.encoded(docs, PATH, public_tokenizers.PATTERN, round_trip=True)
+    assert sorted(both.columns) == sorted(docs.columns)
+    assert sorted(repr((r["doc_id"], r["ids"], r["decoded"])) for r in both.collect()) == sorted(repr((r["doc_id"], r["ids"], r["decoded"])) for r in found)
     assert bpe.encoded(docs.limit(0), PATH, public_tokenizers.PATTERN).collect() == []
 
 
