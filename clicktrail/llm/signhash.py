@@ -1,10 +1,12 @@
 """Near-duplicate vectors by random-hyperplane sign hashing.
 
 Each table gives a vector one bit per random hyperplane: the side it lies on.
-Vectors with the same bits in a table share a bucket and are compared there by
-exact cosine. Equal vectors are one class, so copies meet in no bucket. A large
-bucket is cut into blocks by hash and every two blocks meet in one cell, which
-holds a bounded number of rows, so no bucket needs a cap.
+Vectors with the same bits in a table share a bucket. There the bits of all
+tables are compared first; only vectors that have a partner with few differing
+bits, not met in an earlier table, are sent on and compared by exact cosine. Equal
+vectors are one class, so copies meet in no bucket. A large bucket is cut into
+blocks by hash and every two blocks meet in one cell, which holds a bounded number
+of rows, so no bucket needs a cap.
 """
 
 from __future__ import annotations
@@ -22,15 +24,20 @@ from clicktrail.llm import cells
 from clicktrail.llm.components import connected_components
 from clicktrail.sources.shared import staged
 
+PAIRS_AT_ONCE = 1 << 15  # pairs whose bits one step compares
+
 
 @dataclass(frozen=True)
 class SignHashing:
     """Parameters. A table has as many bits as log2 of the vectors (8 to 48), so
     buckets stay small as the input grows; as many tables are made as it takes to
-    meet a pair of cosine ``threshold`` with probability ``recall``."""
+    meet a pair of cosine ``threshold`` with probability ``recall``. The bits of a
+    pair may differ in as many places as expected at the threshold and ``deviations``
+    standard deviations more, which loses far fewer pairs than the tables do."""
 
     threshold: float = 0.98
     recall: float = 0.9999
+    deviations: float = 7.0
     block: int = 1024
     seed: int = 11
 
@@ -39,6 +46,10 @@ class SignHashing:
         alike = 1 - math.acos(self.threshold) / math.pi
         return bits, math.ceil(math.log(1 - self.recall) / math.log(1 - alike**bits))
 
+    def most_differing(self, all_bits: int) -> int:
+        differ = math.acos(self.threshold) / math.pi
+        return math.floor(all_bits * differ + self.deviations * math.sqrt(all_bits * differ * (1 - differ)))
+
 
 def near_duplicate_vectors(vectors: DataFrame, hashing: SignHashing = SignHashing()) -> DataFrame:
     """Per row of ``vectors`` (vec_id, embedding, label, ...): vec_id, n_links, component_id, kept.
@@ -74,14 +85,13 @@ def near_duplicate_vectors(vectors: DataFrame, hashing: SignHashing = SignHashin
     bits, tables = hashing.shape(classes.count())
     found = staged(_compared(classes, hashing, bits, tables), "vector_links")
     linked = found.groupBy("class").agg(F.sum("links").alias("links"))
-    known = classes.join(linked, "class", "left")
-    known = staged(
-        known.select("label", "embedding", "class", "node", (F.col("copies") + F.coalesce("links", F.lit(0))).alias("linked")),
-        "vector_labels",
-    )
+    one = classes.where("copies = 1").select(F.col("node").alias("vec_id"), "class", "node", "copies", F.col("copies").alias("rows"))
     # rows of a class lie in one key; the join is a plain one, so adaptive execution splits a hot class
-    member = own.where("usable").join(known, ["label", "embedding"]).select("vec_id", "class", "node", "linked")
-    member = staged(member.groupBy("vec_id", "class", "node", "linked").agg(F.count(F.lit(1)).alias("rows")), "vector_members")
+    more = own.where("usable").join(classes.where("copies > 1"), ["label", "embedding"])
+    more = more.groupBy("vec_id", "class", "node", "copies").agg(F.count(F.lit(1)).alias("rows"))
+    with_links = one.unionAll(more).join(linked, "class", "left")
+    with_links = with_links.select("vec_id", "class", "node", "rows", (F.col("copies") + F.coalesce("links", F.lit(0))).alias("linked"))
+    member = staged(with_links, "vector_members")
     # a vec_id joins all classes it stands in; classes of one node share that vec_id
     same = member.where("vec_id <> node").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))
     between = found.where("node <> lowest").select(F.col("node").alias("a"), F.col("lowest").alias("b"))
@@ -139,12 +149,57 @@ _BUCKET = ["table", "label_key", "size", "code"]
 def _compared(classes: DataFrame, hashing: SignHashing, bits: int, tables: int) -> DataFrame:
     """(class, node, links, lowest): for each cell a class lies in, the rows it links with there and the smallest node they reach."""
     coded = staged(_codes(classes, hashing, bits, tables), "vector_codes").withColumn("size", F.size("embedding"))
-    narrow = coded.select("label_key", "size", F.posexplode("codes").alias("table", "code"))
-    large = staged(
-        narrow.groupBy(*_BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hashing.block), "large_buckets"
-    )
-    rows = coded.select("*", F.posexplode("codes").alias("table", "code")).join(large, _BUCKET, "left")
-    return _met(rows, F.coalesce(F.col("n"), F.lit(1)), hashing)
+    # buckets are counted by hash, so a count may be too high, never too low
+    placed = coded.select("class", "label_key", "size", F.posexplode("codes").alias("table", "code"))
+    placed = placed.select("class", "table", F.xxhash64(*_BUCKET).alias("bucket"))
+    counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = staged(placed.join(counts, "bucket").select("class", "table", "n"), "shared_buckets")
+    code = F.expr("codes[table]").alias("code")
+    without_vectors = coded.select("class", "label_key", "size", "codes")
+    near = _with_partners(shared.join(without_vectors, "class").select("*", code), hashing, hashing.most_differing(bits * tables))
+    near = staged(near.distinct(), "vectors_to_compare")
+    return _met(near.join(coded, "class").select("*", code), F.col("n"), hashing)
+
+
+def _with_partners(rows: DataFrame, hashing: SignHashing, most: int) -> DataFrame:
+    """(class, table, n) of the rows whose bits differ in at most so many places from those of another row of the bucket, if no earlier table has met the two."""
+    met = cells.dealt(rows, _BUCKET, F.col("n"), "class", hashing.block, ["class", "n", "codes"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found, cuts in cells.whole(batches, _BUCKET):
+            kept = found.select(["class", "table", "n"]).filter(pa.array(_partnered(found, cuts, most)))
+            yield from kept.to_batches()
+
+    return met.mapInArrow(search, "class long, table int, n long")
+
+
+def _partnered(rows: pa.Table, cuts: list[int], most: int) -> np.ndarray:
+    """Which rows have a partner in their cell. A row's partners are a run of rows after it, so pairs of all cells are compared together."""
+    low, high, block, table = (rows.column(name).to_numpy() for name in ("low", "high", "block", "table"))
+    codes = np.asarray(rows.column("codes").combine_chunks().flatten()).reshape(rows.num_rows, -1)
+    begin, end = np.array(cuts[:-1]), np.array(cuts[1:])
+    cell = np.repeat(np.arange(len(begin)), end - begin)
+    order = np.lexsort((block, cell))  # the low block first; cells stay where they are
+    in_low = block[order] == low
+    second = begin + np.add.reduceat(in_low, begin, dtype=np.int64)
+    start = np.where(low == high, np.arange(rows.num_rows) + 1, second[cell])
+    partners = np.where(in_low, end[cell] - start, 0)
+    until = np.cumsum(partners)
+    found = np.zeros(rows.num_rows, bool)
+    first = 0
+    while first < rows.num_rows:
+        done = until[first] - partners[first]
+        last = max(first + 1, int(np.searchsorted(until, done + PAIRS_AT_ONCE, side="right")))
+        i = np.repeat(np.arange(first, last), partners[first:last])
+        j = start[i] + done + np.arange(len(i)) - (until - partners)[i]
+        differ = codes[order[i]] ^ codes[order[j]]
+        near = np.bitwise_count(differ).sum(axis=1) <= most
+        i, j, differ = order[i[near]], order[j[near]], differ[near]
+        earlier = np.arange(codes.shape[1]) < table[i][:, None]
+        fresh = ~((differ == 0) & earlier).any(axis=1)
+        found[i[fresh]] = found[j[fresh]] = True
+        first = last
+    return found
 
 
 def _within_vec_ids(member: DataFrame, classes: DataFrame, hashing: SignHashing) -> DataFrame:

@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,39 @@ def test_shape_follows_the_input():
         assert 1 - (1 - alike**bits) ** tables >= 0.9999 and bits <= 48
 
 
+@pytest.mark.parametrize("at_once", [1, 7, 1 << 15])
+def test_rows_with_partners_are_those_of_all_pairs(monkeypatch, at_once):
+    monkeypatch.setattr(signhash, "PAIRS_AT_ONCE", at_once)
+    rng = np.random.default_rng(at_once)
+    rows, cuts, expected = [], [0], []
+    for _ in range(40):
+        n, (low, high), table = int(rng.integers(1, 12)), sorted(rng.integers(2, size=2).tolist()), int(rng.integers(4))
+        codes = rng.integers(4, size=(n, 5)).astype(np.int32)
+        block = rng.choice([low, high], n)
+        meets = lambda i, j: low == high or block[i] != block[j]  # noqa: B023, E731
+        alike = lambda i, j: sum(bin(x ^ y).count("1") for x, y in zip(codes[i].tolist(), codes[j].tolist())) <= 4  # noqa: B023, E731
+        fresh = lambda i, j: not (codes[i] == codes[j])[:table].any()  # noqa: B023, E731
+        expected += [any(i != j and meets(i, j) and alike(i, j) and fresh(i, j) for j in range(n)) for i in range(n)]
+        rows += [{"low": low, "high": high, "block": int(b), "table": table, "codes": c.tolist()} for b, c in zip(block, codes)]
+        cuts.append(len(rows))
+    kinds = pa.schema({**dict.fromkeys(("low", "high", "block", "table"), pa.int32()), "codes": pa.list_(pa.int32())})
+    found = signhash._partnered(pa.Table.from_pylist(rows, kinds), cuts, 4)
+    assert found.tolist() == expected and 0 < sum(expected) < len(expected)
+
+
+def test_bits_of_pairs_at_the_threshold_stay_within_the_limit():
+    hashing = signhash.SignHashing()
+    bits, tables = hashing.shape(50_000)
+    rng = np.random.default_rng(5)
+    a, b = rng.standard_normal((2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.98 * a + math.sqrt(1 - 0.98**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    planes = signhash._planes(64, bits, tables, hashing.seed)
+    differing = ((a @ planes > 0) != (b @ planes > 0)).sum(axis=1)
+    assert differing.max() <= hashing.most_differing(bits * tables) < bits * tables / 4
+
+
 def brute_top(rows, queries, k=5):
     found = []
     for q, v in queries:
