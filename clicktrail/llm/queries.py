@@ -86,7 +86,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = maxscore.quantised(_table(spark, sf_dir, "embeddings"))
-    return maxscore.top_scores(vectors, vectors.where("vec_id % 50 = 0"))
+    return staged_alone(lambda: maxscore.top_scores(vectors, vectors.where("vec_id % 50 = 0")), "top_scores")
 
 
 def op7_signhash(spark: SparkSession, sf_dir: str) -> DataFrame:

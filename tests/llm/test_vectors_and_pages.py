@@ -173,10 +173,12 @@ def test_maxscore_skips_vectors_below_the_threshold():
     rng = np.random.default_rng(5)
     sparse = rng.integers(-4, 5, (500, 30)) * (rng.random((500, 30)) < 0.2)
     shard = maxscore.Shard(np.arange(500), sparse.astype(float))
-    for q in range(60):
-        ids, scores = shard.best(q, sparse[q].astype(float), 5)
-        everything = sorted((-int(sparse[q] @ sparse[c]), c) for c in range(500) if c != q)[:5]
-        assert [(-int(s), int(i)) for i, s in zip(ids, scores)] == everything
+    everything = [sorted((-int(sparse[q] @ sparse[c]), c) for c in range(500) if c != q)[:5] for q in range(100)]
+    floors = np.array([-everything[q][4][0] if q % 2 else -np.inf for q in range(100)])  # scores at the floor count
+    found = list(shard.best(np.arange(100), sparse[:100].astype(float), floors, 5))
+    assert [[(-int(s), int(i)) for i, s in zip(*f)] for f in found] == everything
+    above = list(shard.best(np.arange(100), sparse[:100].astype(float), np.array([-f[0][0] + 1.0 for f in everything]), 5))
+    assert all(len(ids) == 0 for ids, _ in above)
 
 
 # URL rules
