@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktrail.sources.shared import staged
@@ -37,22 +38,38 @@ def uniform(*parts):
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts).cast("binary")), 1, HEX_DIGITS), 16, 10).cast("double") / float(16**HEX_DIGITS)
 
 
-def poisson_steps(rate):
-    """P(count <= k) of the Poisson distribution for k = 0, 1, ... up to where the rest is below 1e-16.
+def poisson_steps(rates: DataFrame) -> DataFrame:
+    """(source, first, cdf): P(count <= k) for k = first, first + 1, ... of each source of positive rate.
 
-    The probabilities are summed in logarithms, so large rates do not underflow.
+    The steps reach to where the rest is below 1e-16 and, from a rate of 1000 on, begin where the sum before is below
+    1e-30, so their number grows with the root of the rate. Probabilities are summed in logarithms, which do not underflow.
     """
-    last = (F.ceil(rate + 12 * F.sqrt(rate)) + 30).cast("int")
-    steps = F.aggregate(
-        F.sequence(F.lit(1), last),
-        F.struct((-rate).alias("log"), F.array(F.exp(-rate)).alias("cdf")),
-        lambda state, k: F.struct(
-            (state["log"] + F.log(rate) - F.log(k.cast("double"))).alias("log"),
-            F.array_append(state["cdf"], F.element_at(state["cdf"], -1) + F.exp(state["log"] + F.log(rate) - F.log(k.cast("double")))).alias("cdf"),
-        ),
-        lambda state: state["cdf"],
-    )
-    return F.when(rate > 0, steps).otherwise(F.array(F.lit(1.0)))
+    rate, k = F.col("rate"), F.col("k").cast("double")
+    reach = 12 * F.sqrt(rate)
+    first = F.when(rate < 1000, F.lit(0).cast("long")).otherwise(F.floor(rate - reach))
+    counts = rates.where("rate > 0").withColumn("first", first)
+    counts = counts.withColumn("k", F.explode(F.sequence("first", (F.ceil(rate + reach) + 30).cast("long"))))
+    # log P(count = k) by its distance from the rate and Stirling's series, whose next term is below 1e-20 from k = 600 on
+    off = (k - rate) / rate
+    far = -rate * ((1 + off) * F.log1p(off) - off) - F.log(2 * math.pi * k) / 2 - 1 / (12 * k) + 1 / (360 * k * k * k)
+    step = F.when(F.col("k") > F.col("first"), F.log(rate) - F.log(k)).when(F.col("k") == 0, -rate).otherwise(far)
+    order = Window.partitionBy("source").orderBy("k")
+    counts = counts.withColumn("cdf", F.sum(F.exp(F.sum(step).over(order))).over(order))
+    steps = F.array_sort(F.collect_list(F.struct("k", "cdf")))
+    return counts.groupBy("source", "first").agg(F.transform(steps, lambda s: s["cdf"]).alias("cdf"))
+
+
+def _count_up_to(steps: Column, bound: Column) -> Column:
+    """How many of the rising ``steps`` are at most ``bound``, by halving."""
+
+    def halved(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        return F.when(F.get(steps, middle) <= bound, F.struct((middle + 1).alias("low"), state["high"].alias("high"))).otherwise(
+            F.struct(state["low"].alias("low"), middle.alias("high"))
+        )
+
+    halvings = F.sequence(F.lit(0), F.ceil(F.log2(F.size(steps) + 1)).cast("int"))
+    return F.aggregate(halvings, F.struct(F.lit(0).alias("low"), F.size(steps).alias("high")), halved)["low"]
 
 
 def mixed(docs: DataFrame, rates: DataFrame, seed: int = 0, shuffled: bool = True) -> DataFrame:
@@ -67,11 +84,11 @@ def mixed(docs: DataFrame, rates: DataFrame, seed: int = 0, shuffled: bool = Tru
     a doc_id share their count. Sources without a rate give no rows. Columns of
     the names added are replaced, others stay; an empty table gives an empty result.
     """
-    known = rates.select(F.col("source").alias("_source"), poisson_steps(F.col("rate")).alias("_cdf"))
+    known = poisson_steps(rates).toDF("_source", "_first", "_cdf")
     kept = docs.drop("replica", "n_replicas", "shuffle_key")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     drawn = kept.withColumn("_u", uniform(F.lit(str(seed)), name)).join(known, F.col("source").eqNullSafe(F.col("_source")))
-    count = F.size(F.filter("_cdf", lambda p: p <= F.col("_u")))
+    count = (F.col("_first") + _count_up_to(F.col("_cdf"), F.col("_u"))).cast("int")
     copies = (
         drawn.withColumn("n_replicas", count)
         .where("n_replicas > 0")

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings as limits
@@ -358,6 +359,25 @@ def test_mixing_meets_target_rates(spark):
     assert keys == sorted(keys)
 
 
+def test_poisson_counts_are_those_of_the_distribution(spark):
+    rates = {"a": 0.3, "b": 7.0, None: 999.0, "c": 1000.5, "d": 40_000.0, "e": 3_000_000.0, "f": 0.0}
+    draws = [1e-9, 0.03, 0.25, 0.5, 0.777, 0.99, 1 - 1e-7]
+    steps = mixing.poisson_steps(spark.createDataFrame(list(rates.items()), "source string, rate double"))
+    drawn = steps.crossJoin(spark.createDataFrame([(u,) for u in draws], "u double"))
+    found = {(r["source"], r["u"]): r["n"] for r in drawn.select("source", "u", (F.col("first") + mixing._count_up_to(F.col("cdf"), F.col("u"))).alias("n")).collect()}
+    expected = {}
+    for source, rate in rates.items():
+        if rate:
+            k = np.arange(max(0, int(rate - 15 * rate**0.5)), int(rate + 15 * rate**0.5) + 60)
+            logs = np.cumsum(np.where(k == k[0], 0.0, np.log(rate) - np.log(np.maximum(k, 1))))
+            share = np.exp(logs - logs.max())
+            cdf = np.cumsum(share / share.sum())
+            expected |= {(source, u): int(k[0] + (cdf <= u).sum()) for u in draws}
+    assert found == expected
+    sizes = {r["source"]: r["n"] for r in steps.select("source", F.size("cdf").alias("n")).collect()}
+    assert sizes["e"] < 50_000 and "f" not in sizes
+
+
 def test_mixing_edges(spark):
     docs = documents(spark, EDGES)
     found = mixing.mixed(docs, mixing.target_rates(docs))
